@@ -1,0 +1 @@
+"""No measure works on a stream: every fact is closed per business day before it is read."""
