@@ -28,11 +28,11 @@ def rounded_ratio(numerator: Column, denominator: Column, digits: int) -> Column
     """
     top = (numerator.cast("decimal(23,5)") * F.lit(100_000)).cast("decimal(28,0)")
     bottom = (denominator.cast("decimal(18,2)") * F.lit(100)).cast("decimal(20,0)")
-    sign = F.signum(top.cast("double")) * F.signum(bottom.cast("double"))
+    sign = F.when((top < 0) != (bottom < 0), F.lit(-1)).otherwise(F.lit(1))
     scale = F.lit(2 * 10**digits)
     unit = (F.abs(bottom) * F.lit(1000)).cast("decimal(24,0)")
     steps = F.call_function("div", F.abs(top) * scale + unit, F.nullif(unit * F.lit(2), F.lit(0)))
-    return sign * steps.cast("double") / F.lit(float(10**digits))
+    return (sign * steps).cast("double") / F.lit(float(10**digits))
 
 
 def decimals_as_doubles(df: DataFrame) -> DataFrame:

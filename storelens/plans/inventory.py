@@ -19,7 +19,7 @@ COSTS = ["CP_BGN", "TC_RCV_CM", *[f"CP_{name}" for name in AT_END_COST]]
 
 
 def _midpoint(begin: Column, end: Column) -> Column:
-    return (begin.cast("double") + end.cast("double")) / 2
+    return (begin + end).cast("double") / 2
 
 
 def movement_costs(inventory: DataFrame) -> DataFrame:

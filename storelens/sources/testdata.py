@@ -12,7 +12,17 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storelens.functions.calendar import first_day, gregorian_calendar, retail_calendar, with_levels
+from storelens.functions.calendar import (
+    RETAIL_CALENDAR,
+    first_day,
+    gregorian_calendar,
+    retail_calendar,
+    with_levels,
+)
+from storelens.functions.rules import same_text
+from storelens.operators.periods import select_periods
+from storelens.plans.inventory import saleable
+from storelens.plans.summaries import sale_summary, tender_summary
 
 FIRST_YEAR, LAST_YEAR = 1994, 2001
 SAMPLE_PERIOD = "SAMPLE REPORTING PERIOD"
@@ -144,7 +154,8 @@ GROUP BY l_partkey, l_orderkey % 25, l_linenumber % 3 + 1,
 
 INVENTORY = f"""
 SELECT b.*,
-       QU_BGN + QU_RCV + QU_TSF_IN - QU_TSF_OT + QU_ADJT + QU_RTN - QU_SLS - QU_RTV AS QU_END
+       CAST(QU_BGN + QU_RCV + QU_TSF_IN - QU_TSF_OT + QU_ADJT + QU_RTN - QU_SLS - QU_RTV
+           AS DECIMAL(16,2)) AS QU_END
 FROM (
   SELECT ID_ITM, ID_BSN_UN, ID_LCN, ID_ST_INV, 1 AS ID_CTR_RVN_CST, ID_PRD_RP,
          CASE WHEN ID_ITM % 11 = 0 THEN NULL ELSE FIRST_DAY END AS DC_INV_FS_RCPT,
@@ -200,6 +211,24 @@ FROM {part}
 
 WAREHOUSE = "SELECT n_nationkey AS WARE_CODE, n_name AS WARE_NAME FROM {nation}"
 
+ORDER_PATH = """
+SELECT o_orderkey AS ID_TRN,
+       CASE o_orderkey % 6
+            WHEN 0 THEN '' WHEN 1 THEN concat(o_orderstatus, '||', o_custkey, '|')
+            WHEN 2 THEN NULL WHEN 3 THEN concat(o_orderkey, '|')
+            ELSE concat(o_custkey, '|', o_orderpriority, '|', o_orderstatus) END AS PTH
+FROM {orders}
+"""
+
+ORDER_LEVELS = """
+SELECT o_orderkey AS ID_TRN, 'WEEK|PERIOD|QUARTER|SEASON|YEAR' AS LABELS,
+       concat(CASE WHEN o_orderkey % 4 = 0 THEN '' ELSE concat(o_orderkey % 52 + 1, '|') END,
+              o_orderkey % 12 + 1, '|', o_orderkey % 4 + 1, '|',
+              CASE WHEN o_orderkey % 2 = 0 THEN 'SPRING' ELSE 'FALL' END, '|',
+              CAST(year(o_orderdate) AS INTEGER)) AS NAMES
+FROM {orders}
+"""
+
 EMPLOYEE = """
 SELECT s_suppkey AS EMPLOYEE_ID, concat(substring('ABCDEFGHIJ', CAST(s_suppkey % 10 AS INTEGER) + 1, 1), 'nn')
            AS FIRST_NAME,
@@ -223,7 +252,11 @@ PROBE_DESTINATIONS = [f"DST{n}" for n in range(1, 8)]
 
 
 class Warehouse:
-    """The warehouse tables over one test data folder; each property is a lazy DataFrame."""
+    """The warehouse tables over one test data folder; each property is a lazy DataFrame.
+
+    The two calendar tables hold a few thousand days. They are derived here instead of
+    read, so they are cached; facts never are.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
@@ -239,7 +272,11 @@ class Warehouse:
     def calendar(self) -> DataFrame:
         retail = retail_calendar(self.spark, FIRST_YEAR, LAST_YEAR)
         span = (first_day(FIRST_YEAR), first_day(LAST_YEAR + 1) - dt.timedelta(days=1))
-        return retail.unionByName(gregorian_calendar(self.spark, *span))
+        return retail.unionByName(gregorian_calendar(self.spark, *span)).cache()
+
+    @cached_property
+    def retail_days(self) -> DataFrame:
+        return self.calendar.filter(same_text(F.col("NM_CLD"), RETAIL_CALENDAR))
 
     @cached_property
     def reporting_periods(self) -> DataFrame:
@@ -266,9 +303,7 @@ class Warehouse:
             ((year - FIRST_YEAR) * 12 + month).cast("int").alias("ID_CLD_PRD"),
             F.col("CLD_PRD_LVL_NM_PTH").alias("CLD_PRD_HRC_LVL_NM_PTH"),
             "CLD_PRD_NM_PTH",
-        ).select("RP.*", *[c for c in (
-            "DC_DY_BSN", "ID_CLD", "NM_CLD", "ID_CLD_PRD", "CLD_PRD_HRC_LVL_NM_PTH", "CLD_PRD_NM_PTH"
-        )])
+        ).select("RP.*", "*").drop("RP").cache()
 
     @cached_property
     def business_unit(self) -> DataFrame:
@@ -335,6 +370,14 @@ class Warehouse:
     def warehouse(self) -> DataFrame:
         return self._sql(WAREHOUSE, "nation")
 
+    @cached_property
+    def order_path(self) -> DataFrame:
+        return self._sql(ORDER_PATH, "orders")
+
+    @cached_property
+    def order_levels(self) -> DataFrame:
+        return self._sql(ORDER_LEVELS, "orders")
+
     @cached_property
     def employee(self) -> DataFrame:
         return self._sql(EMPLOYEE, "supplier", "nation", "region")
@@ -346,3 +389,27 @@ class Warehouse:
     @cached_property
     def probe(self) -> DataFrame:
         return self._sql(PROBE, "lineitem")
+
+    @cached_property
+    def sale_summary(self) -> DataFrame:
+        return sale_summary(self.sale, self.item)
+
+    @cached_property
+    def tender_summary(self) -> DataFrame:
+        return tender_summary(self.tender)
+
+    @cached_property
+    def sample_period(self) -> DataFrame:
+        return select_periods(self.reporting_periods, name=SAMPLE_PERIOD)
+
+    @cached_property
+    def year_periods(self) -> DataFrame:
+        return select_periods(self.reporting_periods, ids=YEAR_PERIODS)
+
+    @cached_property
+    def month_periods(self) -> DataFrame:
+        return select_periods(self.reporting_periods, ids=MONTH_PERIODS)
+
+    @cached_property
+    def saleable_stock(self) -> DataFrame:
+        return saleable(self.inventory, self.location, self.inventory_state)
