@@ -114,9 +114,12 @@ def xf1_reverse_path(w):
 
 @query
 def xf2_level_labels_top_down(w):
-    labels, names = reverse_path(F.col("LABELS")), reverse_path(F.col("NAMES"))
+    top_down = w.order_levels.select(
+        "ID_TRN", *[reverse_path(F.col(c)).alias(c) for c in ("LABELS", "NAMES")]
+    )
+    labels, names = F.col("LABELS"), F.col("NAMES")
     levels = ("YEAR", "SEASON", "QUARTER", "PERIOD", "DAY")
-    return w.order_levels.select(
+    return top_down.select(
         "ID_TRN", *[level_label(labels, names, level).alias(f"CP_{level}") for level in levels]
     )
 
@@ -480,7 +483,7 @@ def q5_domain_violations(w):
         "MO_TRN_AMT decimal(7,2)": quality.overflows("MO_TRN_AMT", 7, 2),
     }
     return quality.failing_rows(w.tender, checks).select(
-        "ID_TRN", "IC_LN_ITM", F.array_join("FAILED", "; ").alias("FAILED")
+        "ID_TRN", "IC_LN_ITM", "FAILED"
     )
 
 

@@ -19,10 +19,9 @@ def tokens(path: Column, delim: str = "|") -> Column:
 
     A trailing delimiter ends the last token and does not start another one.
     """
-    closed = F.when(
-        F.endswith(path, F.lit(delim)), F.left(path, F.length(path) - F.lit(len(delim)))
-    ).otherwise(path)
-    return F.when(F.length(path) > 0, F.split(closed, rf"\Q{delim}\E"))
+    literal = rf"\Q{delim}\E"
+    closed = F.regexp_replace(F.nullif(path, F.lit("")), literal + "$", "")
+    return F.split(closed, literal)
 
 
 def reverse_path(path: Column, delim: str = "|") -> Column:
@@ -50,21 +49,17 @@ def level_label(
 ) -> Column:
     """``YEAR:2013`` for the year, ``YEAR:2013 QUARTER:2`` for the levels below it.
 
-    A level that is missing from a short path leaves its side of the colon blank.
+    A level that is missing from a short path leaves its side of the colon blank; a
+    missing path gives NULL.
     """
     if level not in LEVELS:
         return F.lit(UNKNOWN_LEVEL)
-    label_parts = _top_down(labels, delim, bottom_up)
-    name_parts = _top_down(names, delim, bottom_up)
+    blanks = F.array_repeat(F.lit(""), len(LEVELS))
+    label_parts = F.concat(_top_down(labels, delim, bottom_up), blanks)
+    name_parts = F.concat(_top_down(names, delim, bottom_up), blanks)
 
     def pair(index: int) -> Column:
-        blank = F.lit("")
-        return F.concat(
-            F.coalesce(F.get(label_parts, F.lit(index)), blank),
-            F.lit(":"),
-            F.coalesce(F.get(name_parts, F.lit(index)), blank),
-        )
+        return F.concat(F.get(label_parts, F.lit(index)), F.lit(":"), F.get(name_parts, F.lit(index)))
 
     index = LEVELS.index(level)
-    text = pair(0) if index == 0 else F.concat_ws(" ", pair(0), pair(index))
-    return F.when(label_parts.isNotNull() & name_parts.isNotNull(), text)
+    return pair(0) if index == 0 else F.concat(pair(0), F.lit(" "), pair(index))

@@ -75,22 +75,25 @@ def too_long(column: str, length: int) -> Column:
 
 
 def overflows(column: str, precision: int, scale: int) -> Column:
-    """The value does not fit a declared decimal."""
-    fitted = F.col(column).try_cast(f"decimal({precision},{scale})")
-    return F.col(column).isNotNull() & fitted.isNull()
+    """The value, rounded to the scale, has more whole digits than a declared decimal."""
+    limit = F.lit("1" + "0" * (precision - scale)).cast(f"decimal({precision - scale + 1},0)")
+    return F.abs(F.round(F.col(column), scale)) >= limit
 
 
 def failing_rows(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
     """Rows that fail any check, with the names of the failed ones (Q4, Q5); one pass for all."""
-    names = F.array(*[F.when(condition, F.lit(name)) for name, condition in checks.items()])
-    marked = df.withColumn("FAILED", F.array_compact(names))
-    return marked.filter(F.size("FAILED") > 0)
+    names = [F.when(condition, F.lit(name)) for name, condition in checks.items()]
+    failing = df.filter(reduce(lambda a, b: a | b, checks.values()))
+    return failing.withColumn("FAILED", F.concat_ws("; ", *names))
 
 
 def failure_counts(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
-    """Failing rows per check."""
-    failed = failing_rows(df, checks).select(F.explode("FAILED").alias("CHECK_NAME"))
-    return failed.groupBy("CHECK_NAME").agg(F.count(F.lit(1)).alias("QU_ROW"))
+    """Failing rows per check; one aggregate over the table, no row per failure."""
+    counted = df.agg(*[F.count_if(condition).alias(name) for name, condition in checks.items()])
+    rows = [
+        F.struct(F.lit(name).alias("CHECK_NAME"), F.col(f"`{name}`").alias("QU_ROW")) for name in checks
+    ]
+    return counted.select(F.inline(F.array(*rows))).filter(F.col("QU_ROW") > 0)
 
 
 def flag_checks(table: str) -> dict[str, Column]:
