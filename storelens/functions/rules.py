@@ -37,11 +37,22 @@ def same_text(column: Column, text: str) -> Column:
 
 
 def extended_cost() -> Column:
-    """Cost of a line: by weight for bulk items, else per unit of the cost quantity."""
+    """Cost of a line: by weight for bulk items, else per unit of the cost quantity.
+
+    Ten decimals are five more than a summary stores, and few enough for fast sums. The
+    division is slow in decimals, so the usual cost quantity of one skips it.
+    """
+    cost, per = F.col("CP_INV"), F.col("UN_INV_UPRQY")
     by_weight = (F.col("TY_ITM_STK") == "BULK") & (F.col("QU_UN") > 0)
-    per_unit = F.try_divide(F.col("CP_INV"), F.col("UN_INV_UPRQY"))
-    return F.when(by_weight, F.col("CP_INV") * F.col("QU_UN")).otherwise(
-        per_unit * F.col("QU_ITM_LM_RTN_SLS")
+    by_unit = cost * F.col("QU_ITM_LM_RTN_SLS")
+
+    def line_cost(value: Column) -> Column:
+        return value.cast("decimal(28,10)")
+
+    return (
+        F.when(by_weight, line_cost(cost * F.col("QU_UN")))
+        .when(per == 1, line_cost(by_unit))
+        .otherwise(line_cost(F.try_divide(by_unit, per)))
     )
 
 

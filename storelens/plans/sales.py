@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from storelens.functions.ratios import ratio, rounded_ratio
@@ -124,23 +124,21 @@ def unit_price_and_margin(summary: DataFrame, periods: DataFrame) -> DataFrame:
 def comparable_sales(quarterly: DataFrame, year: int | None = None) -> DataFrame:
     """Stores that sold in the same quarter of both a year and the year before (M-C).
 
-    A quarter without its counterpart gives no row. ``year`` keeps one current year.
+    A quarter without its counterpart gives no row. ``year`` keeps one current year. The
+    frame reaches exactly one year back, so a missing year is never skipped, and the
+    sales behind the quarters are summed only once.
     """
-    current = quarterly if year is None else quarterly.filter(F.col("YR") == year)
-    prior = quarterly.select(
-        "ID_BSN_UN",
-        (F.col("YR") + 1).alias("YR"),
-        "QTR",
-        F.col("NRF_454_YR_QTR").alias("PRIOR_YR_QTR"),
-        F.col("MO_BSN_UN_QTR_NET_SLS").alias("PRIOR_NET_SLS"),
-        F.col("MO_BSN_UN_QTR_NET_MRGN").alias("PRIOR_NET_MRGN"),
-    )
-    return current.join(prior, ["ID_BSN_UN", "YR", "QTR"]).select(
+    if year is not None:
+        quarterly = quarterly.filter(F.col("YR").between(year - 1, year))
+    year_before = Window.partitionBy("ID_BSN_UN", "QTR").orderBy("YR").rangeBetween(-1, -1)
+    prior = F.struct("NRF_454_YR_QTR", "MO_BSN_UN_QTR_NET_SLS", "MO_BSN_UN_QTR_NET_MRGN")
+    paired = quarterly.withColumn("PRIOR", F.first(prior).over(year_before))
+    return paired.filter(F.col("PRIOR").isNotNull()).select(
         "ID_BSN_UN",
         F.col("NRF_454_YR_QTR").alias("CURRENT_YR_QTR"),
         F.col("MO_BSN_UN_QTR_NET_SLS").alias("CURRENT_NET_SLS"),
         F.col("MO_BSN_UN_QTR_NET_MRGN").alias("CURRENT_NET_MRGN"),
-        "PRIOR_YR_QTR",
-        "PRIOR_NET_SLS",
-        "PRIOR_NET_MRGN",
+        F.col("PRIOR.NRF_454_YR_QTR").alias("PRIOR_YR_QTR"),
+        F.col("PRIOR.MO_BSN_UN_QTR_NET_SLS").alias("PRIOR_NET_SLS"),
+        F.col("PRIOR.MO_BSN_UN_QTR_NET_MRGN").alias("PRIOR_NET_MRGN"),
     )

@@ -185,20 +185,23 @@ SELECT 1 AS ID_ST_INV, 'AVAILABLE_FOR_SALE' AS NM_ST_INV UNION ALL SELECT 2, 'DA
 UNION ALL SELECT 3, 'RESERVED'
 """
 
-LOT_STOCK = """
-SELECT concat(l_partkey, '-', l_suppkey) AS INDEXKEY_PRODBODLOT, l_partkey AS PRODUCT_ID_CORP,
-       l_suppkey % 25 AS WARE_CODE, concat('A', l_suppkey % 7) AS LOCATION, l_suppkey AS LOTE_ID,
-       CAST(SUM(l_quantity) AS BIGINT) AS OH,
-       CAST(SUM(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0 END) AS BIGINT) AS COMMITED
-FROM {lineitem} GROUP BY l_partkey, l_suppkey
+_LOT_LINES = "(SELECT concat(l_partkey, '-', l_suppkey) AS LOT_KEY, * FROM {lineitem}) x"
+
+LOT_STOCK = f"""
+SELECT LOT_KEY AS INDEXKEY_PRODBODLOT, MIN(l_partkey) AS PRODUCT_ID_CORP,
+       MIN(l_suppkey % 25) AS WARE_CODE, MIN(concat('A', l_suppkey % 7)) AS LOCATION,
+       MIN(l_suppkey) AS LOTE_ID, CAST(SUM(CAST(l_quantity AS DECIMAL(9,2))) AS BIGINT) AS OH,
+       CAST(SUM(CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS DECIMAL(9,2)) ELSE 0 END) AS BIGINT)
+           AS COMMITED
+FROM {_LOT_LINES} GROUP BY LOT_KEY
 """
 
-LOT = """
-SELECT concat(l_partkey, '-', l_suppkey) AS INDEXKEY_PRODBODLOT,
+LOT = f"""
+SELECT LOT_KEY AS INDEXKEY_PRODBODLOT,
        CAST(MIN(l_shipdate) AS DATE) AS ENTRADA_FECHA, MIN(l_linestatus) AS ENTRADA_TIPO,
        MIN(l_orderkey) AS ENTRADA_DOC_REFERENCIA,
        CAST(MIN(l_shipdate) + INTERVAL '180' DAY AS DATE) AS FECHA_CADUCIDAD
-FROM {lineitem} GROUP BY l_partkey, l_suppkey
+FROM {_LOT_LINES} GROUP BY LOT_KEY
 """
 
 PRODUCT = """
