@@ -21,7 +21,12 @@ def apply_settings(spark: SparkSession) -> None:
         spark.conf.set(key, value)
 
 
-def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
+def local_session(
+    cpus: int | str = "*",
+    shuffle_partitions: int = 8,
+    memory: str = "8g",
+    checkpoint_dir: str | None = None,
+) -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("storelens")
@@ -31,6 +36,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
     )
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
+    if checkpoint_dir is not None:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
