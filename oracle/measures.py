@@ -252,7 +252,7 @@ BODIES = {
     "s1_typed_scan": f"""
         SELECT CAST(ID_TRN AS VARCHAR) AS ID_TRN, CAST(IC_LN_ITM AS SMALLINT) AS IC_LN_ITM,
                CAST(ID_BSN_UN AS VARCHAR) AS ID_BSN_UN, DC_DY_BSN, FL_CNCL, FL_VD, FL_SPN, FL_TRG_TRN,
-               CAST(ID_CT AS INTEGER) AS ID_CT, ID_CHNL, CAST(ID_ITM AS VARCHAR) AS ID_ITM,
+               ID_CT, CAST(ID_CHNL AS BIGINT) AS ID_CHNL, CAST(ID_ITM AS VARCHAR) AS ID_ITM,
                {dbl("QU_ITM_LM_RTN_SLS", "QU_UN", "MO_EXTND", "CP_INV", "UN_INV_UPRQY")} FROM sale""",
     "s2_stored_sale_summary": V1,
     "s2_sales_from_stored_summary": AVERAGE_SALES_YEARS,

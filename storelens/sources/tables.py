@@ -156,7 +156,8 @@ _TEXT_IDS = (
     "TND_MD_BRN|TND_MD_COSPNSR|PYM_SV_PVR|ISSR_TND_CRD|ADJN_CHK|CRD_CHK|FDL"
 )
 # Column naming convention: the first pattern that matches gives the type. Tender and
-# loyalty columns put a family name, such as CSH_ or TR_RDM_, before the convention.
+# loyalty columns put a family name, such as CSH_ or TR_RDM_, before the convention. Numeric
+# ids and counts take 64 bits, because 32 do not hold every customer of a large chain.
 _TYPE_RULES = [
     (re.compile(pattern), type_text)
     for pattern, type_text in [
@@ -164,11 +165,12 @@ _TYPE_RULES = [
         (r"^DC_E[FP]$", "timestamp_ntz"),
         (r"^DC_", "date"),
         (r"^DT_", "timestamp_ntz"),
-        (r"^FL_|_COUNT$|^QU_EM_CNT_|_QU_PNT_|_QU_RWD_PNT_|^QU_LN_ITM$|^TND_DNM_ID$", "int"),
+        (r"^FL_", "int"),
+        (r"_COUNT$|^QU_EM_CNT_|_QU_PNT_|_QU_RWD_PNT_|^QU_LN_ITM$|^TND_DNM_ID$", "bigint"),
         (r"^(CPN_|TR_LTM_RDM_)?IC_", "smallint"),
         (rf"^([A-Z_]+_)?ID_({_TEXT_IDS})$", "string"),
         (r"^TR_LTM_RDM_ID_PDT_PRM$", "decimal(16,5)"),
-        (r"^([A-Z_]+_)?ID_", "int"),
+        (r"^([A-Z_]+_)?ID_", "bigint"),
         (r"^QU_(MNM_SLS_UN|UN_BLK_MXM|PR_RNT)$", "decimal(3,0)"),
         (r"^QU_UN_RTL_TRN$", "decimal(7,0)"),
         (r"^QU_(ON_ORD|INTRST)_CNT$", "decimal(38,2)"),

@@ -130,7 +130,7 @@ FROM ({_TENDER_LINES}) t
 
 CARD_SPEND = """
 SELECT 1 AS ID_PRD_RP, ID_CT, CRDB_TY_CRD AS TY_CRD, CRDB_ID_TND_MD_BRN AS ID_TND_MD_BRN,
-       CAST(SUM(MO_TRN_AMT) AS DECIMAL(16,5)) * CAST(1 + ID_CT % 5 * 0.5 AS DECIMAL(3,1)) AS MO_CR_DB_TOT
+       CAST(SUM(MO_TRN_AMT) AS DECIMAL(28,5)) * CAST(1 + ID_CT % 5 * 0.5 AS DECIMAL(3,1)) AS MO_CR_DB_TOT
 FROM {tender} WHERE TY_TND IN ('CREDIT', 'DEBIT')
 GROUP BY ID_CT, CRDB_TY_CRD, CRDB_ID_TND_MD_BRN
 """
@@ -143,9 +143,9 @@ SELECT l_partkey AS ID_ITM, l_orderkey % 25 AS ID_BSN_UN, l_linenumber % 3 + 1 A
        CAST(SUM(CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS DECIMAL(9,2)) ELSE 0 END)
            AS DECIMAL(16,2)) AS RETURNED,
        CAST(SUM(CASE WHEN l_returnflag = 'R' THEN 0 ELSE CAST(l_extendedprice AS DECIMAL(16,5)) END)
-           AS DECIMAL(16,5)) AS TP_SLS_GS_CM,
+           AS DECIMAL(26,5)) AS TP_SLS_GS_CM,
        CAST(SUM(CASE WHEN l_returnflag = 'R' THEN CAST(l_extendedprice AS DECIMAL(16,5)) ELSE 0 END)
-           AS DECIMAL(16,5)) AS TP_RTN,
+           AS DECIMAL(26,5)) AS TP_RTN,
        CAST(MIN(l_shipdate) AS DATE) AS FIRST_DAY, CAST(MAX(l_shipdate) AS DATE) AS LAST_DAY
 FROM {lineitem} JOIN {month_days} ON CAST(l_shipdate AS DATE) = DC_DY_BSN
 GROUP BY l_partkey, l_orderkey % 25, l_linenumber % 3 + 1,
@@ -168,7 +168,7 @@ FROM (
          RETURNED AS QU_RTN, SOLD AS QU_SLS, RETURNED AS QU_RTV,
          CAST(900 + ID_ITM % 1000 AS DECIMAL(16,5)) AS CP_UN_AV_WT_BGN,
          CAST(900.25 + ID_ITM % 1000 AS DECIMAL(16,5)) AS CP_UN_AV_WT_END,
-         CAST(SOLD * (900 + ID_ITM % 1000) AS DECIMAL(16,5)) AS TC_RCV_CM,
+         CAST(SOLD * (900 + ID_ITM % 1000) AS DECIMAL(26,5)) AS TC_RCV_CM,
          TP_SLS_GS_CM, TP_RTN
   FROM ({_MOVEMENT}) m
 ) b
@@ -248,7 +248,7 @@ FROM {supplier} WHERE s_suppkey % 80 % 3 = 0
 
 PROBE = """
 SELECT concat('SRV', l_suppkey) AS SERVER, concat('DST', l_linenumber) AS DESTINATION,
-       l_orderkey * 1000000 + l_partkey AS PROBE_ID, l_orderkey % 4 <> 0 AS REACHABLE
+       l_orderkey AS PROBE_ID, l_orderkey % 4 <> 0 AS REACHABLE
 FROM {lineitem}
 """
 PROBE_DESTINATIONS = [f"DST{n}" for n in range(1, 8)]

@@ -83,8 +83,8 @@ def test_default_fill_keeps_explicit_nulls(rows):
     "name, expected",
     [
         ("ID_TRN", "string"),
-        ("ID_CT", "int"),
-        ("CTAC_ID_CT_RPS", "int"),
+        ("ID_CT", "bigint"),
+        ("CTAC_ID_CT_RPS", "bigint"),
         ("CRDB_ID_TND_MD_BRN", "string"),
         ("IC_LN_ITM", "smallint"),
         ("DC_DY_BSN", "date"),
@@ -102,7 +102,7 @@ def test_default_fill_keeps_explicit_nulls(rows):
         ("QU_ON_ORD_CNT", "decimal(38,2)"),
         ("QU_MNM_SLS_UN", "decimal(3,0)"),
         ("NM_ITM", "string"),
-        ("CASH_TNDR_LN_ITM_COUNT", "int"),
+        ("CASH_TNDR_LN_ITM_COUNT", "bigint"),
     ],
 )
 def test_column_types(name, expected):
