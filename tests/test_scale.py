@@ -10,8 +10,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from storelens import catalog
+from storelens.functions import rules
 from storelens.operators import quality
 from storelens.plans import sales, summaries
+from storelens.sources import testdata
 
 FOLDER = "/root/testdata/sf0.001"
 WRITES = {"s2_stored_sale_summary", "s2_sales_from_stored_summary", "s3_stored_tender_summary"}
@@ -112,3 +114,49 @@ def test_hot_keys_keep_results_whole(spark, no_broadcast):
     finally:
         spark.conf.unset("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes")
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+@pytest.fixture
+def small_skew_limits(spark):
+    """Limits that let small test data count as large."""
+    limits = {
+        "spark.sql.shuffle.partitions": "64",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200KB",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+    before = {key: spark.conf.get(key, None) for key in limits}
+    for key, value in limits.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("hot_key", ["l_orderkey", "l_partkey"])
+def test_hot_join_key_is_split(spark, no_broadcast, small_skew_limits, hot_key):
+    """A third of the lines share one order or one item; the join splits that key's rows."""
+    number = F.col("id")
+    keys = {"l_orderkey": number % 50_000, "l_partkey": number % 2000}
+    keys[hot_key] = F.when(number % 3 == 0, 7).otherwise(keys[hot_key])
+    lineitem = spark.range(0, 600_000, 1, 8).select(
+        *[key.alias(name) for name, key in keys.items()],
+        (number % 7).cast("int").alias("l_linenumber"),
+        (F.rand(1) * 50).alias("l_quantity"),
+        (F.rand(2) * 1000).alias("l_extendedprice"),
+        F.lit("N").alias("l_returnflag"),
+    )
+    orders = spark.range(50_000).select(
+        number.alias("o_orderkey"),
+        (number % 100).alias("o_custkey"),
+        F.lit("1-URGENT").alias("o_orderpriority"),
+        F.lit("1998-01-01 00:00:00").cast("timestamp_ntz").alias("o_orderdate"),
+    )
+    part = spark.range(2000).select(
+        number.alias("p_partkey"), F.lit("x").alias("p_name"), F.lit("PROMO").alias("p_type")
+    )
+    sale = spark.sql(testdata.SALE, lineitem=lineitem, orders=orders)
+    summary = summaries.sale_summary(sale, spark.sql(testdata.ITEM, part=part))
+    lines = sum(row["QU_LN_ITM"] for row in summary.collect())
+    assert lines == rules.valid_transactions(sale).count()
+    assert "skew=true" in plan_of(summary)
