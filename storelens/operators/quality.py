@@ -51,7 +51,7 @@ def foreign_key_violations(tables: dict[str, DataFrame]) -> DataFrame:
 
     Bridge tables declare one key to three facts; such a row is right if any of them has it.
     """
-    groups: dict[tuple[str, tuple[str, ...], bool], list[tuple[str, tuple[str, ...]]]] = {}
+    groups: dict[tuple[str, tuple[str, ...]], list[tuple[str, tuple[str, ...]]]] = {}
     for child, columns, parent, keys in FOREIGN_KEYS:
         if child in tables:
             groups.setdefault((child, columns), []).append((parent, keys))
@@ -62,6 +62,8 @@ def foreign_key_violations(tables: dict[str, DataFrame]) -> DataFrame:
             name = f"{child}({','.join(columns)}) -> {'|'.join(parent for parent, _ in targets)}"
             report = orphans(tables[child], list(columns), sources)
             reports.append(report.select(F.lit(name).alias("CONSTRAINT_NAME"), "KEY", "QU_ROW"))
+    if not reports:
+        raise ValueError("no foreign key has both of its tables here")
     return reduce(DataFrame.unionByName, reports)
 
 

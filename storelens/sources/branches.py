@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,18 +12,43 @@ from pyspark.sql import functions as F
 MAX_BRANCHES = 10_000
 
 
-def jdbc_options(server: str, database: str, query: str, fetch_rows: int = 10_000) -> dict[str, str]:
+class Split(NamedTuple):
+    """How executors share a large query: ranges of one number or date column."""
+
+    column: str
+    lower: int | str
+    upper: int | str
+    parts: int
+
+
+def jdbc_options(
+    server: str, database: str, query: str, split: Split | None = None, fetch_rows: int = 10_000
+) -> dict[str, str]:
     """Reader options for a query against one SQL Server database, with its own login."""
-    return {
+    options = {
         "url": f"jdbc:sqlserver://{server};databaseName={database};integratedSecurity=true",
-        "query": query,
         "fetchsize": str(fetch_rows),
     }
+    if split is None:
+        return options | {"query": query}
+    return options | {
+        "dbtable": f"({query}) q",
+        "partitionColumn": split.column,
+        "lowerBound": str(split.lower),
+        "upperBound": str(split.upper),
+        "numPartitions": str(split.parts),
+    }
 
 
-def read_query(spark: SparkSession, server: str, database: str, query: str) -> DataFrame:
-    """Rows of a query, read by the executors (S5). Needs the database's JDBC driver."""
-    return spark.read.format("jdbc").options(**jdbc_options(server, database, query)).load()
+def read_query(
+    spark: SparkSession, server: str, database: str, query: str, split: Split | None = None
+) -> DataFrame:
+    """Rows of a query, read by the executors (S5). Needs the database's JDBC driver.
+
+    Without a split one task reads the whole result. The bounds of a split only place
+    its ranges; rows outside them are read as well.
+    """
+    return spark.read.format("jdbc").options(**jdbc_options(server, database, query, split)).load()
 
 
 def branch_names(config: DataFrame) -> list[str]:
@@ -35,6 +60,17 @@ def branch_names(config: DataFrame) -> list[str]:
     return [row["BASEDATOS"] for row in rows]
 
 
+def _union(frames: list[DataFrame]) -> DataFrame:
+    """Unions neighbours pair by pair, so thousands of branches do not nest thousands deep."""
+    while len(frames) > 1:
+        pairs = [frames[i : i + 2] for i in range(0, len(frames), 2)]
+        frames = [
+            pair[0].unionByName(pair[1], allowMissingColumns=True) if len(pair) == 2 else pair[0]
+            for pair in pairs
+        ]
+    return frames[0]
+
+
 def read_branches(config: DataFrame, read_one: Callable[[str], DataFrame]) -> DataFrame:
     """One scan per branch under a single union, so branches load side by side.
 
@@ -43,5 +79,4 @@ def read_branches(config: DataFrame, read_one: Callable[[str], DataFrame]) -> Da
     names = branch_names(config)
     if not names:
         raise ValueError("no branch is marked for loading")
-    scans = [read_one(name).withColumn("BRANCH", F.lit(name)) for name in names]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
+    return _union([read_one(name).withColumn("BRANCH", F.lit(name)) for name in names])

@@ -109,7 +109,10 @@ def test_rounded_ratio_is_exact(pairs):
         assert value == steps / 100
 
 
-LINE = "TY_ITM_STK string, QU_UN decimal(9,2), CP_INV decimal(16,5), UN_INV_UPRQY decimal(9,2), QU_ITM_LM_RTN_SLS decimal(9,2)"
+LINE = (
+    "TY_ITM_STK string, QU_UN decimal(9,2), CP_INV decimal(16,5), UN_INV_UPRQY decimal(9,2), "
+    "QU_ITM_LM_RTN_SLS decimal(9,2)"
+)
 
 
 @pytest.mark.parametrize(

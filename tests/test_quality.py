@@ -53,8 +53,8 @@ def test_bridge_key_may_refer_to_any_fact(rows):
 
 def test_flags(rows):
     df = rows("FL_ANNYMS int, FL_BNKRPTY int", (0, 1), (2, None), (None, 3))
-    got = {r["CHECK_NAME"]: r["QU_ROW"] for r in quality.failure_counts(df, quality.flag_checks("DW3_DIM_CT")).collect()}
-    assert got == {"FL_ANNYMS in (0,1)": 1, "FL_BNKRPTY in (0,1)": 1}
+    counts = quality.failure_counts(df, quality.flag_checks("DW3_DIM_CT")).collect()
+    assert {r["CHECK_NAME"]: r["QU_ROW"] for r in counts} == {"FL_ANNYMS in (0,1)": 1, "FL_BNKRPTY in (0,1)": 1}
 
 
 def test_domains(rows):

@@ -61,3 +61,13 @@ def test_jdbc_options():
     options = branches.jdbc_options("host\\instance", "sales", "SELECT 1")
     assert options["url"] == "jdbc:sqlserver://host\\instance;databaseName=sales;integratedSecurity=true"
     assert options["query"] == "SELECT 1"
+    split = branches.jdbc_options("host", "sales", "SELECT 1 AS A", branches.Split("A", 0, 9, 4))
+    assert split["dbtable"] == "(SELECT 1 AS A) q" and "query" not in split
+    assert (split["partitionColumn"], split["numPartitions"]) == ("A", "4")
+
+
+def test_many_branches(spark, rows):
+    config = spark.range(300).selectExpr("cast(id as string) AS BASEDATOS", "1 AS ETL")
+    one = rows("id int", (1,))
+    got = branches.read_branches(config, lambda name: one)
+    assert got.count() == 300 and got.select("BRANCH").distinct().count() == 300
