@@ -23,6 +23,7 @@ from storelens.functions.rules import same_text
 from storelens.operators.periods import select_periods
 from storelens.plans.inventory import saleable
 from storelens.plans.summaries import sale_summary, tender_summary
+from storelens.sources.stored import shared_folder, store
 
 FIRST_YEAR, LAST_YEAR = 1994, 2001
 SAMPLE_PERIOD = "SAMPLE REPORTING PERIOD"
@@ -257,8 +258,9 @@ PROBE_DESTINATIONS = [f"DST{n}" for n in range(1, 8)]
 class Warehouse:
     """The warehouse tables over one test data folder; each property is a lazy DataFrame.
 
-    The two calendar tables hold a few thousand days. They are derived here instead of
-    read, so they are cached; facts never are.
+    The two calendar tables hold a few thousand days and do not come with the test data.
+    They are written once per session, so that queries read a calendar as they would in a
+    warehouse, and its periods can prune stored summaries.
     """
 
     def __init__(self, spark: SparkSession, folder: str):
@@ -271,11 +273,14 @@ class Warehouse:
     def _sql(self, text: str, *tables: str, **frames: DataFrame) -> DataFrame:
         return self.spark.sql(text, **{name: self.raw(name) for name in tables}, **frames)
 
+    def _table(self, rows: DataFrame) -> DataFrame:
+        return store(rows, shared_folder(self.spark))
+
     @cached_property
     def calendar(self) -> DataFrame:
         retail = retail_calendar(self.spark, FIRST_YEAR, LAST_YEAR)
         span = (first_day(FIRST_YEAR), first_day(LAST_YEAR + 1) - dt.timedelta(days=1))
-        return retail.unionByName(gregorian_calendar(self.spark, *span)).cache()
+        return self._table(retail.unionByName(gregorian_calendar(self.spark, *span)))
 
     @cached_property
     def retail_days(self) -> DataFrame:
@@ -298,7 +303,7 @@ class Warehouse:
         )
         other = F.array(period(year + 10_000, F.concat(F.lit("CALENDAR YEAR "), year)))
         periods = F.explode(F.when(F.col("ID_CLD") == 1, retail).otherwise(other))
-        return levels.select(
+        rows = levels.select(
             periods.alias("RP"),
             "DC_DY_BSN",
             "ID_CLD",
@@ -306,7 +311,8 @@ class Warehouse:
             ((year - FIRST_YEAR) * 12 + month).cast("int").alias("ID_CLD_PRD"),
             F.col("CLD_PRD_LVL_NM_PTH").alias("CLD_PRD_HRC_LVL_NM_PTH"),
             "CLD_PRD_NM_PTH",
-        ).select("RP.*", "*").drop("RP").cache()
+        )
+        return self._table(rows.select("RP.*", "*").drop("RP"))
 
     @cached_property
     def business_unit(self) -> DataFrame:
