@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import shutil
 import tempfile
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from storelens.sources.stored import shared_folder
 
@@ -52,6 +55,29 @@ def fold(doc_id: str | Column, parts: int) -> Column:
     return F.crc32(text.cast("binary")) % parts
 
 
+def add_columns(
+    df: DataFrame, fields: list[T.StructField], function: Callable[[pa.RecordBatch], list[pa.Array]], rows: int = 500
+) -> DataFrame:
+    """The rows with columns that a function makes of some rows at a time; it replaces same names."""
+    ship(df.sparkSession)
+    kept = df.drop(*[f.name for f in fields])
+    schema = T.StructType(kept.schema.fields + fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                part = batch.slice(at, rows)
+                yield pa.RecordBatch.from_arrays(part.columns + function(part), names=schema.names)
+
+    return kept.mapInArrow(run, schema)
+
+
+def row_key(df: DataFrame) -> DataFrame:
+    """With columns _k1, _k2 that no row lacks; only rows with equal id and text share them."""
+    whole = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
+    return df.withColumns({"_k1": whole, "_k2": F.xxhash64("text", F.lit(1))})
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A fixed bijection of 64-bit numbers with well spread bits (splitmix64)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

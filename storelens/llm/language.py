@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -141,6 +142,12 @@ class Languages:
         return pd.DataFrame({"lang_pred": names, "score": np.where(known, share, 0.0)})
 
 
+@lru_cache(maxsize=1)
+def languages(sample: tuple[tuple[str, tuple[str, ...]], ...]) -> Languages:
+    """Each worker builds the automata itself; the sample is far smaller."""
+    return Languages({name: list(texts) for name, texts in sample})
+
+
 def sample_texts(documents: DataFrame) -> dict[str, list[str]]:
     """Beginnings of a bounded number of labelled documents of each language, in hash order.
 
@@ -160,7 +167,8 @@ def sample_texts(documents: DataFrame) -> dict[str, list[str]]:
     )
     part = labelled.select("doc_id", "lang", F.substring("text", 1, 4 * SAMPLE_LETTERS).alias("part"))
     sample: dict[str, list[str]] = {}
-    for row in sorted(part.join(chosen, ["doc_id", "lang"]).collect()):
+    # A bounded number of ids for each language.
+    for row in sorted(part.join(F.broadcast(chosen), ["doc_id", "lang"]).collect()):
         if row["part"] is not None:
             sample.setdefault(row["lang"], []).append(row["part"][: 2 * SAMPLE_LETTERS])
     return sample
@@ -173,12 +181,13 @@ def identify(documents: DataFrame) -> DataFrame:
     Equal bits go to the first language by name. Repeated rows are judged each; columns
     lang_pred and score of the input are replaced.
     """
-    shared = ship(documents.sparkSession).sparkContext.broadcast(Languages(sample_texts(documents)))
+    ship(documents.sparkSession)
+    sample = tuple((name, tuple(texts)) for name, texts in sorted(sample_texts(documents).items()))
 
     @F.pandas_udf(RESULT)
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            yield shared.value.predict(texts)
+            yield languages(sample).predict(texts)
 
     found = documents.withColumn("_found", predict(F.coalesce("text", F.lit(""))))
     return found.withColumns({"lang_pred": F.col("_found.lang_pred"), "score": F.col("_found.score")}).drop("_found")

@@ -153,7 +153,8 @@ def fit(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Mod
     ship(documents.sparkSession)
     chosen = sample_labels(labels.select("doc_id", "quality"), rows)
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    found = texts.join(chosen, "doc_id").select("doc_id", "quality", features("text").alias("grams"))
+    # At most 2 * rows ids, so that the texts of the rest need not move.
+    found = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", features("text").alias("grams"))
     got = found.toArrow().sort_by([("doc_id", "ascending")])
     rows_ = [np.asarray(x.values) for x in got["grams"]]
     return train(rows_, got["quality"].to_numpy().astype(np.int64))

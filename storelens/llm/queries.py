@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storelens.llm import language, quality, urls
+import public_tokenizers
+
+from storelens.llm import bpe, exact, language, near, packing, passages, quality, urls
 from storelens.llm.common import fold, table
 
 QUERIES: dict[str, Callable] = {}
@@ -19,20 +21,99 @@ def query(function: Callable) -> Callable:
     return function
 
 
+@query
+def op1_substring_dedup(spark, folder) -> DataFrame:
+    found = passages.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query
+def op2_exact_dedup(spark, folder) -> DataFrame:
+    marked = exact.mark_copies(table(spark, folder, "documents").select("doc_id", "text"))
+    return marked.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query
+def op4_byte_bpe(spark, folder) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    found = bpe.encode_documents(documents, path, public_tokenizers.PATTERN)
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @query
 def op6_language_id(spark, folder) -> DataFrame:
     found = language.identify(table(spark, folder, "documents").select("doc_id", "text", "lang"))
     return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op7_minhash(spark, folder) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    found = near.near_components(documents, size=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query
 def op8_url_rules(spark, folder) -> DataFrame:
     judged = urls.judge_urls(table(spark, folder, "pages").select("page_id", "url"))
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+@query
+def op9_packing(spark, folder) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "source", "text")
+    return packing.pack(documents, public_tokenizers.path("word_bpe_49k.json")).drop("ids", "source")
+
+
 @query
 def op10_quality(spark, folder) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
     scored = quality.quality_scores(documents, table(spark, folder, "labels"))
     return scored.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE_SQL["op2_exact_dedup"] = f"""
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
+FROM (SELECT doc_id, {_LOWER} AS t FROM documents)
+WINDOW same AS (PARTITION BY t)
+"""
+
+_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+
+ORACLE_SQL["op1_substring_dedup"] = f"""
+WITH d AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35),
+k AS (SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS t FROM p),
+r AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY t) AS c FROM k) WHERE c > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS i FROM r),
+g AS (SELECT doc_id, list(i) AS gone FROM gone GROUP BY doc_id),
+j AS (SELECT d.doc_id, w, coalesce(gone, []) AS gone FROM d LEFT JOIN g USING (doc_id))
+SELECT doc_id, len(w)::BIGINT AS n_words, len(gone)::BIGINT AS n_removed,
+       sha256(array_to_string(list_filter(w, lambda x, i: NOT list_contains(gone, i)), ' ')) AS kept_sha256
+FROM j
+"""
+
+ORACLE_SQL["op7_minhash"] = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.format(_LOWER)} AS w FROM documents),
+s AS (SELECT doc_id, unnest(CASE WHEN len(w) >= 3
+             THEN list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')))
+             WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS t FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.t = b.t AND a.doc_id < b.doc_id
+      GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+reach AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM reach r JOIN e ON r.b = e.a)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(m, d.doc_id)) AS component_id,
+       d.doc_id = least(d.doc_id, coalesce(m, d.doc_id)) AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS m FROM reach GROUP BY a) USING (doc_id)
+"""
