@@ -87,7 +87,7 @@ def chains(documents: DataFrame, entries: DataFrame, hashed: Callable[[Column],
     several = entries.filter(F.col("rows") > 1).select("_hash")
     return (
         documents.select("doc_id", text.alias("text"), hashed(text).alias("_hash"))
-        .join(several, "_hash", "left_semi")
+        .join(several.hint("shuffle_hash"), "_hash", "left_semi")
         .groupBy("_hash", "text")
         .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     )
