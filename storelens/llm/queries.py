@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from storelens.llm import bpe, exact, language, near, packing, passages, quality, urls
+from storelens.llm import bpe, exact, language, lm, near, neighbours, packing, passages, quality, urls
 from storelens.llm.common import fold, table
 
 QUERIES: dict[str, Callable] = {}
@@ -33,6 +33,11 @@ def op2_exact_dedup(spark, folder) -> DataFrame:
     return marked.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@query
+def op3_nearest(spark, folder) -> DataFrame:
+    return neighbours.nearest(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+
+
 @query
 def op4_byte_bpe(spark, folder) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -46,6 +51,16 @@ def op4_byte_bpe(spark, folder) -> DataFrame:
     )
 
 
+@query
+def op5_recurrent_lm(spark, folder) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = fold("doc_id", 7) == 2
+    scored = lm.score_documents(documents, ~held_out)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 @query
 def op6_language_id(spark, folder) -> DataFrame:
     found = language.identify(table(spark, folder, "documents").select("doc_id", "text", "lang"))
