@@ -91,19 +91,18 @@ class SuperKmers:
         return [self.data[a:b] for a, b in zip(low.tolist(), high.tolist())]
 
 
-def window_prints(kmers: SuperKmers, chosen: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Super-k-mer, position and two 64-bit prints of each window of the chosen super-k-mers."""
+def window_prints(kmers: SuperKmers, chosen: np.ndarray) -> np.ndarray:
+    """Two 64-bit prints of each window of the chosen super-k-mers, one after another."""
     count = kmers.windows[chosen]
-    which = np.repeat(np.arange(len(chosen)), count)
     step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    first = kmers.first[chosen][which] + step
+    first = np.repeat(kmers.first[chosen], count) + step
     prints = []
     for seed in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93):
         total = np.zeros(len(first), dtype=np.uint64)
         for k in range(kmers.width):
             total = mix(total + kmers.word_hash[first + k] + np.uint64(seed))
         prints.append(total.view(np.int64))
-    return which, kmers.position[chosen][which] + step, *prints
+    return np.stack(prints, axis=1)
 
 
 def repeated_windows(strings: list[bytes], width: int) -> list[np.ndarray]:
@@ -122,11 +121,11 @@ def repeated_windows(strings: list[bytes], width: int) -> list[np.ndarray]:
     return np.split(again, np.cumsum(sizes)[:-1])
 
 
-SPANS = "_k1 long, _k2 long, low long, high long"
+SPANS = "_k1 long, _k2 long, spans array<struct<low: long, high: long>>"
 
 
 def repeated_spans(documents: DataFrame, width: int = WIDTH, hot: int = HOT) -> DataFrame:
-    """Word ranges [low, high) of repeated windows: _k1, _k2 of the document, low, high."""
+    """Word ranges of repeated windows: _k1, _k2 of the document, spans of [low, high)."""
     ship(documents.sparkSession)
     keyed = row_key(documents.select("doc_id", "text"))
 
@@ -143,7 +142,8 @@ def repeated_spans(documents: DataFrame, width: int = WIDTH, hot: int = HOT) ->
                 )
 
     kmers = stored(keyed.mapInArrow(light, "_k1 long, _k2 long, number long, minimiser long"))
-    shared = kmers.groupBy("minimiser").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    # Stored, so that the join may split a minimiser that many rows have.
+    shared = stored(kmers.groupBy("minimiser").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1))
     chosen = kmers.join(shared, "minimiser").groupBy("_k1", "_k2").agg(
         F.collect_set(F.when(F.col("n") <= hot, F.col("number"))).alias("numbers"),
         F.collect_set(F.when(F.col("n") > hot, F.col("number"))).alias("hot_numbers"),
@@ -182,9 +182,10 @@ def repeated_spans(documents: DataFrame, width: int = WIDTH, hot: int = HOT) ->
             if len(own) == 1:
                 continue
             for row, again in zip(own, repeated_windows([row[1] for row in own], width)):
-                edge = np.flatnonzero(np.diff(np.concatenate(([0], again.view(np.int8), [0]))))
-                for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
-                    out.append((row[2], row[3], row[4] + a, row[4] + b - 1 + width))
+                edge = np.flatnonzero(np.diff(np.concatenate(([0], again.view(np.int8), [0])))) + row[4]
+                if len(edge):
+                    ranges = zip(edge[::2].tolist(), (edge[1::2] + width - 1).tolist())
+                    out.append((row[2], row[3], [{"low": a, "high": b} for a, b in ranges]))
             if len(out) > 10_000:
                 yield _batch(out)
                 out = []
@@ -206,24 +207,39 @@ def repeated_spans(documents: DataFrame, width: int = WIDTH, hot: int = HOT) ->
                 for at in range(0, batch.num_rows, 100):
                     part = batch.slice(at, 100)
                     found, picked = select(part, hashes)
-                    which, position, one, two = window_prints(found, picked)
-                    own = part.select(["_k1", "_k2"]).take(pa.array(found.document[picked][which]))
+                    offsets = np.concatenate(([0], np.cumsum(found.windows[picked]))).astype(np.int32)
+                    both = window_prints(found, picked)
+                    pairs = pa.StructArray.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["one", "two"])
+                    own = part.select(["_k1", "_k2"]).take(pa.array(found.document[picked]))
                     yield pa.RecordBatch.from_arrays(
-                        [*own.columns, pa.array(position), pa.array(one), pa.array(two)],
-                        names=["_k1", "_k2", "low", "one", "two"],
+                        [*own.columns, pa.array(found.position[picked]), pa.ListArray.from_arrays(pa.array(offsets), pairs)],
+                        names=["_k1", "_k2", "position", "windows"],
                     )
 
-        singly = stored(with_text("hot_numbers").mapInArrow(prints, "_k1 long, _k2 long, low long, one long, two long"))
-        again = singly.groupBy("one", "two").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-        more = singly.join(again, ["one", "two"]).select("_k1", "_k2", "low", (F.col("low") + width).alias("high"))
-        spans = spans.unionByName(more)
+        kind = "_k1 long, _k2 long, position long, windows array<struct<one: long, two: long>>"
+        spans = spans.unionByName(_hot_spans(stored(with_text("hot_numbers").mapInArrow(prints, kind)), width))
     return spans
 
 
+def _hot_spans(found: DataFrame, width: int) -> DataFrame:
+    """Spans of repeated windows of super-k-mers (_k1, _k2, position, windows) known by their prints.
+
+    Equal super-k-mers are one row before their windows are counted, and again until the end.
+    """
+    kinds = stored(found.groupBy("windows").agg(F.count(F.lit(1)).alias("n")))
+    windows = kinds.select(F.col("windows").alias("kind"), "n", F.posexplode("windows").alias("at", "window"))
+    again = stored(windows.groupBy("window").agg(F.sum("n").alias("n")).filter(F.col("n") > 1).select("window"))
+    marked = windows.join(again, "window").groupBy("kind").agg(F.collect_set("at").alias("places"))
+    rows = found.join(stored(marked), F.col("windows") == F.col("kind"))
+    spans = F.transform("places", lambda at: F.struct((F.col("position") + at).alias("low"), (F.col("position") + at + width).alias("high")))
+    return rows.select("_k1", "_k2", spans.alias("spans"))
+
+
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) if rows else [[], [], [], []]
+    one, two, spans = zip(*rows) if rows else ((), (), ())
+    kind = pa.list_(pa.struct([("low", pa.int64()), ("high", pa.int64())]))
     return pa.RecordBatch.from_arrays(
-        [pa.array(c, pa.int64()) for c in columns], names=["_k1", "_k2", "low", "high"]
+        [pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(spans, kind)], names=["_k1", "_k2", "spans"]
     )
 
 
@@ -236,7 +252,7 @@ def remove_repeats(documents: DataFrame, width: int = WIDTH, hot: int = HOT) ->
     names are replaced, and names that begin with an underscore are reserved.
     """
     spans = repeated_spans(documents, width, hot)
-    marks = spans.groupBy("_k1", "_k2").agg(F.collect_set(F.struct("low", "high")).alias("_spans"))
+    marks = spans.groupBy("_k1", "_k2").agg(F.flatten(F.collect_list("spans")).alias("_spans"))
     joined = row_key(documents).join(marks.hint("shuffle_hash"), ["_k1", "_k2"], "left")
 
     def remove(batch: pa.RecordBatch) -> list[pa.Array]:
