@@ -107,6 +107,8 @@ def mark_copies(
     heads = links.groupBy("_hash").agg(
         F.count(F.lit(1)).alias("_links"), F.max("keep_id").alias("keep_id"), F.max("group_size").alias("group_size")
     )
+    # Stored, so that the join may split a hash that many rows have.
+    heads = stored(heads)
     plain = documents.drop("keep_id", "group_size", "kept", "text_sha256").withColumns(
         {"_hash": hashed(text), "text_sha256": F.sha2(text, 256)}
     )
