@@ -200,7 +200,7 @@ def _pairs(placed: DataFrame, step: str, percent: int) -> DataFrame:
         one = one.select("key", F.col("_set").alias("b"), F.col("n").alias("nb"), F.col("_group").alias("gb"))
     other = placed.select("key", F.col("_set").alias("a"), F.col("n").alias("na"), F.col("_group").alias("ga"))
     sizes = (100 * F.col("na") >= percent * F.col("nb")) & (100 * F.col("nb") >= percent * F.col("na"))
-    met = other.join(one, "key").filter((F.col("ga") != F.col("gb")) & sizes)
+    met = other.join(stored(one), "key").filter((F.col("ga") != F.col("gb")) & sizes)
     return met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
@@ -215,7 +215,7 @@ def near_groups(members: DataFrame, held: DataFrame, percent: int) -> DataFrame
         if groups is not None:
             placed = members.join(groups, "_set", "left").withColumn("_group", F.coalesce("_group", "_set"))
         apart = placed.groupBy("key").agg(F.min("_group").alias("x"), F.max("_group").alias("y")).filter("x <> y")
-        placed = stored(placed.join(apart.select("key"), "key", "left_semi"))
+        placed = stored(placed.join(stored(apart.select("key")), "key", "left_semi"))
         pairs = _pairs(placed, step, percent)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -242,7 +242,8 @@ def near_components(
     sets = light.filter(F.col("n_shingles") > 0).groupBy("_set")
     sets = stored(sets.agg(first, F.first("n_shingles").alias("n"), F.first("_bands").alias("_bands")))
     keys = sets.select("_set", "n", F.explode("_bands").alias("key"))
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key")
+    # Stored, as other sides of joins here, so that the join may split a key of many rows.
+    shared = stored(keys.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key"))
     members = stored(keys.join(shared, "key"))
     # Texts move once, to the rows that stand for a candidate set.
     wanted = members.select("_set").distinct().join(sets.select("_set", "least._k1", "least._k2"), "_set")
