@@ -6,9 +6,10 @@ coordinate. Signatures are cut into bands; documents that share a band are candi
 candidates are linked if their full sets are similar enough.
 
 Equal sets are one candidate. Within a band's bucket, candidates are first compared with one
-pivot only; then with a pivot of each group that this has left apart; and then, where groups
-are still apart, across the groups. Comparisons within a group that is already linked could
-not change the result and are left out, so a bucket of n copies takes about n of them.
+pivot only. Then, in a small bucket, the groups that this has left apart are compared whole,
+and in a large one with a pivot of each; where groups are still apart there, whole groups are
+compared at last. Comparisons within a group that is already linked could not change the
+result and are left out, so a bucket of n copies takes about n of them.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from storelens.llm.common import LOWER, WordHashes, add_columns, mix, row_key, s
 
 # A pair of similarity 0.85 shares no band with a probability of 4e-7; of 0.8, 2e-5.
 BANDS, ROWS = 20, 4
-# Pivots of a bucket in the second round.
+# Members of a small bucket, and pivots of a large one.
 PIVOTS = 64
 
 
@@ -159,45 +160,43 @@ def components(links: DataFrame) -> DataFrame:
     Alternates large-star and small-star steps until nothing changes, so long chains shrink in
     logarithmically many rounds; a node's neighbours are never gathered, only their minimum.
     """
-    edges = stored(
-        links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
-    )
-    mark = None
+    pair = [F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")]
+    edges = stored(links.select(*pair).filter("a <> b").distinct())
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m"))
-        least = least.select("a", F.least("a", "m").alias("m"))
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = stored(large.filter("a <> b").distinct())
+        edges = stored(large.filter("a <> b"))
         low = edges.groupBy("a").agg(F.min("b").alias("m"))
-        small = edges.join(low, "a")
-        small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
-            low.select("a", F.col("m").alias("b"))
-        )
+        small = edges.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = small.unionByName(low.select("a", F.col("m").alias("b")))
         edges = stored(small.filter("a <> b").distinct())
-        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == mark:
-            break
-        mark = state
-    return edges.groupBy("a").agg(F.min("b").alias("_group")).withColumnRenamed("a", "_set")
+        # Done when no end above is an end below: every node then names its smallest.
+        if edges.select("b").join(edges.select(F.col("a").alias("b")), "b", "left_semi").isEmpty():
+            return edges.groupBy("a").agg(F.min("b").alias("_group")).withColumnRenamed("a", "_set")
 
 
 def _pairs(placed: DataFrame, step: str, percent: int) -> DataFrame:
     """Pairs (a, b) of one step, of members (key, _set, n, _group) of buckets that hold several groups."""
     found = placed.groupBy("key", "_group").agg(F.min(F.struct("_set", "n")).alias("p"), F.count(F.lit(1)).alias("c"))
-    largest = found.groupBy("key").agg(
-        F.max_by("_group", F.struct("c", "_group")).alias("largest"), F.count(F.lit(1)).alias("groups")
-    )
     pivot = [F.col("p._set").alias("b"), F.col("p.n").alias("nb"), F.col("_group").alias("gb")]
     if step == "one":
-        one = placed.groupBy("key").agg(F.min(F.struct("_set", "n", "_group")).alias("p"))
-        one = one.select("key", *pivot[:2], F.col("p._group").alias("gb"))
-    elif step == "each":
-        few = largest.filter(F.col("groups") <= PIVOTS)
-        one = found.join(few, "key").filter(F.col("_group") != F.col("largest")).select("key", *pivot)
+        first = placed.groupBy("key").agg(F.min(F.struct("_set", "n", "_group")).alias("p"))
+        one = first.select("key", *pivot[:2], F.col("p._group").alias("gb"))
     else:
-        one = placed.join(largest, "key").filter(F.col("_group") != F.col("largest"))
+        size = found.groupBy("key").agg(
+            F.max_by("_group", F.struct("c", "_group")).alias("largest"),
+            F.count(F.lit(1)).alias("groups"),
+            F.sum("c").alias("members"),
+        )
+        size = stored(size)
+        whole = size if step == "rest" else size.filter(F.col("members") <= PIVOTS)
+        one = placed.join(whole, "key").filter(F.col("_group") != F.col("largest"))
         one = one.select("key", F.col("_set").alias("b"), F.col("n").alias("nb"), F.col("_group").alias("gb"))
+        if step == "each":
+            large = size.filter((F.col("members") > PIVOTS) & (F.col("groups") <= PIVOTS))
+            own = found.join(large, "key").filter(F.col("_group") != F.col("largest"))
+            one = one.unionByName(own.select("key", *pivot))
     other = placed.select("key", F.col("_set").alias("a"), F.col("n").alias("na"), F.col("_group").alias("ga"))
     sizes = (100 * F.col("na") >= percent * F.col("nb")) & (100 * F.col("nb") >= percent * F.col("na"))
     met = other.join(stored(one), "key").filter((F.col("ga") != F.col("gb")) & sizes)
@@ -210,12 +209,21 @@ def near_groups(members: DataFrame, held: DataFrame, percent: int) -> DataFrame
     `members` (key, _set, n) are the buckets, `held` has _values for each _set in them.
     """
     tested = links = groups = None
-    for step in ("one", "each", "each", "rest"):
+    for step in ("one", "each", "rest"):
         placed = members.withColumn("_group", F.col("_set"))
         if groups is not None:
             placed = members.join(groups, "_set", "left").withColumn("_group", F.coalesce("_group", "_set"))
-        apart = placed.groupBy("key").agg(F.min("_group").alias("x"), F.max("_group").alias("y")).filter("x <> y")
-        placed = stored(placed.join(stored(apart.select("key")), "key", "left_semi"))
+        apart = placed.groupBy("key").agg(
+            F.min("_group").alias("x"), F.max("_group").alias("y"), F.count(F.lit(1)).alias("c")
+        )
+        apart = apart.filter("x <> y")
+        if step == "rest":
+            # All pairs of the other buckets have been tested.
+            apart = apart.filter(F.col("c") > PIVOTS)
+        apart = stored(apart.select("key"))
+        if apart.isEmpty():
+            break
+        placed = stored(placed.join(apart, "key", "left_semi"))
         pairs = _pairs(placed, step, percent)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
