@@ -5,11 +5,11 @@ first scatters the shingles, the second is applied after a circular shift by the
 coordinate. Signatures are cut into bands; documents that share a band are candidates, and
 candidates are linked if their full sets are similar enough.
 
-Equal sets are one candidate. Within a band's bucket, candidates are first compared with one
-pivot only. Then, in a small bucket, the groups that this has left apart are compared whole,
-and in a large one with a pivot of each; where groups are still apart there, whole groups are
-compared at last. Comparisons within a group that is already linked could not change the
-result and are left out, so a bucket of n copies takes about n of them.
+Equal sets are one candidate. In a band's bucket, all are first compared with one pivot. Then
+the groups that this has left apart are compared with each other; comparisons within a group
+could not change the result. In large buckets, shingles that no other candidate there has are
+counted first: the set with fewest is the pivot, and sets with many can be near to nothing, so
+that a bucket of n copies of one text takes about n comparisons.
 """
 
 from __future__ import annotations
@@ -26,8 +26,8 @@ from storelens.llm.common import LOWER, WordHashes, add_columns, mix, row_key, s
 
 # A pair of similarity 0.85 shares no band with a probability of 4e-7; of 0.8, 2e-5.
 BANDS, ROWS = 20, 4
-# Members of a small bucket, and pivots of a large one.
-PIVOTS = 64
+# Members of a bucket up to which shingles are not counted.
+SMALL = 64
 
 
 def shingle_sets(texts: list[str | None], size: int, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
@@ -176,30 +176,46 @@ def components(links: DataFrame) -> DataFrame:
             return edges.groupBy("a").agg(F.min("b").alias("_group")).withColumnRenamed("a", "_set")
 
 
-def _pairs(placed: DataFrame, step: str, percent: int) -> DataFrame:
-    """Pairs (a, b) of one step, of members (key, _set, n, _group) of buckets that hold several groups."""
-    found = placed.groupBy("key", "_group").agg(F.min(F.struct("_set", "n")).alias("p"), F.count(F.lit(1)).alias("c"))
-    pivot = [F.col("p._set").alias("b"), F.col("p.n").alias("nb"), F.col("_group").alias("gb")]
-    if step == "one":
-        first = placed.groupBy("key").agg(F.min(F.struct("_set", "n", "_group")).alias("p"))
-        one = first.select("key", *pivot[:2], F.col("p._group").alias("gb"))
+def lonely_shingles(held: DataFrame) -> DataFrame:
+    """Number of shingles of each set that no other of the sets has: _set, u (none if 0)."""
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                values = [np.frombuffer(v, np.int64) for v in part["_values"].to_pylist()]
+                ids = np.repeat(part["id"].to_numpy(), [len(v) for v in values])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(values)), pa.array(ids)], names=["shingle", "id"]
+                )
+
+    named = held.withColumn("id", F.xxhash64("_set"))
+    met = named.select("_values", "id").mapInArrow(explode, "shingle long, id long")
+    # Of one row, the exclusive or is its id.
+    once = met.groupBy("shingle").agg(F.count(F.lit(1)).alias("c"), F.bit_xor("id").alias("id")).filter("c = 1")
+    counted = once.groupBy("id").agg(F.count(F.lit(1)).alias("u"))
+    return named.select("_set", "id").join(stored(counted), "id").select("_set", "u")
+
+
+def _pairs(placed: DataFrame, percent: int, pivots: bool) -> DataFrame:
+    """Pairs (a, b) across the groups of members (key, _set, n, u, _group), with a pivot or with all.
+
+    A set shares at most n - u shingles with any other, and what it has together with another
+    is at least its n and the other's u; pairs that this rules out are left out.
+    """
+    one = [F.col("_set").alias("b"), F.col("n").alias("nb"), F.col("u").alias("ub"), F.col("_group").alias("gb")]
+    if pivots:
+        first = placed.groupBy("key").agg(F.min(F.struct("u", "n", "_set", "_group")).alias("p"))
+        other = stored(first.select("key", "p.*").select("key", *one))
     else:
-        size = found.groupBy("key").agg(
-            F.max_by("_group", F.struct("c", "_group")).alias("largest"),
-            F.count(F.lit(1)).alias("groups"),
-            F.sum("c").alias("members"),
-        )
-        size = stored(size)
-        whole = size if step == "rest" else size.filter(F.col("members") <= PIVOTS)
-        one = placed.join(whole, "key").filter(F.col("_group") != F.col("largest"))
-        one = one.select("key", F.col("_set").alias("b"), F.col("n").alias("nb"), F.col("_group").alias("gb"))
-        if step == "each":
-            large = size.filter((F.col("members") > PIVOTS) & (F.col("groups") <= PIVOTS))
-            own = found.join(large, "key").filter(F.col("_group") != F.col("largest"))
-            one = one.unionByName(own.select("key", *pivot))
-    other = placed.select("key", F.col("_set").alias("a"), F.col("n").alias("na"), F.col("_group").alias("ga"))
+        sizes = placed.groupBy("key", "_group").agg(F.count(F.lit(1)).alias("c"))
+        largest = sizes.groupBy("key").agg(F.max_by("_group", F.struct("c", "_group")).alias("largest"))
+        other = placed.join(stored(largest), "key").filter(F.col("_group") != F.col("largest")).select("key", *one)
+    own = placed.select("key", F.col("_set").alias("a"), F.col("n").alias("na"), F.col("u").alias("ua"), F.col("_group").alias("ga"))
+    possible = lambda n, u, v: 100 * (F.col(n) - F.col(u)) >= percent * (F.col(n) + F.col(v))
     sizes = (100 * F.col("na") >= percent * F.col("nb")) & (100 * F.col("nb") >= percent * F.col("na"))
-    met = other.join(stored(one), "key").filter((F.col("ga") != F.col("gb")) & sizes)
+    apart = (F.col("ga") != F.col("gb")) & sizes & possible("na", "ua", "ub") & possible("nb", "ub", "ua")
+    met = own.join(other, "key").filter(apart)
     return met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
@@ -208,30 +224,30 @@ def near_groups(members: DataFrame, held: DataFrame, percent: int) -> DataFrame
 
     `members` (key, _set, n) are the buckets, `held` has _values for each _set in them.
     """
+    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("c"))
+    large = stored(sizes.filter(F.col("c") > SMALL).select("key"))
+    crowd = stored(members.join(large, "key", "left_semi"))
+    members = members.withColumn("u", F.lit(0).cast("long"))
+    if not crowd.isEmpty():
+        # Counts hold among these sets, so they count in their large buckets only.
+        lonely = lonely_shingles(held.join(stored(crowd.select("_set").distinct()), "_set"))
+        counted = crowd.join(stored(lonely), "_set", "left").fillna(0, ["u"])
+        members = stored(members.join(large, "key", "left_anti").unionByName(counted))
     tested = links = groups = None
-    for step in ("one", "each", "rest"):
+    for pivots in (True, False):
         placed = members.withColumn("_group", F.col("_set"))
         if groups is not None:
             placed = members.join(groups, "_set", "left").withColumn("_group", F.coalesce("_group", "_set"))
-        apart = placed.groupBy("key").agg(
-            F.min("_group").alias("x"), F.max("_group").alias("y"), F.count(F.lit(1)).alias("c")
-        )
-        apart = apart.filter("x <> y")
-        if step == "rest":
-            # All pairs of the other buckets have been tested.
-            apart = apart.filter(F.col("c") > PIVOTS)
-        apart = stored(apart.select("key"))
-        if apart.isEmpty():
-            break
-        placed = stored(placed.join(apart, "key", "left_semi"))
-        pairs = _pairs(placed, step, percent)
+        apart = placed.groupBy("key").agg(F.min("_group").alias("x"), F.max("_group").alias("y")).filter("x <> y")
+        placed = stored(placed.join(stored(apart.select("key")), "key", "left_semi"))
+        pairs = _pairs(placed, percent, pivots)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs)
         if pairs.isEmpty():
             continue
         found = stored(linked(pairs, held, percent))
-        tested = pairs if tested is None else tested.unionByName(pairs)
+        tested = pairs
         if not found.isEmpty():
             links = found if links is None else links.unionByName(found)
             groups = stored(components(links))

@@ -23,9 +23,9 @@ def texts():
     return out
 
 
-@pytest.mark.parametrize("size, percent, pivots", [(3, 85, 64), (5, 80, 64), (5, 80, 1), (1, 60, 2)])
-def test_against_brute_force(rows, monkeypatch, size, percent, pivots):
-    monkeypatch.setattr(near, "PIVOTS", pivots)
+@pytest.mark.parametrize("size, percent, small", [(3, 85, 64), (5, 80, 64), (5, 80, 1), (1, 60, 2)])
+def test_against_brute_force(rows, monkeypatch, size, percent, small):
+    monkeypatch.setattr(near, "SMALL", small)
     data = texts()
     df = rows("doc_id bigint, text string, kept string", *[(i, t, "old") for i, t in enumerate(data)])
     got = {r["doc_id"]: r for r in near.mark_near_copies(df, size, percent).collect()}
@@ -35,6 +35,17 @@ def test_against_brute_force(rows, monkeypatch, size, percent, pivots):
     assert [got[i]["n_shingles"] for i in range(len(data))] == [len(shingles(t, size)) for t in data]
 
 
+def test_shingles_that_others_outside_the_large_bucket_share_still_count(rows, monkeypatch):
+    """A set of a large bucket may be near to one that shares a small bucket with it only."""
+    monkeypatch.setattr(near, "SMALL", 3)
+    base = [f"w{i}" for i in range(100)]
+    data = [" ".join(base[: 100 - 2 * k] + [f"x{k}_{i}" for i in range(2 * k)]) for k in range(9)]
+    data += [" ".join(f"x{k}_{i}" if i < 2 * k else f"y{k}_{i}" for i in range(2 * k + 3)) for k in range(9)]
+    data += [d + " end" for d in data]
+    got = near.mark_near_copies(rows("doc_id bigint, text string", *enumerate(data)), 1, 85).collect()
+    assert [r["component_id"] for r in sorted(got, key=lambda r: r["doc_id"])] == components(data, 1, 85)
+
+
 def test_null_and_repeated_ids(rows):
     text = " ".join(f"t{i}" for i in range(30))
     df = rows("doc_id bigint, text string", (None, text), (7, text), (7, text), (3, "a b c d e f"), (3, text + " u"))
