@@ -1,8 +1,8 @@
 """Byte-level BPE encoding and decoding by a rank file (operator 4).
 
 Merges of one piece come from a queue with a bucket of list positions for each merge rank.
-Three levels of bitmaps say which buckets hold something, and the lowest set bit of each
-level leads to the next rank. Nothing is removed from a bucket when a merge makes an entry
+Two levels of bitmaps say which buckets hold something, and the lowest set bit of each level
+leads to the next rank. Nothing is removed from a bucket when a merge makes an entry
 stale; such an entry is skipped when it comes up. So a piece of n bytes takes about n
 queue steps, however long it is.
 """
@@ -28,46 +28,8 @@ CHUNK = re.compile(rb"\s?\S+|\s+(?=\s\S)|\s+")
 # All further code points that some engine takes for blank.
 BLANK_POINTS = (*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 OTHER_BLANKS = re.compile("[" + "".join(map(chr, BLANK_POINTS)) + "]")
-# Chunks kept by one worker; when full, the store starts anew.
-CACHE = 400_000
-
-
-class RankQueue:
-    """List positions by merge rank, least rank first and then leftmost."""
-
-    def __init__(self) -> None:
-        self.buckets: dict[int, list[int]] = {}
-        self.low: dict[int, int] = {}
-        self.middle: dict[int, int] = {}
-        self.top = 0
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        word, group = rank >> 6, rank >> 12
-        self.low[word] = self.low.get(word, 0) | 1 << (rank & 63)
-        self.middle[group] = self.middle.get(group, 0) | 1 << (word & 63)
-        self.top |= 1 << group
-
-    def pop(self) -> tuple[int, int]:
-        group = (self.top & -self.top).bit_length() - 1
-        bits = self.middle[group]
-        word = group << 6 | (bits & -bits).bit_length() - 1
-        bits = self.low[word]
-        rank = word << 6 | (bits & -bits).bit_length() - 1
-        bucket = self.buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            self.low[word] &= bits - 1
-            if not self.low[word]:
-                self.middle[group] &= ~(1 << (word & 63))
-                if not self.middle[group]:
-                    self.top &= ~(1 << group)
-        return rank, position
+# Chunks and pieces kept by one worker; when full, the store starts anew.
+CACHE = 700_000
 
 
 class Codec:
@@ -82,7 +44,7 @@ class Codec:
         for token, rank in ranks.items():
             self.tokens[rank] = token
         self.chunks: dict[bytes, bytes] = {}
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces: dict[str, bytes] = {}
 
     def piece(self, piece: bytes) -> list[int]:
         """Ids of one match of the pattern."""
@@ -93,60 +55,82 @@ class Codec:
         size = len(piece)
         end = list(range(1, size + 1))
         before = list(range(-1, size - 1))
-        pair = [rank_of(piece[i : i + 2]) for i in range(size - 1)] + [None]
-        queue = RankQueue()
-        for position, rank in enumerate(pair):
-            if rank is not None:
-                queue.push(rank, position)
-        while queue.top:
-            rank, left = queue.pop()
-            if pair[left] != rank:
-                continue
-            right = end[left]
-            pair[right] = None
-            end[left] = after = end[right]
-            end[right] = 0
-            pair[left] = None
-            if after < size:
-                before[after] = left
-                pair[left] = new = rank_of(piece[left : end[after]])
-                if new is not None:
-                    queue.push(new, left)
-            ahead = before[left]
-            if ahead >= 0:
-                pair[ahead] = new = rank_of(piece[ahead:after])
-                if new is not None:
-                    queue.push(new, ahead)
+        pair: list[int | None] = [None] * size
+        # Positions by rank, and two levels of bits: of the ranks of a word, and of the words.
+        buckets: dict[int, list[int]] = {}
+        low: dict[int, int] = {}
+        top = 0
+        new = [(position, rank_of(piece[position : position + 2])) for position in range(size - 1)]
+        while True:
+            for position, rank in new:
+                pair[position] = rank
+                if rank is not None:
+                    bucket = buckets.get(rank)
+                    if bucket is None:
+                        buckets[rank] = [position]
+                        word = rank >> 6
+                        low[word] = low.get(word, 0) | 1 << (rank & 63)
+                        top |= 1 << word
+                    else:
+                        heappush(bucket, position)
+            new = ()
+            while top and not new:
+                word = (top & -top).bit_length() - 1
+                bits = low[word]
+                rank = (word << 6) + (bits & -bits).bit_length() - 1
+                bucket = buckets[rank]
+                left = heappop(bucket)
+                if not bucket:
+                    del buckets[rank]
+                    low[word] = bits = bits & (bits - 1)
+                    if not bits:
+                        top &= top - 1
+                if pair[left] != rank:
+                    continue
+                right = end[left]
+                after = end[left] = end[right]
+                pair[right] = None
+                ahead = before[left]
+                if after < size:
+                    before[after] = left
+                    new = ((left, rank_of(piece[left : end[after]])),)
+                else:
+                    new = ((left, None),)
+                if ahead >= 0:
+                    new += ((ahead, rank_of(piece[ahead:after])),)
+            if not new:
+                break
         ids, at = [], 0
         while at < size:
             ids.append(self.ranks[piece[at : end[at]]])
             at = end[at]
         return ids
 
-    def _split(self, text: str) -> list[int]:
-        ids: list[int] = []
+    def _split(self, text: str) -> bytes:
+        """Ids of a text, packed as 32-bit numbers."""
+        found = []
         for match in self.pattern.findall(text):
             known = self.pieces.get(match)
             if known is None:
-                known = self.piece(match.encode())
+                known = np.array(self.piece(match.encode()), dtype=np.int32).tobytes()
                 if len(match) < 64:
                     if len(self.pieces) >= CACHE:
                         self.pieces.clear()
                     self.pieces[match] = known
-            ids += known
-        return ids
+            found.append(known)
+        return b"".join(found)
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a text as 32-bit numbers."""
         if OTHER_BLANKS.search(text):
-            return np.array(self._split(text), dtype=np.int32)
+            return np.frombuffer(self._split(text), dtype=np.int32)
         if len(self.chunks) >= CACHE:
             self.chunks.clear()
         known, found = self.chunks, []
         for chunk in CHUNK.findall(text.encode()):
             packed = known.get(chunk)
             if packed is None:
-                packed = np.array(self._split(chunk.decode()), dtype=np.int32).tobytes()
+                packed = self._split(chunk.decode())
                 if len(chunk) < 64:
                     known[chunk] = packed
             found.append(packed)

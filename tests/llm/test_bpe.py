@@ -37,17 +37,6 @@ def test_long_pieces(library):
         assert coder.decode(ids) == text.encode()
 
 
-def test_queue_gives_least_rank_then_leftmost():
-    queue, rng = bpe.RankQueue(), random.Random(1)
-    pushed = [(rng.choice((0, 63, 64, 4095, 4096, 50_000)), rng.randrange(100)) for _ in range(500)]
-    for rank, position in pushed:
-        queue.push(rank, position)
-    popped = []
-    while queue.top:
-        popped.append(queue.pop())
-    assert popped == sorted(pushed)
-
-
 def test_documents(rows):
     df = rows("doc_id bigint, text string, ids string", (1, "Hello world", "old"), (2, None, "old"), (2, "", "old"))
     got = bpe.encode_documents(df, PATH, PATTERN).collect()
