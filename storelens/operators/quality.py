@@ -6,17 +6,20 @@ as one row per task.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storelens.sources.tables import FOREIGN_KEYS, PRIMARY_KEYS, ZERO_ONE_FLAGS
+from storelens.sources.schema import declared
+from storelens.sources.tables import FAILED_CASTS, FOREIGN_KEYS, PRIMARY_KEYS, UNIQUE_KEYS, ZERO_ONE_FLAGS
 
 
-def _key_text(columns: list[str]) -> Column:
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("<null>")) for c in columns]
-    return F.concat_ws("|", *parts).alias("KEY")
+def key_json(columns: Iterable[str]) -> Column:
+    """Key values as a JSON object, so that no two keys look alike and NULL is not a text."""
+    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
 
 
 def duplicate_keys(df: DataFrame, columns: list[str], nulls_allowed: bool = False) -> DataFrame:
@@ -25,45 +28,123 @@ def duplicate_keys(df: DataFrame, columns: list[str], nulls_allowed: bool = Fals
     bad = F.col("QU_ROW") > 1
     if not nulls_allowed:
         bad = bad | reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
-    return counted.filter(bad).select(_key_text(columns), "QU_ROW")
+    return counted.filter(bad).select(key_json(columns).alias("KEY"), "QU_ROW")
 
 
 def primary_key_violations(df: DataFrame, table: str) -> DataFrame:
     return duplicate_keys(df, list(PRIMARY_KEYS[table]))
 
 
-def orphans(child: DataFrame, columns: list[str], parents: list[tuple[DataFrame, list[str]]]) -> DataFrame:
-    """Foreign key values found in none of the parents, with their row counts (Q3).
+def constraint_report(tables: dict[str, DataFrame]) -> DataFrame:
+    """Violations of the keys and 0/1 checks that the given tables declare, as one report (Q1, Q2, Q4).
 
-    A key with a NULL part is not checked. Several parents stand for a key that may
-    refer to any one of them.
+    TABLE_NAME, CHECK_NAME, KEY (NULL for a check on values) and QU_ROW. A check whose columns
+    a table lacks is listed with a NULL count, for it was not made.
     """
-    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
-    found = child.filter(complete).groupBy(*columns).agg(F.count(F.lit(1)).alias("QU_ROW"))
-    for parent, keys in parents:
-        known = parent.select(*[F.col(k).alias(c) for k, c in zip(keys, columns)])
-        found = found.join(known, columns, "left_anti")
-    return found.select(_key_text(columns), "QU_ROW")
+    found = []
+    for table, df in tables.items():
+        named = [("primary key", PRIMARY_KEYS[table], False)]
+        if table in UNIQUE_KEYS:
+            named.append(("unique key", UNIQUE_KEYS[table], True))
+        skipped = []
+        for kind, columns, nulls_allowed in named:
+            name = f"{kind} ({', '.join(columns)})"
+            if set(columns) <= set(df.columns):
+                keys = duplicate_keys(df, list(columns), nulls_allowed)
+                found.append(keys.select(F.lit(table).alias("TABLE_NAME"), F.lit(name).alias("CHECK_NAME"), "KEY", "QU_ROW"))
+            else:
+                skipped.append(name)
+        flags = {name: rule for name, rule in flag_checks(table).items() if name.split()[0] in df.columns}
+        skipped += [name for name in flag_checks(table) if name not in flags]
+        if flags:
+            counts = failure_counts(df, flags)
+            found.append(counts.select(F.lit(table).alias("TABLE_NAME"), "CHECK_NAME", F.lit(None).cast("string").alias("KEY"), "QU_ROW"))
+        if skipped:
+            found.append(_listed(df, {"TABLE_NAME": table}, "CHECK_NAME", skipped))
+    return reduce(DataFrame.unionByName, found)
+
+
+def _listed(df: DataFrame, fixed: dict[str, str], column: str, names: list[str]) -> DataFrame:
+    """A row for each name, with KEY and QU_ROW NULL."""
+    rows = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(n) for n in names])).alias(column))
+    return rows.select(
+        *[F.lit(v).alias(k) for k, v in fixed.items()],
+        column,
+        F.lit(None).cast("string").alias("KEY"),
+        F.lit(None).cast("bigint").alias("QU_ROW"),
+    )
+
+
+class ForeignKey(NamedTuple):
+    """One declared key of a child; a row is right if any of the parents has it."""
+
+    name: str
+    columns: tuple[str, ...]
+    parents: list[tuple[str, tuple[str, ...]]]
+
+
+def declared_foreign_keys(child: str) -> list[ForeignKey]:
+    targets: dict[tuple[str, ...], list[tuple[str, tuple[str, ...]]]] = {}
+    for table, columns, parent, keys in FOREIGN_KEYS:
+        if table == child:
+            targets.setdefault(columns, []).append((parent, keys))
+    return [
+        ForeignKey(f"{child}({','.join(columns)}) -> {'|'.join(p for p, _ in parents)}", columns, parents)
+        for columns, parents in targets.items()
+    ]
+
+
+def orphans(child: DataFrame, keys: list[ForeignKey], tables: dict[str, DataFrame]) -> DataFrame:
+    """CONSTRAINT_NAME, KEY, QU_ROW of key values that no parent has (Q3); one scan of the child.
+
+    Each row yields its complete keys, which are counted before they move, so a key of many
+    rows is one row for each task. A key with a NULL part is not checked.
+    """
+    parts = []
+    for key in keys:
+        complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key.columns])
+        pair = F.struct(F.lit(key.name).alias("CONSTRAINT_NAME"), key_json(key.columns).alias("KEY"))
+        parts.append(F.when(complete, pair))
+    met = child.select(F.explode(F.array_compact(F.array(*parts))).alias("P")).select("P.*")
+    counted = met.groupBy("CONSTRAINT_NAME", "KEY").agg(F.count(F.lit(1)).alias("QU_ROW"))
+    # A parent is scanned once for all constraints that name the same of its columns.
+    wanted: dict[tuple[str, tuple[str, ...]], list[ForeignKey]] = {}
+    for key in keys:
+        for parent, columns in key.parents:
+            wanted.setdefault((parent, columns), []).append(key)
+    known = []
+    for (parent, columns), own in wanted.items():
+        rows = tables[parent].select(*columns).distinct()
+        pairs = [
+            F.struct(
+                F.lit(key.name).alias("CONSTRAINT_NAME"),
+                F.to_json(F.struct(*[F.col(p).cast(child.schema[c].dataType).alias(c) for p, c in zip(columns, key.columns)])).alias("KEY"),
+            )
+            for key in own
+        ]
+        known.append(rows.select(F.explode(F.array(*pairs)).alias("P")).select("P.*"))
+    return counted.join(reduce(DataFrame.unionByName, known), ["CONSTRAINT_NAME", "KEY"], "left_anti")
 
 
 def foreign_key_violations(tables: dict[str, DataFrame]) -> DataFrame:
-    """Every declared foreign key between the given tables, as one report.
+    """Every declared foreign key of the given tables, as one report (Q3).
 
     Bridge tables declare one key to three facts; such a row is right if any of them has it.
+    A key that cannot be checked, because a parent or a column is not given, is listed with
+    NULL as its KEY and QU_ROW.
     """
-    groups: dict[tuple[str, tuple[str, ...]], list[tuple[str, tuple[str, ...]]]] = {}
-    for child, columns, parent, keys in FOREIGN_KEYS:
-        if child in tables:
-            groups.setdefault((child, columns), []).append((parent, keys))
     reports = []
-    for (child, columns), targets in groups.items():
-        if all(parent in tables for parent, _ in targets):
-            sources = [(tables[parent], list(keys)) for parent, keys in targets]
-            name = f"{child}({','.join(columns)}) -> {'|'.join(parent for parent, _ in targets)}"
-            report = orphans(tables[child], list(columns), sources)
-            reports.append(report.select(F.lit(name).alias("CONSTRAINT_NAME"), "KEY", "QU_ROW"))
+    for child, df in tables.items():
+        checked, skipped = [], []
+        for key in declared_foreign_keys(child):
+            given = all(parent in tables and set(columns) <= set(tables[parent].columns) for parent, columns in key.parents)
+            (checked if given and set(key.columns) <= set(df.columns) else skipped).append(key)
+        if checked:
+            reports.append(orphans(df, checked, tables))
+        if skipped:
+            reports.append(_listed(df, {}, "CONSTRAINT_NAME", [key.name for key in skipped]))
     if not reports:
-        raise ValueError("no foreign key has both of its tables here")
+        raise ValueError("the given tables declare no foreign key")
     return reduce(DataFrame.unionByName, reports)
 
 
@@ -100,8 +181,28 @@ def failure_counts(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
 
 def flag_checks(table: str) -> dict[str, Column]:
     """The declared 0/1 checks of a table."""
-    return {f"{flag} in (0,1)": not_zero_one(flag) for flag in ZERO_ONE_FLAGS[table]}
+    return {f"{flag} in (0,1)": not_zero_one(flag) for flag in ZERO_ONE_FLAGS.get(table, ())}
 
 
 def not_null_checks(columns: list[str]) -> dict[str, Column]:
     return {f"{c} not null": F.col(c).isNull() for c in columns}
+
+
+def declared_checks(df: DataFrame, table: str) -> dict[str, Column]:
+    """NOT NULL, text length and value range of the columns of a typed scan (Q5), in declared order.
+
+    A value that its type cannot hold is reported as such, and not as NULL.
+    """
+    failed = F.coalesce(F.map_keys(FAILED_CASTS), F.array().cast("array<string>"))
+    checks = {}
+    for rule in declared(table).values():
+        if rule.name not in df.columns:
+            continue
+        lost = F.array_contains(failed, rule.name)
+        if rule.required:
+            checks[f"{rule.name} not null"] = F.col(rule.name).isNull() & ~lost
+        if rule.length is not None:
+            checks[f"{rule.name} {rule.type}"] = F.coalesce(too_long(rule.name, rule.length), F.lit(False))
+        else:
+            checks[f"{rule.name} {rule.type}"] = lost
+    return checks

@@ -1,13 +1,13 @@
-"""The warehouse tables: keys, checks, column types and the typed scan."""
+"""The warehouse tables: keys, checks and the typed scan."""
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from storelens.sources.schema import declared
+
 # Primary keys of the 35 warehouse tables.
 PRIMARY_KEYS = {
     "CA_PRD_RP": ("ID_PRD_RP",),
@@ -148,97 +148,62 @@ FOREIGN_KEYS = [
     ),
 ]
 
-# Ids that are text; every other ID_ column is a number.
-_TEXT_IDS = (
-    "ITM|ITM_PS|ITM_UN_TRC|BSN_UN|TRN|WS|OPR|OPR_SYS|GEO_LCN|GEO_SGMT_HRC_GP|ST_SGMT_HRC_GP_CHLD|"
-    "ST_SGMT_HRC_GP_PRNT|METAR_WTHR_CN|METAR_WTHR_FRCST|HSHLD|CT_HSHLD|PSTL_CD|LGE|LGE_PRMRY|"
-    "DUNS_NBR|SCL_NTWRK|SCL_NTWRK_HNDL|SCL_NTWRK_USR|PRTY_RO_ASGMT|CMPGN|STR_ISSG|NMB_SRZ_GF_CF|"
-    "TND_MD_BRN|TND_MD_COSPNSR|PYM_SV_PVR|ISSR_TND_CRD|ADJN_CHK|CRD_CHK|FDL"
-)
-# Column naming convention: the first pattern that matches gives the type. Tender and
-# loyalty columns put a family name, such as CSH_ or TR_RDM_, before the convention. Numeric
-# ids and counts take 64 bits, because 32 do not hold every customer of a large chain.
-_TYPE_RULES = [
-    (re.compile(pattern), type_text)
-    for pattern, type_text in [
-        (r"^CPN_DC_EP$|^DC_EP_CRD$|^QU_METAR_TEMP_DEW_PNT$|^CPN_ID_MF$^", "string"),
-        (r"^DC_E[FP]$", "timestamp_ntz"),
-        (r"^DC_", "date"),
-        (r"^DT_", "timestamp_ntz"),
-        (r"^FL_", "int"),
-        (r"_COUNT$|^QU_EM_CNT_|_QU_PNT_|_QU_RWD_PNT_|^QU_LN_ITM$|^TND_DNM_ID$", "bigint"),
-        (r"^(CPN_|TR_LTM_RDM_)?IC_", "smallint"),
-        (rf"^([A-Z_]+_)?ID_({_TEXT_IDS})$", "string"),
-        (r"^TR_LTM_RDM_ID_PDT_PRM$", "decimal(16,5)"),
-        (r"^([A-Z_]+_)?ID_", "bigint"),
-        (r"^QU_(MNM_SLS_UN|UN_BLK_MXM|PR_RNT)$", "decimal(3,0)"),
-        (r"^QU_UN_RTL_TRN$", "decimal(7,0)"),
-        (r"^QU_(ON_ORD|INTRST)_CNT$", "decimal(38,2)"),
-        (r"^QU_(BLK_)?ITM_SLD$", "decimal(38,2)"),
-        (r"^MO_(ON_ORD|INTRST)_CST$", "decimal(38,7)"),
-        (r"^MO_(ON_ORD_RTL_AMT|INTRST_RTL)$", "decimal(38,4)"),
-        (r"^MO_RT_TO_(BUY|SL)$", "decimal(14,9)"),
-        (r"^MO_UOM_CVN$", "decimal(9,2)"),
-        (r"^([A-Z_]+_)?MO_(TRN_AMT|FRG_CY|CHG)$", "decimal(7,2)"),
-        (r"^([A-Z_]+_)?MO_(PRC_REG|PRC_MDFN_BS_AMT|(PRV|NW)_PRC(_\d)?)$", "decimal(7,2)"),
-        (r"^MO_(UN_RTL|DSC_UN|DSC_UN_EXT)$|^RP_MSRP$", "decimal(7,2)"),
-        (r"^QU_|^UN_.*UPRQY|^FA_PRC_UN|^TND_DNM_QU$|^CPN_QY$", "decimal(9,2)"),
-        (r"^([A-Z_]+_)?PE_", "decimal(7,4)"),
-        (r"^([A-Z_]+_)?MO_|^CP_|^TC_|^TP_", "decimal(16,5)"),
-    ]
-]
-# Decimal columns declared without a default of 0.
-_NO_DEFAULT = re.compile(r"^(QU|MO)_(ON_ORD|INTRST)_|^MO_RT_TO_|^MO_TRN_LVL_DSCNT$")
-
+# Column of a typed scan with the values that their declared type cannot hold, as text by column.
+FAILED_CASTS = "FAILED_CASTS"
 
-def column_type(name: str) -> str:
-    """Spark type of a warehouse column; text where the convention names no other."""
-    for pattern, type_text in _TYPE_RULES:
-        if pattern.search(name.upper()):
-            return type_text
-    return "string"
 
+def conform(df: DataFrame, table: str, trim: bool = True) -> DataFrame:
+    """Columns in their declared types, fixed-length text without its padding.
 
-def has_default(name: str) -> bool:
-    return column_type(name).startswith("decimal") and not _NO_DEFAULT.search(name.upper())
-
-
-def conform(df: DataFrame, trim: bool = True) -> DataFrame:
-    """Casts columns to their warehouse types and drops the padding of fixed-length text.
-
-    A column that already has its type is passed through untouched, so filters on it
-    still reach the file scan.
+    A value that its type cannot hold becomes NULL and stays visible in FAILED_CASTS, which is
+    NULL in rows without any. A column that already has its type is passed through untouched,
+    so filters on it still reach the file scan. Names compare without case; a column that the
+    table does not declare is an error.
     """
-    columns = []
+    wanted = declared(table)
+    foreign = [c for c in df.columns if c.upper() not in wanted]
+    if foreign:
+        raise ValueError(f"{table} declares no columns {foreign}")
+    columns, failed = [], []
     for field in df.schema.fields:
-        wanted = T.DataType.fromDDL(column_type(field.name))
-        column = F.col(field.name)
-        if field.dataType != wanted:
-            column = column.cast(wanted)
-        if trim and isinstance(wanted, T.StringType):
+        rule = wanted[field.name.upper()]
+        kind = T.DataType.fromDDL(rule.spark_type)
+        source = column = F.col(f"`{field.name}`")
+        if field.dataType != kind:
+            column = source.try_cast(kind)
+            lost = column.isNull() & source.isNotNull()
+            failed.append(F.when(lost, F.struct(F.lit(rule.name).alias("key"), source.cast("string").alias("value"))))
+        if trim and rule.padded:
             column = F.rtrim(column)
-        columns.append(column.alias(field.name.upper()))
-    return df.select(*columns)
+        columns.append(column.alias(rule.name))
+    lost = F.array_compact(F.array(*failed)) if failed else None
+    found = F.lit(None).cast("map<string,string>") if lost is None else F.when(F.size(lost) > 0, F.map_from_entries(lost))
+    return df.select(*columns, found.alias(FAILED_CASTS))
 
 
 def read_table(spark: SparkSession, root: str, table: str, trim: bool = False) -> DataFrame:
-    """Typed scan of one warehouse table (S1). Set ``trim`` for files that were not ingested here."""
-    df = conform(spark.read.parquet(f"{root}/{table}"), trim)
+    """Typed scan of one warehouse table (S1). Set ``trim`` for files that were not ingested here.
+
+    A missing key column is an error. Other columns that are missing stay so; `fill_absent`
+    adds them.
+    """
+    df = conform(spark.read.parquet(f"{root}/{table}"), table, trim)
     missing = [c for c in PRIMARY_KEYS[table] if c not in df.columns]
     if missing:
         raise ValueError(f"{table} lacks key columns {missing}")
     return df
 
 
-def fill_absent(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Adds absent columns: 0 where one is declared as default, else NULL (Q6).
+def fill_absent(df: DataFrame, table: str, columns: list[str] | None = None) -> DataFrame:
+    """Adds declared columns that are absent: 0 where that is their default, else NULL (Q6).
 
-    An explicit NULL in a column that is present stays NULL.
+    All declared columns, or those named. An explicit NULL in a column that is present stays.
     """
+    wanted = declared(table)
     present = {c.upper() for c in df.columns}
     added = [
-        (F.lit(0) if has_default(c) else F.lit(None)).cast(column_type(c)).alias(c)
-        for c in columns
+        (F.lit(0) if wanted[c].zero else F.lit(None)).cast(wanted[c].spark_type).alias(c)
+        for c in (wanted if columns is None else columns)
         if c.upper() not in present
     ]
     return df.select("*", *added)
