@@ -23,15 +23,15 @@ def whole_ratio(numerator: Column, denominator: Column) -> Column:
 def rounded_ratio(numerator: Column, denominator: Column, digits: int) -> Column:
     """numerator / denominator, rounded half away from zero without a rounded step between.
 
-    Money counts in units of 1e-5 and quantities in units of 1e-2, the scales the
-    warehouse stores, so the quotient is found on integers.
+    Money counts in units of 1e-10, the scale of line costs, and quantities in units of 1e-2,
+    so the quotient is found on integers.
     """
-    top = (numerator.cast("decimal(23,5)") * F.lit(100_000)).cast("decimal(28,0)")
+    top = (numerator.cast("decimal(28,10)") * F.lit(10**10)).cast("decimal(38,0)")
     bottom = (denominator.cast("decimal(18,2)") * F.lit(100)).cast("decimal(20,0)")
     sign = F.when((top < 0) != (bottom < 0), F.lit(-1)).otherwise(F.lit(1))
-    scale = F.lit(2 * 10**digits)
-    unit = (F.abs(bottom) * F.lit(1000)).cast("decimal(24,0)")
-    steps = F.call_function("div", F.abs(top) * scale + unit, F.nullif(unit * F.lit(2), F.lit(0)))
+    unit = (F.abs(bottom) * F.lit(10**8)).cast("decimal(30,0)")
+    scaled = (F.abs(top) * F.lit(2 * 10**digits)).cast("decimal(38,0)")
+    steps = F.call_function("div", scaled + unit, F.nullif(unit * F.lit(2), F.lit(0)))
     return (sign * steps).cast("double") / F.lit(float(10**digits))
 
 

@@ -90,7 +90,13 @@ def test_zero_divisor_gives_null(rows):
     assert [tuple(r) for r in got] == [(None, None, None), (2.5, 2, 2.5)]
 
 
-money = st.integers(-(10**14), 10**14)
+def test_rounding_has_no_rounded_step_between(rows):
+    df = rows("a decimal(28,10)", (Decimal("0.0049999960"),), (Decimal("-0.0050000000"),))
+    got = [r[0] for r in df.select(ratios.rounded_ratio(F.col("a"), F.lit(1), 2)).collect()]
+    assert got == [0.0, -0.01]
+
+
+money = st.integers(-(10**17), 10**17)
 quantity = st.integers(-(10**8), 10**8).filter(bool)
 
 
@@ -100,11 +106,11 @@ def test_rounded_ratio_is_exact(pairs):
     from storelens.session import local_session
 
     spark = local_session("8")
-    values = [(Decimal(a).scaleb(-5), Decimal(b).scaleb(-2)) for a, b in pairs]
-    df = spark.createDataFrame(values, "a decimal(23,5), b decimal(18,2)")
+    values = [(Decimal(a).scaleb(-10), Decimal(b).scaleb(-2)) for a, b in pairs]
+    df = spark.createDataFrame(values, "a decimal(28,10), b decimal(18,2)")
     got = [r[0] for r in df.select(ratios.rounded_ratio(F.col("a"), F.col("b"), 2)).collect()]
     for (a, b), value in zip(pairs, got):
-        exact = Fraction(a, 10**5) / Fraction(b, 10**2) * 100
+        exact = Fraction(a, 10**10) / Fraction(b, 10**2) * 100
         steps = int(abs(exact) + Fraction(1, 2)) * (1 if exact >= 0 else -1)
         assert value == steps / 100
 
