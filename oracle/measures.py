@@ -5,20 +5,25 @@ from __future__ import annotations
 from oracle.tables import VALID, with_tables
 
 
+def as_double(value: str) -> str:
+    """The nearest double of an exact decimal; a direct cast may miss it by one unit."""
+    return f"CAST(CAST({value} AS VARCHAR) AS DOUBLE)"
+
+
 def dbl(*names: str, of: str = "") -> str:
     """Columns as doubles under their own names."""
     prefix = f"{of}." if of else ""
-    return ", ".join(f"CAST({prefix}{n} AS DOUBLE) AS {n}" for n in names)
+    return ", ".join(f"{as_double(prefix + n)} AS {n}" for n in names)
 
 
 def div(top: str, bottom: str) -> str:
-    return f"CAST({top} AS DOUBLE) / nullif(CAST({bottom} AS DOUBLE), 0)"
+    return f"{as_double(top)} / nullif({as_double(bottom)}, 0)"
 
 
 def rnd(top: str, bottom: str, digits: int) -> str:
-    """Half away from zero on integers: top in 1e-5 units, bottom in 1e-2 units."""
-    n = f"CAST(CAST({top} AS DECIMAL(28,5)) * 100000 AS HUGEINT)"
-    d = f"(CAST(CAST({bottom} AS DECIMAL(20,2)) * 100 AS HUGEINT) * 1000)"
+    """Half away from zero on integers: top in 1e-10 units, bottom in 1e-2 units."""
+    n = f"CAST(replace(CAST(CAST({top} AS DECIMAL(28,10)) AS VARCHAR), '.', '') AS HUGEINT)"
+    d = f"(CAST(CAST({bottom} AS DECIMAL(20,2)) * 100 AS HUGEINT) * 100000000)"
     sign = f"(CASE WHEN ({n} < 0) <> ({d} < 0) THEN -1 ELSE 1 END)"
     quotient = f"((2 * abs({n}) * {10**digits} + abs({d})) // nullif(2 * abs({d}), 0))"
     return f"CAST({sign} * {quotient} AS DOUBLE) / {10**digits}.0"
@@ -54,7 +59,7 @@ def average_sales(keys: str, period: str, extra: str = "") -> str:
 
 
 def dbl_sum(name: str, table: str = "v", alias: str | None = None) -> str:
-    return f"CAST(sum({table}.{name}) AS DOUBLE) AS {alias or name}"
+    return f"{as_double(f'sum({table}.{name})')} AS {alias or name}"
 
 
 MONTH = ", 'YEAR:' || p.YR || ' PERIOD:' || p.MN AS CLD_MO"
@@ -165,7 +170,7 @@ def margin_detail(share: str) -> str:
     half_units, half_costs = "(CAST(QU_BGN + QU_END AS DOUBLE) / 2)", "(CAST(CP_BGN + CP_END AS DOUBLE) / 2)"
     return f"""
         SELECT ID_ITM, ID_BSN_UN, ID_LCN, ID_ST_INV, ID_CTR_RVN_CST, ID_PRD_RP,
-               {dbl(*UNITS, *COSTS, "QU_NET_UN_SLS", "MO_NET_SLS", "MO_GRS_MRGN")},
+               {dbl(*UNITS, *COSTS, "MO_UN_RTL", "QU_NET_UN_SLS", "MO_NET_SLS", "MO_GRS_MRGN")},
                {div("CP_BGN", "MO_NET_SLS")} AS PD_BGN_SLS_STK_RATIO, {share} AS PCT_GRS_MRGN,
                {half_units} AS QU_AVG_INVTY, {div("QU_SLS", half_units)} AS QU_TRNOVR_INVTY,
                {half_costs} AS CP_AVG_INVTY, {div("CP_SLS", half_costs)} AS CP_TRNOVR_INVTY
@@ -200,32 +205,65 @@ def active_customers(count: str) -> str:
         GROUP BY ALL"""
 
 
-def key_report(table: str, keys: str, text: str) -> str:
-    return f"SELECT {text} AS KEY, count(*) AS QU_ROW FROM {table} GROUP BY {keys} HAVING count(*) > 1"
+def key_of(*columns: str) -> str:
+    return "CAST(to_json({" + ", ".join(f"'{c}': {c}" for c in columns) + "}) AS VARCHAR) AS KEY"
+
+
+def key_report(table: str, *columns: str) -> str:
+    missing = " OR ".join(f"{c} IS NULL" for c in columns)
+    return f"""
+        SELECT {key_of(*columns)}, count(*) AS QU_ROW FROM {table} GROUP BY {", ".join(columns)}
+        HAVING count(*) > 1 OR {missing}"""
+
+
+def orphan_rows(table: str, rows: str, column: str, parent: str, known: str) -> str:
+    return f"""
+        SELECT '{table}({column}) -> {parent}' AS CONSTRAINT_NAME, {key_of(column)}, count(*) AS QU_ROW
+        FROM ({rows}) WHERE {column} IS NOT NULL AND {column} NOT IN ({known}) GROUP BY {column}"""
+
+
+def not_checked(column: str, table: str, *names: str) -> str:
+    rows = ", ".join(f"('{table}({name}')" for name in names)
+    return f"SELECT c AS {column}, CAST(NULL AS VARCHAR) AS KEY, CAST(NULL AS BIGINT) AS QU_ROW FROM (VALUES {rows}) v(c)"
+
+
+def reported(table: str, check: str, body: str) -> str:
+    return f"SELECT '{table}' AS TABLE_NAME, '{check}' AS CHECK_NAME, KEY, QU_ROW FROM ({body})"
 
 
-def orphan_rows(table: str, column: str, parent: str, known: str) -> str:
-    name = f"{table[1]}({column}) -> {parent}"
+def flags_not_checked(table: str, *flags: str) -> str:
+    rows = ", ".join(f"('{flag} in (0,1)')" for flag in flags)
     return f"""
-        SELECT '{name}' AS CONSTRAINT_NAME, CAST({column} AS VARCHAR) AS KEY, count(*) AS QU_ROW
-        FROM {table[0]} WHERE {column} IS NOT NULL AND {column} NOT IN ({known}) GROUP BY ALL"""
+        SELECT '{table}' AS TABLE_NAME, c AS CHECK_NAME, CAST(NULL AS VARCHAR) AS KEY, CAST(NULL AS BIGINT) AS QU_ROW
+        FROM (VALUES {rows}) v(c)"""
+
+
+def failed(*checks: tuple[str, str]) -> str:
+    """Names of the checks that a row fails, as text."""
+    return "concat_ws('; ', " + ", ".join(f"CASE WHEN {rule} THEN '{name}' END" for name, rule in checks) + ")"
+
+
+TENDER_AMOUNTS = ["MO_TRN_AMT"] + [
+    f"{family}_MO_TRN_AMT" for family in ("CSH", "CHK", "CRDB", "CPN", "GF_CF", "CTAC", "TRADEIN", "EBT")
+]
 
 
 PARTS = "string_split(regexp_replace(PTH, '\\|$', ''), '|')"
 KEYS_CT_BU, KEYS_CT = "v.ID_CT, v.ID_BSN_UN", "v.ID_CT"
 T_CT_BU, T_CT = "t.ID_CT, t.ID_BSN_UN", "t.ID_CT"
 LINE_KEYS = "ID_CT, DC_DY_BSN, ID_BSN_UN, ID_CHNL, ID_TRN, IC_LN_ITM"
-PROBE_PAIR = "SELECT SERVER, DESTINATION, arg_max(REACHABLE, PROBE_ID) AS r FROM probe GROUP BY ALL"
-_SALE = ("sale", "DW3_FACT_SALE_RTN_BEHAVIOR")
-_TENDER = ("tender", "DW3_FACT_TENDER_BEHAVIOR")
-_KNOWN_CT = "SELECT ID_CT FROM ct WHERE CD_LF_STG <> 'MACHINERY'"
-_KNOWN_BU = "SELECT ID_BSN_UN FROM bsn_un WHERE ID_BSN_UN < 24"
-_KNOWN_ITM = "SELECT ID_ITM FROM itm WHERE TY_ITM_STK = 'RSU'"
+PROBE_PAIR = "SELECT SERVER, PORT, DESTINATION, arg_max(REACHABLE, PROBE_ID) AS r FROM probe GROUP BY ALL"
+_SALE, _TENDER = "DW3_FACT_SALE_RTN_BEHAVIOR", "DW3_FACT_TENDER_BEHAVIOR"
+_KNOWN_CT, _KNOWN_BU, _KNOWN_ITM = "SELECT ID_CT FROM ct", "SELECT ID_BSN_UN FROM bsn_un", "SELECT ID_ITM FROM itm"
+_SALE_KEYS = """
+    SELECT * REPLACE (CASE WHEN ID_TRN % 89 = 0 THEN -ID_ITM ELSE ID_ITM END AS ID_ITM,
+                      CASE WHEN ID_TRN % 97 = 0 THEN -ID_CT ELSE ID_CT END AS ID_CT) FROM sale"""
+_TENDER_KEYS = "SELECT * REPLACE (CASE WHEN ID_TRN % 83 = 0 THEN 99 ELSE ID_BSN_UN END AS ID_BSN_UN) FROM tender"
 
 CHANNEL_SALES = f"""
-    SELECT c.ID_CHNL, c.ID_PRD_RP, CAST(c.s AS DOUBLE) AS NET_SALES, CAST(c.m AS DOUBLE) AS NET_MARGIN,
-           CAST(a.s AS DOUBLE) AS CHAIN_NET_SALES, {div("c.s", "a.s")} * 100.0 AS PCT_CHNL_NET_SALES,
-           CAST(a.m AS DOUBLE) AS CHAIN_NET_MARGIN, {div("c.m", "a.m")} * 100.0 AS PCT_CHNL_NET_MARGIN
+    SELECT c.ID_CHNL, c.ID_PRD_RP, {as_double("c.s")} AS NET_SALES, {as_double("c.m")} AS NET_MARGIN,
+           {as_double("a.s")} AS CHAIN_NET_SALES, {div("c.s", "a.s")} * 100.0 AS PCT_CHNL_NET_SALES,
+           {as_double("a.m")} AS CHAIN_NET_MARGIN, {div("c.m", "a.m")} * 100.0 AS PCT_CHNL_NET_MARGIN
     FROM (SELECT ID_CHNL, ID_PRD_RP, sum(MO_NT_SLS) AS s, sum(MO_NET_MRGN) AS m
           FROM v1 v JOIN years p ON v.DC_DY_BSN = p.DC_DY_BSN GROUP BY ALL) c
     JOIN (SELECT ID_PRD_RP, sum(MO_NT_SLS) AS s, sum(MO_NET_MRGN) AS m
@@ -235,7 +273,6 @@ AVERAGE_SALES_YEARS = average_sales(KEYS_CT_BU, "years")
 V1 = replaced("v1", V1_SUMS)
 V2 = replaced("v2", V2_AMOUNTS)
 V6 = replaced("v6", ["MO_BSN_UN_QTR_NET_SLS", "MO_BSN_UN_QTR_NET_MRGN"])
-SOLD_DAYS = "SELECT DISTINCT CAST(o_orderdate AS DATE) FROM orders"
 
 
 def _level(index: int, label: str) -> str:
@@ -253,7 +290,17 @@ BODIES = {
         SELECT CAST(ID_TRN AS VARCHAR) AS ID_TRN, CAST(IC_LN_ITM AS SMALLINT) AS IC_LN_ITM,
                CAST(ID_BSN_UN AS VARCHAR) AS ID_BSN_UN, DC_DY_BSN, FL_CNCL, FL_VD, FL_SPN, FL_TRG_TRN,
                ID_CT, CAST(ID_CHNL AS BIGINT) AS ID_CHNL, CAST(ID_ITM AS VARCHAR) AS ID_ITM,
-               {dbl("QU_ITM_LM_RTN_SLS", "QU_UN", "MO_EXTND", "CP_INV", "UN_INV_UPRQY")} FROM sale""",
+               {dbl("QU_ITM_LM_RTN_SLS", "QU_UN", "MO_EXTND", "CP_INV", "UN_INV_UPRQY")},
+               CAST(NULL AS VARCHAR) AS FAILED_CASTS FROM sale""",
+    "s1_tender_scan": f"""
+        SELECT CAST(ID_TRN AS VARCHAR) AS ID_TRN, CAST(IC_LN_ITM AS SMALLINT) AS IC_LN_ITM,
+               CAST(ID_BSN_UN AS VARCHAR) AS ID_BSN_UN, DC_DY_BSN, FL_CNCL, FL_VD, FL_SPN, FL_TRG_TRN,
+               ID_CT, CAST(ID_CHNL AS BIGINT) AS ID_CHNL, TY_TND, CD_CNY_ISO_4217_LCL, CD_CNY_ISO_4217_TND,
+               CRDB_TY_CRD, CRDB_ID_TND_MD_BRN,
+               {", ".join(f"CASE WHEN abs({a}) < 100000 THEN CAST({a} AS DOUBLE) END AS {a}" for a in TENDER_AMOUNTS)},
+               nullif(concat_ws('; ', {", ".join(
+                   f"CASE WHEN abs({a}) >= 100000 THEN '{a}=' || {a} END" for a in sorted(TENDER_AMOUNTS))}), '')
+               AS FAILED_CASTS FROM tender""",
     "s2_stored_sale_summary": V1,
     "s2_sales_from_stored_summary": AVERAGE_SALES_YEARS,
     "s3_stored_tender_summary": V2,
@@ -264,16 +311,13 @@ BODIES = {
     "s7_csv_export": CHANNEL_SALES,
     "f1_sale_lines": f"""
         SELECT {LINE_KEYS}, {dbl("MO_EXTND", "QU_UN", "QU_ITM_LM_RTN_SLS", "MO_CST_INV_EXTND")},
-               CAST(MO_EXTND - MO_CST_INV_EXTND AS DOUBLE) AS NET_MRGN FROM sale_line""",
+               {as_double("(MO_EXTND - MO_CST_INV_EXTND)")} AS NET_MRGN FROM sale_line""",
     "f6_tender_lines": f"""
         SELECT {LINE_KEYS}, TY_TND, {dbl("MO_TRN_AMT")},
-               CAST(TY_TND = 'CASH' AS INTEGER) AS IND_CASH,
-               CAST(TY_TND IN ('CHEQUE', 'CHECK') AS INTEGER) AS IND_CHECK,
-               CAST(TY_TND IN ('CREDIT', 'DEBIT') AS INTEGER) AS IND_CRDB,
-               CAST(TY_TND = 'COUPON' AS INTEGER) AS IND_COUPON,
-               CAST(TY_TND = 'STORED_VALUE' AS INTEGER) AS IND_STORED_VALUE,
-               CAST(TY_TND = 'CUST_ACCT' AS INTEGER) AS IND_CUST_ACCT,
-               CAST(TY_TND = 'TRADEIN' AS INTEGER) AS IND_TRADEIN, CAST(TY_TND = 'EBT' AS INTEGER) AS IND_EBT,
+               {", ".join(f"CASE WHEN TY_TND IN ({types}) THEN 1 ELSE 0 END AS IND_{name}" for name, types in (
+                   ("CASH", "'CASH'"), ("CHECK", "'CHEQUE', 'CHECK'"), ("CRDB", "'CREDIT', 'DEBIT'"),
+                   ("COUPON", "'COUPON'"), ("STORED_VALUE", "'STORED_VALUE'"), ("CUST_ACCT", "'CUST_ACCT'"),
+                   ("TRADEIN", "'TRADEIN'"), ("EBT", "'EBT'")))},
                coalesce(CRDB_TY_CRD, 'NON_CRDB_TENDER') AS CRDB_TY_CRD,
                coalesce(CRDB_ID_TND_MD_BRN, 'NON_CRDB_TENDER') AS CRDB_ID_TND_MD_BRN,
                coalesce(CAST(CD_CNY_ISO_4217_LCL <> CD_CNY_ISO_4217_TND AS INTEGER), 0) AS CNY_CNV_IND,
@@ -292,8 +336,7 @@ BODIES = {
     "v1_sale_summary": V1,
     "v2_tender_summary": V2,
     "v3_months_per_period": f"""
-        SELECT NM_PRD_RP, NM_CLD, count(DISTINCT YR * 100 + MN) AS MNTH_COUNT FROM rp
-        WHERE DC_DY_BSN IN ({SOLD_DAYS}) GROUP BY ALL""",
+        SELECT NM_PRD_RP, NM_CLD, count(DISTINCT YR * 100 + MN) AS MNTH_COUNT FROM rp GROUP BY ALL""",
     "v4_unit_velocity": velocity(UNITS, ["QU"]),
     "v5_cost_velocity": velocity(UNITS + COSTS, ["QU", "CP"]),
     "v6_quarterly_sales": V6,
@@ -331,12 +374,12 @@ BODIES = {
         WHERE b.INDEXKEY_PRODBODLOT = l.INDEXKEY_PRODBODLOT AND b.PRODUCT_ID_CORP = f.PRODUCT_ID_CORP
           AND b.WARE_CODE = w.WARE_CODE""",
     "mt1_period_days": f"""
-        SELECT DC_DY_BSN, ID_CLD, NM_CLD, ID_PRD_RP, NM_PRD_RP, CAST((YR - 1994) * 12 + MN AS INTEGER) AS ID_CLD_PRD,
+        SELECT DC_DY_BSN, ID_CLD, NM_CLD, ID_PRD_RP, NM_PRD_RP, CAST((YR - (SELECT f FROM span)) * 12 + MN AS INTEGER) AS ID_CLD_PRD,
                monthname(DC_DY_BSN) AS NM_DT, CAST(dayofweek(DC_DY_BSN) + 1 AS INTEGER) AS DT_PT,
                'YEAR|SEASON|QUARTER|PERIOD|WEEK' AS LVL_PTH,
                YR || '|' || SSN || '|' || QTR || '|' || MN || '|' || WK AS NM_PTH,
                'YEAR:' || YR || ' PERIOD:' || MN AS CP_SUM
-        FROM sample WHERE DC_DY_BSN IN ({SOLD_DAYS})""",
+        FROM sample""",
     "m1_average_sales_customer_store": average_sales(KEYS_CT_BU, "sample"),
     "m1m_average_sales_customer_store_periods": AVERAGE_SALES_YEARS,
     "m2_average_sales_customer": average_sales(KEYS_CT, "sample"),
@@ -427,31 +470,66 @@ BODIES = {
                CAST(date_diff('day', min(v.DC_DY_BSN), DATE '2002-01-01') AS INTEGER) AS QU_DY_CT_LONGEVITY,
                c.LN_PRS, c.FN_PRS, c.NM_PRS_ML
         FROM v1 v JOIN ct c ON v.ID_CT = c.ID_CT GROUP BY v.ID_CT, c.LN_PRS, c.FN_PRS, c.NM_PRS_ML""",
-    "q1_sale_key_violations": key_report("sale", "ID_TRN, IC_LN_ITM", "ID_TRN || '|' || IC_LN_ITM"),
-    "q2_unique_key_violations": key_report("sale", "ID_TRN, ID_ITM", "ID_TRN || '|' || ID_ITM"),
+    "q1_sale_key_violations": key_report("sale", "ID_TRN", "IC_LN_ITM"),
+    "q2_unique_key_violations": key_report("sale", "ID_TRN", "ID_ITM"),
+    "q1_q2_q4_constraint_report": " UNION ALL ".join(
+        [
+            reported(_SALE, "primary key (ID_TRN, IC_LN_ITM)", key_report(
+                "(SELECT * REPLACE (CASE WHEN ID_TRN % 61 <> 1 THEN IC_LN_ITM END AS IC_LN_ITM) FROM sale)",
+                "ID_TRN", "IC_LN_ITM")),
+            reported(_SALE, "FL_PRRT in (0,1)", """
+                SELECT CAST(NULL AS VARCHAR) AS KEY, count(*) AS QU_ROW FROM sale WHERE ID_TRN % 3 = 2
+                HAVING count(*) > 0"""),
+            reported(_TENDER, "primary key (ID_TRN, IC_LN_ITM)", key_report(
+                "(SELECT * FROM tender UNION ALL SELECT * FROM tender WHERE ID_TRN % 53 = 0)", "ID_TRN", "IC_LN_ITM")),
+            reported("DW3_DIM_CT", "primary key (ID_CT)", key_report(
+                "(SELECT * FROM ct UNION ALL SELECT * FROM ct WHERE ID_CT % 17 = 3)", "ID_CT")),
+            flags_not_checked(_TENDER, "FL_CO_PAY"),
+            flags_not_checked("DW3_DIM_CT", "FL_ANNYMS", "FL_BNKRPTY"),
+            flags_not_checked("DW3_DIM_ITM", "FL_ITM_SBST_IDN", "FL_FD_STP_ALW", "FL_CPN_ALW_MULTY", "FL_RTN_PRH",
+                              "FL_ITM_WIC", "FL_SHRBL"),
+        ]
+    ),
     "q3_foreign_key_violations": " UNION ALL ".join(
         [
-            orphan_rows(_SALE, "ID_BSN_UN", "DW3_DIM_BUSINESS_UNIT", _KNOWN_BU),
-            orphan_rows(_SALE, "ID_CT", "DW3_DIM_CT", _KNOWN_CT),
-            orphan_rows(_SALE, "ID_ITM", "DW3_DIM_ITM", _KNOWN_ITM),
-            orphan_rows(_TENDER, "ID_BSN_UN", "DW3_DIM_BUSINESS_UNIT", _KNOWN_BU),
-            orphan_rows(_TENDER, "ID_CT", "DW3_DIM_CT", _KNOWN_CT),
+            orphan_rows(_SALE, _SALE_KEYS, "ID_BSN_UN", "DW3_DIM_BUSINESS_UNIT", _KNOWN_BU),
+            orphan_rows(_SALE, _SALE_KEYS, "ID_CT", "DW3_DIM_CT", _KNOWN_CT),
+            orphan_rows(_SALE, _SALE_KEYS, "ID_ITM", "DW3_DIM_ITM", _KNOWN_ITM),
+            orphan_rows(_TENDER, _TENDER_KEYS, "ID_BSN_UN", "DW3_DIM_BUSINESS_UNIT", _KNOWN_BU),
+            orphan_rows(_TENDER, _TENDER_KEYS, "ID_CT", "DW3_DIM_CT", _KNOWN_CT),
+            not_checked("CONSTRAINT_NAME", _SALE, "ID_LCN,ID_BSN_UN) -> DW3_DIM_INVENTORY_LOCATION",
+                        "ID_CHNL) -> DW3_DIM_CHNL", *[f"ID_PRM_OFR_{n}) -> DW3_DIM_PROMOTION" for n in range(1, 6)],
+                        "ID_METAR_WTHR_CN) -> CO_METAR_WTHR_CN", "CD_RSN) -> CO_CD_RSN",
+                        *[f"CD_RSN_{n}) -> CO_CD_RSN" for n in range(1, 6)]),
+            not_checked("CONSTRAINT_NAME", _TENDER, "ID_CHNL) -> DW3_DIM_CHNL"),
+            not_checked("CONSTRAINT_NAME", "DW3_DIM_CT", "ID_CT_HSHLD) -> DW3_DIM_HSHLD"),
+            not_checked("CONSTRAINT_NAME", "DW3_DIM_ITM", "CD_UOM) -> CO_UOM"),
         ]
     ),
     "q4_flag_violations": """
         SELECT 'FL_PRRT in (0,1)' AS CHECK_NAME, count(*) AS QU_ROW FROM sale WHERE ID_TRN % 3 = 2""",
-    "q5_domain_violations": """
-        SELECT ID_TRN, IC_LN_ITM, concat_ws('; ',
-                 CASE WHEN CD_CNY_ISO_4217_LCL IS NULL THEN 'CD_CNY_ISO_4217_LCL not null' END,
-                 CASE WHEN length(CRDB_TY_CRD) > 6 THEN 'CRDB_TY_CRD char(6)' END,
-                 CASE WHEN abs(MO_TRN_AMT) > 99999.99 THEN 'MO_TRN_AMT decimal(7,2)' END) AS FAILED
-        FROM tender WHERE CD_CNY_ISO_4217_LCL IS NULL OR length(CRDB_TY_CRD) > 6 OR abs(MO_TRN_AMT) > 99999.99""",
+    "q5_domain_violations": f"""
+        SELECT * FROM (SELECT CAST(ID_TRN AS VARCHAR) AS ID_TRN, CAST(IC_LN_ITM AS SMALLINT) AS IC_LN_ITM, {failed(
+            ("MO_TRN_AMT decimal(7,2)", "abs(MO_TRN_AMT) >= 100000"),
+            *[(f"{a} decimal(7,2)", f"abs({a}) >= 100000") for a in TENDER_AMOUNTS[1:]],
+            ("CRDB_TY_CRD char(6)", "length(CRDB_TY_CRD) > 6"),
+        )} AS FAILED FROM tender) WHERE FAILED <> ''""",
+    "q7_days_without_calendar": " UNION ALL ".join(
+        f"""SELECT '{name}' AS FACT, count(*) AS QU_ROW, count(*) FILTER (x NOT IN (SELECT DC_DY_BSN FROM retail))
+        AS QU_ROW_NO_DAY FROM ({rows})"""
+        for name, rows in (
+            ("sale", "SELECT DC_DY_BSN AS x FROM sale"),
+            ("tender", "SELECT DC_DY_BSN AS x FROM tender"),
+            ("movement", "SELECT CAST(l_shipdate AS DATE) AS x FROM lineitem"),
+        )
+    ),
     "q6_default_fill": """
         SELECT ID_TRN, IC_LN_ITM, ID_ITM, FL_SPN, CAST(0 AS DOUBLE) AS MO_DSC_UN,
                CAST(NULL AS DOUBLE) AS MO_TRN_LVL_DSCNT, CAST(NULL AS VARCHAR) AS CD_RSN FROM sale""",
     "x1_reachability_matrix": f"""
-        SELECT SERVER, {", ".join(f"any_value(r) FILTER (DESTINATION = 'DST{i}') AS DST{i}" for i in range(1, 8))}
-        FROM ({PROBE_PAIR}) GROUP BY SERVER""",
+        SELECT SERVER, PORT, {", ".join(f"any_value(r) FILTER (DESTINATION = 'DST{i}') AS DST{i}" for i in range(1, 7))},
+               '{{"DST7":' || any_value(r) FILTER (DESTINATION = 'DST7') || '}}' AS OTHER
+        FROM ({PROBE_PAIR}) GROUP BY SERVER, PORT""",
     "x2_account_plan": """
         SELECT substring(FIRST_NAME, 1, 1) || LAST_NAME AS USER_NAME, 'OU=' || LOC AS OU_PATH, TRUE AS IS_ENABLED,
                FIRST_NAME AS GIVEN_NAME, LAST_NAME AS SURNAME, DEPARTMENT, EMPLOYEE_ID, PHONE AS OFFICE_PHONE

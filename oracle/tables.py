@@ -16,18 +16,45 @@ def _mapped(text: str) -> str:
     return text.format_map(_Inputs())
 
 
-COST = """
-CAST(CASE WHEN i.TY_ITM_STK = 'BULK' AND s.QU_UN > 0
-          THEN CAST(s.CP_INV AS DOUBLE) * CAST(s.QU_UN AS DOUBLE)
-          ELSE CAST(s.CP_INV AS DOUBLE) / nullif(CAST(s.UN_INV_UPRQY AS DOUBLE), 0)
-               * CAST(s.QU_ITM_LM_RTN_SLS AS DOUBLE) END AS DECIMAL(18,5))
+def _whole(column: str, digits: int) -> str:
+    return f"CAST({column} * {10**digits} AS HUGEINT)"
+
+
+# Cost of a line on whole numbers, in units of 1e-10: unit cost times 1e5, quantities times 1e2.
+COST = f"""
+CASE WHEN i.TY_ITM_STK = 'BULK' AND s.QU_UN > 0 THEN {_whole("s.CP_INV", 5)} * {_whole("s.QU_UN", 2)} * 1000
+     WHEN s.UN_INV_UPRQY <> 0
+     THEN sign(s.QU_ITM_LM_RTN_SLS)
+          * ((2 * {_whole("s.CP_INV", 5)} * abs({_whole("s.QU_ITM_LM_RTN_SLS", 2)}) * 100000
+              + {_whole("s.UN_INV_UPRQY", 2)}) // (2 * {_whole("s.UN_INV_UPRQY", 2)})) END
 """
+
+
+def decimal_of(units: str) -> str:
+    """Units of 1e-10 as a decimal; set down as text, for a decimal quotient would be a double."""
+    return f"""CAST(CASE WHEN {units} < 0 THEN '-' ELSE '' END || CAST(abs({units}) // 10000000000 AS VARCHAR) || '.'
+        || lpad(CAST(abs({units}) % 10000000000 AS VARCHAR), 10, '0') AS DECIMAL(28,10))"""
+
+
+def first_day(year: str) -> str:
+    """Sunday on or before 4 February."""
+    return f"(make_date({year}, 2, 4) - CAST(dayofweek(make_date({year}, 2, 4)) AS INTEGER))"
+
+
 VALID = "FL_CNCL = 0 AND FL_VD = 0 AND FL_SPN = 0 AND FL_TRG_TRN = 0"
 
 # Days of the retail calendar come from the published rule; months are read off a list of
 # the weeks on which they start.
 CTES = {
-    "cal_day": "SELECT CAST(DATE '1994-01-30' + CAST(i AS INTEGER) AS DATE) AS d FROM range(0, 2926) x(i)",
+    "span_day": """
+        SELECT min(x) AS a, max(x) AS b FROM (SELECT CAST(o_orderdate AS DATE) AS x FROM orders
+                                              UNION ALL SELECT CAST(l_shipdate AS DATE) FROM lineitem)""",
+    "span": f"""
+        SELECT CASE WHEN a < {first_day("year(a)")} THEN year(a) - 1 ELSE year(a) END AS f,
+               CASE WHEN b < {first_day("year(b)")} THEN year(b) - 1 ELSE year(b) END AS l FROM span_day""",
+    "cal_day": f"""
+        SELECT CAST({first_day("f")} + CAST(unnest(range({first_day("l + 1")} - {first_day("f")})) AS INTEGER) AS DATE)
+               AS d FROM span""",
     "cal_year": """
         SELECT d, CASE WHEN d < start THEN y - 1 ELSE y END AS y FROM (
           SELECT d, year(d) AS y,
@@ -56,8 +83,8 @@ CTES = {
         FROM retail UNION ALL
         SELECT YR + 10000, 'CALENDAR YEAR ' || YR, * FROM gregorian""",
     "sample": "SELECT * FROM rp WHERE NM_PRD_RP = 'SAMPLE REPORTING PERIOD'",
-    "years": "SELECT * FROM rp WHERE ID_CLD = 1 AND ID_PRD_RP BETWEEN 1994 AND 2001",
-    "month_days": "SELECT ID_PRD_RP, DC_DY_BSN FROM rp WHERE ID_CLD = 1 AND ID_PRD_RP BETWEEN 199401 AND 200112",
+    "years": "SELECT * FROM rp WHERE NM_PRD_RP LIKE 'FISCAL YEAR%'",
+    "month_days": "SELECT ID_PRD_RP, DC_DY_BSN FROM rp WHERE NM_PRD_RP LIKE 'FISCAL MONTH%'",
     "rp_months": """
         SELECT NM_PRD_RP, NM_CLD, count(DISTINCT YR * 100 + MN) AS MNTH_COUNT FROM rp GROUP BY ALL""",
     "bsn_un": _mapped(t.BUSINESS_UNIT),
@@ -82,8 +109,9 @@ CTES = {
     "probe": _mapped(t.PROBE),
     "sale_line": f"""
         SELECT s.ID_CT, s.DC_DY_BSN, s.ID_BSN_UN, s.ID_CHNL, s.ID_TRN, s.IC_LN_ITM, s.MO_EXTND, s.QU_UN,
-               s.QU_ITM_LM_RTN_SLS, {COST} AS MO_CST_INV_EXTND
-        FROM sale s JOIN itm i ON s.ID_ITM = i.ID_ITM WHERE {VALID}""",
+               s.QU_ITM_LM_RTN_SLS, {decimal_of("u")} AS MO_CST_INV_EXTND
+        FROM (SELECT s.*, CAST({COST} AS HUGEINT) AS u
+              FROM sale s JOIN itm i ON s.ID_ITM = i.ID_ITM WHERE {VALID}) s""",
     "v1": """
         SELECT ID_CT, DC_DY_BSN, ID_BSN_UN, ID_CHNL, ID_TRN, count(IC_LN_ITM) AS QU_LN_ITM,
                sum(MO_EXTND) AS MO_NT_SLS, sum(QU_ITM_LM_RTN_SLS) AS QU_ITM_SLD,

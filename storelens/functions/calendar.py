@@ -24,6 +24,10 @@ def first_day(year: int) -> dt.date:
     return limit - dt.timedelta(days=limit.isoweekday() % 7)
 
 
+def retail_year(day: dt.date) -> int:
+    return day.year if day >= first_day(day.year) else day.year - 1
+
+
 def _first_day(year: Column) -> Column:
     limit = F.make_date(year, F.lit(2), F.lit(4))
     return F.date_sub(limit, F.dayofweek(limit) - 1)

@@ -40,9 +40,10 @@ def channel_transaction_share(summary: DataFrame, periods: DataFrame) -> DataFra
 
 def tender_share(tenders: DataFrame, periods: DataFrame, within_type: bool) -> DataFrame:
     """Tender value per channel and tender type, as a share of the period's tender (M7b),
-    or of that tender type's total in the period (M33)."""
+    or of that tender type's total in the period (M33); there a tender must have a type."""
+    known = tenders.filter(F.col("TY_TND").isNotNull()) if within_type else tenders
     channels = (
-        on_day(tenders, periods, "ID_PRD_RP")
+        on_day(known, periods, "ID_PRD_RP")
         .groupBy("ID_CHNL", "TY_TND", "ID_PRD_RP")
         .agg(F.sum("MO_TRN_ALL_TNDR_APPLD").alias("MO_CHNL_TNDR_TYP_SMRY"))
     )

@@ -180,6 +180,7 @@ def margin_detail(stock: DataFrame, periods: DataFrame, semantics: str = "intend
         "ID_PRD_RP",
         *UNITS,
         *COSTS,
+        "MO_UN_RTL",
         "QU_NET_UN_SLS",
         "MO_NET_SLS",
         "MO_GRS_MRGN",

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from itertools import islice
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A configuration table lists branches; one that lists more is not a branch list.
-MAX_BRANCHES = 10_000
+# Column with the branch, and the folders that the table is divided into.
+BRANCH, FOLDER = "BRANCH", "BRANCH_FOLDER"
 
 
 class Split(NamedTuple):
@@ -51,13 +52,11 @@ def read_query(
     return spark.read.format("jdbc").options(**jdbc_options(server, database, query, split)).load()
 
 
-def branch_names(config: DataFrame) -> list[str]:
-    """Databases whose ETL flag is 1, in name order."""
-    chosen = config.filter(F.col("ETL") == 1).select("BASEDATOS").distinct()
-    rows = chosen.orderBy("BASEDATOS").limit(MAX_BRANCHES + 1).collect()
-    if len(rows) > MAX_BRANCHES:
-        raise ValueError(f"more than {MAX_BRANCHES} branches are marked for loading")
-    return [row["BASEDATOS"] for row in rows]
+def branch_names(config: DataFrame) -> Iterator[str]:
+    """Databases whose ETL flag is 1, in name order; the driver holds a part of the list at a time."""
+    chosen = config.filter(F.col("ETL") == 1).select("BASEDATOS").distinct().orderBy("BASEDATOS")
+    for row in chosen.toLocalIterator():
+        yield row["BASEDATOS"]
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -71,12 +70,21 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return frames[0]
 
 
-def read_branches(config: DataFrame, read_one: Callable[[str], DataFrame]) -> DataFrame:
-    """One scan per branch under a single union, so branches load side by side.
+def read_branches(
+    config: DataFrame, read_one: Callable[[str], DataFrame], path: str, together: int = 64
+) -> DataFrame:
+    """Loads every marked branch into one table at a path, by branch (S6); returns that table.
 
-    Branches may differ in columns; a column that a branch lacks is NULL there.
+    Some branches load side by side under one union, then the next ones, so a list may be of
+    any length. Branches may differ in columns; a column that a branch lacks is NULL there.
     """
-    names = branch_names(config)
-    if not names:
+    names = iter(branch_names(config))
+    mode = "overwrite"
+    while batch := list(islice(names, together)):
+        loaded = _union([read_one(name).withColumn(BRANCH, F.lit(name)) for name in batch])
+        loaded.withColumn(FOLDER, F.col(BRANCH)).write.mode(mode).partitionBy(FOLDER).parquet(path)
+        mode = "append"
+    if mode == "overwrite":
         raise ValueError("no branch is marked for loading")
-    return _union([read_one(name).withColumn("BRANCH", F.lit(name)) for name in names])
+    spark = config.sparkSession
+    return spark.read.option("mergeSchema", "true").parquet(path).drop(FOLDER)

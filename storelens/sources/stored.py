@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +24,12 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root}/storelens-{uuid.uuid4().hex}"
 
 
+@lru_cache(maxsize=8)
+def session_folder(spark: SparkSession) -> str:
+    """One folder for what a session stores once; the same at each call."""
+    return shared_folder(spark)
+
+
 def store_by_month(df: DataFrame, path: str) -> DataFrame:
     """Replaces a summary that has a business day; month directories let periods prune it.
 

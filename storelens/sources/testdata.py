@@ -7,6 +7,7 @@ comparison tests the measures and not this mapping. Names in braces are inputs.
 from __future__ import annotations
 
 import datetime as dt
+import zlib
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,20 +18,20 @@ from storelens.functions.calendar import (
     first_day,
     gregorian_calendar,
     retail_calendar,
+    retail_year,
     with_levels,
 )
 from storelens.functions.rules import same_text
 from storelens.operators.periods import select_periods
 from storelens.plans.inventory import saleable
 from storelens.plans.summaries import sale_summary, tender_summary
-from storelens.sources.stored import shared_folder, store
+from storelens.sources.stored import session_folder, store, store_by_month
 
-FIRST_YEAR, LAST_YEAR = 1994, 2001
 SAMPLE_PERIOD = "SAMPLE REPORTING PERIOD"
-# Period ids: 1 is the whole span, a year number is that year, and year * 100 + month a month.
-YEAR_PERIODS = (FIRST_YEAR, LAST_YEAR)
-MONTH_PERIODS = (FIRST_YEAR * 100 + 1, LAST_YEAR * 100 + 12)
-MONTH_COUNT = (LAST_YEAR - FIRST_YEAR + 1) * 12
+# Period ids: 1 is the whole span, a year number is that year, year * 100 + month a month, and
+# other calendars' years follow 10000.
+YEAR_PERIODS = (1000, 9999)
+MONTH_PERIODS = (100_000, 999_999)
 
 BUSINESS_UNIT = """
 SELECT n_nationkey AS ID_BSN_UN, n_name AS NM_BSN_UN, 'ST' AS TY_BSN_UN FROM {nation}
@@ -69,7 +70,8 @@ SELECT l_orderkey AS ID_TRN, l_linenumber AS IC_LN_ITM, l_orderkey % 25 AS ID_BS
        CASE WHEN l_orderkey % 50 = 2 THEN 1 ELSE 0 END AS FL_VD,
        CASE WHEN l_orderkey % 50 = 3 THEN 1 WHEN l_orderkey % 50 = 4 THEN NULL ELSE 0 END AS FL_SPN,
        CASE WHEN l_orderkey % 50 = 5 THEN 1 ELSE 0 END AS FL_TRG_TRN,
-       o_custkey AS ID_CT, CAST(substring(o_orderpriority, 1, 1) AS INTEGER) AS ID_CHNL,
+       CASE WHEN l_orderkey % 41 = 7 THEN NULL ELSE o_custkey END AS ID_CT,
+       CAST(substring(o_orderpriority, 1, 1) AS INTEGER) AS ID_CHNL,
        l_partkey AS ID_ITM,
        CAST(CASE WHEN l_returnflag = 'R' THEN -l_quantity ELSE l_quantity END AS DECIMAL(9,2))
            AS QU_ITM_LM_RTN_SLS,
@@ -77,7 +79,7 @@ SELECT l_orderkey AS ID_TRN, l_linenumber AS IC_LN_ITM, l_orderkey % 25 AS ID_BS
        CAST(CASE WHEN l_returnflag = 'R' THEN -l_extendedprice ELSE l_extendedprice END
            AS DECIMAL(16,5)) AS MO_EXTND,
        CAST(900 + l_partkey % 1000 AS DECIMAL(16,5)) AS CP_INV,
-       CAST(CASE l_partkey % 50 WHEN 49 THEN 0 WHEN 7 THEN 2 WHEN 8 THEN 4 ELSE 1 END
+       CAST(CASE l_partkey % 50 WHEN 49 THEN 0 WHEN 7 THEN 2 WHEN 8 THEN 4 WHEN 9 THEN 3 ELSE 1 END
            AS DECIMAL(9,2)) AS UN_INV_UPRQY
 FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
 """
@@ -92,7 +94,8 @@ SELECT o_orderkey AS ID_TRN, {line} AS IC_LN_ITM, o_orderkey % 25 AS ID_BSN_UN,
        o_custkey AS ID_CT, CAST(substring(o_orderpriority, 1, 1) AS INTEGER) AS ID_CHNL,
        CASE (o_orderkey + {line}) % 10 WHEN 0 THEN 'CASH' WHEN 1 THEN 'CHEQUE' WHEN 2 THEN 'CHECK'
             WHEN 3 THEN 'CREDIT' WHEN 4 THEN 'DEBIT' WHEN 5 THEN 'COUPON' WHEN 6 THEN 'STORED_VALUE'
-            WHEN 7 THEN 'CUST_ACCT' WHEN 8 THEN 'TRADEIN' ELSE 'EBT' END AS TY_TND,
+            WHEN 7 THEN 'CUST_ACCT' WHEN 8 THEN 'TRADEIN'
+            ELSE CASE WHEN o_orderkey % 3 = 1 THEN NULL ELSE 'EBT' END END AS TY_TND,
        CAST({amount} AS DECIMAL(16,2)) AS MO_TRN_AMT,
        CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE 'USD' END AS CD_CNY_ISO_4217_LCL,
        CASE WHEN o_orderkey % 9 < 2 THEN 'CAD' ELSE 'USD' END AS CD_CNY_ISO_4217_TND
@@ -170,7 +173,8 @@ FROM (
          CAST(900 + ID_ITM % 1000 AS DECIMAL(16,5)) AS CP_UN_AV_WT_BGN,
          CAST(900.25 + ID_ITM % 1000 AS DECIMAL(16,5)) AS CP_UN_AV_WT_END,
          CAST(SOLD * (900 + ID_ITM % 1000) AS DECIMAL(26,5)) AS TC_RCV_CM,
-         TP_SLS_GS_CM, TP_RTN
+         TP_SLS_GS_CM, TP_RTN,
+         CAST(1200 + ID_ITM % 1000 AS DECIMAL(7,2)) AS MO_UN_RTL
   FROM ({_MOVEMENT}) m
 ) b
 """
@@ -186,23 +190,24 @@ SELECT 1 AS ID_ST_INV, 'AVAILABLE_FOR_SALE' AS NM_ST_INV UNION ALL SELECT 2, 'DA
 UNION ALL SELECT 3, 'RESERVED'
 """
 
-_LOT_LINES = "(SELECT concat(l_partkey, '-', l_suppkey) AS LOT_KEY, * FROM {lineitem}) x"
-
-LOT_STOCK = f"""
-SELECT LOT_KEY AS INDEXKEY_PRODBODLOT, MIN(l_partkey) AS PRODUCT_ID_CORP,
-       MIN(l_suppkey % 25) AS WARE_CODE, MIN(concat('A', l_suppkey % 7)) AS LOCATION,
-       MIN(l_suppkey) AS LOTE_ID, CAST(SUM(CAST(l_quantity AS DECIMAL(9,2))) AS BIGINT) AS OH,
+# Lots group by numbers; texts are made of them after the sums.
+LOT_STOCK = """
+SELECT concat(l_partkey, '-', l_suppkey) AS INDEXKEY_PRODBODLOT, l_partkey AS PRODUCT_ID_CORP,
+       l_suppkey % 25 AS WARE_CODE, concat('A', l_suppkey % 7) AS LOCATION,
+       l_suppkey AS LOTE_ID, CAST(SUM(CAST(l_quantity AS DECIMAL(9,2))) AS BIGINT) AS OH,
        CAST(SUM(CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS DECIMAL(9,2)) ELSE 0 END) AS BIGINT)
            AS COMMITED
-FROM {_LOT_LINES} GROUP BY LOT_KEY
+FROM {lineitem} GROUP BY l_partkey, l_suppkey
 """
 
-LOT = f"""
-SELECT LOT_KEY AS INDEXKEY_PRODBODLOT,
-       CAST(MIN(l_shipdate) AS DATE) AS ENTRADA_FECHA, MIN(l_linestatus) AS ENTRADA_TIPO,
+LOT = """
+SELECT concat(l_partkey, '-', l_suppkey) AS INDEXKEY_PRODBODLOT,
+       CAST(MIN(l_shipdate) AS DATE) AS ENTRADA_FECHA,
+       CASE MIN(CASE l_linestatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END)
+            WHEN 1 THEN 'F' WHEN 2 THEN 'O' ELSE 'P' END AS ENTRADA_TIPO,
        MIN(l_orderkey) AS ENTRADA_DOC_REFERENCIA,
        CAST(MIN(l_shipdate) + INTERVAL '180' DAY AS DATE) AS FECHA_CADUCIDAD
-FROM {_LOT_LINES} GROUP BY LOT_KEY
+FROM {lineitem} GROUP BY l_partkey, l_suppkey
 """
 
 PRODUCT = """
@@ -248,19 +253,20 @@ FROM {supplier} WHERE s_suppkey % 80 % 3 = 0
 """
 
 PROBE = """
-SELECT concat('SRV', l_suppkey) AS SERVER, concat('DST', l_linenumber) AS DESTINATION,
+SELECT concat('SRV', l_suppkey) AS SERVER, 1433 + l_partkey % 2 AS PORT, concat('DST', l_linenumber) AS DESTINATION,
        l_orderkey AS PROBE_ID, l_orderkey % 4 <> 0 AS REACHABLE
 FROM {lineitem}
 """
-PROBE_DESTINATIONS = [f"DST{n}" for n in range(1, 8)]
+# The last destination is left to the map of others.
+PROBE_DESTINATIONS = [f"DST{n}" for n in range(1, 7)]
 
 
 class Warehouse:
     """The warehouse tables over one test data folder; each property is a lazy DataFrame.
 
-    The two calendar tables hold a few thousand days and do not come with the test data.
-    They are written once per session, so that queries read a calendar as they would in a
-    warehouse, and its periods can prune stored summaries.
+    The two calendar tables and the two summaries do not come with the test data. They are
+    written once per session, so that queries read them as they would in a warehouse, and
+    periods prune the months of the summaries. The calendars span the retail years of the facts.
     """
 
     def __init__(self, spark: SparkSession, folder: str):
@@ -273,14 +279,25 @@ class Warehouse:
     def _sql(self, text: str, *tables: str, **frames: DataFrame) -> DataFrame:
         return self.spark.sql(text, **{name: self.raw(name) for name in tables}, **frames)
 
-    def _table(self, rows: DataFrame) -> DataFrame:
-        return store(rows, shared_folder(self.spark))
+    def _path(self, table: str) -> str:
+        return f"{session_folder(self.spark)}/{zlib.crc32(self.folder.encode())}/{table}"
+
+    @cached_property
+    def retail_years(self) -> tuple[int, int]:
+        """Retail years of the first and last business day of the facts."""
+        sold = self.raw("orders").agg(F.min("o_orderdate"), F.max("o_orderdate")).first()
+        moved = self.raw("lineitem").agg(F.min("l_shipdate"), F.max("l_shipdate")).first()
+        days = [day.date() if isinstance(day, dt.datetime) else day for day in (*sold, *moved) if day is not None]
+        # Without a fact any one year will do.
+        return (retail_year(min(days)), retail_year(max(days))) if days else (2000, 2000)
 
     @cached_property
     def calendar(self) -> DataFrame:
-        retail = retail_calendar(self.spark, FIRST_YEAR, LAST_YEAR)
-        span = (first_day(FIRST_YEAR), first_day(LAST_YEAR + 1) - dt.timedelta(days=1))
-        return self._table(retail.unionByName(gregorian_calendar(self.spark, *span)))
+        first, last = self.retail_years
+        retail = retail_calendar(self.spark, first, last)
+        span = (first_day(first), first_day(last + 1) - dt.timedelta(days=1))
+        days = retail.unionByName(gregorian_calendar(self.spark, *span))
+        return store(days, self._path("DW3_DIM_CA_HIER"))
 
     @cached_property
     def retail_days(self) -> DataFrame:
@@ -308,11 +325,11 @@ class Warehouse:
             "DC_DY_BSN",
             "ID_CLD",
             "NM_CLD",
-            ((year - FIRST_YEAR) * 12 + month).cast("int").alias("ID_CLD_PRD"),
+            ((year - self.retail_years[0]) * 12 + month).cast("int").alias("ID_CLD_PRD"),
             F.col("CLD_PRD_LVL_NM_PTH").alias("CLD_PRD_HRC_LVL_NM_PTH"),
             "CLD_PRD_NM_PTH",
         )
-        return self._table(rows.select("RP.*", "*").drop("RP"))
+        return store(rows.select("RP.*", "*").drop("RP"), self._path("DW3_DIM_CA_PRD_RP"))
 
     @cached_property
     def business_unit(self) -> DataFrame:
@@ -400,13 +417,21 @@ class Warehouse:
         return self._sql(PROBE, "lineitem")
 
     @cached_property
-    def sale_summary(self) -> DataFrame:
+    def sale_summary_build(self) -> DataFrame:
         return sale_summary(self.sale, self.item)
 
     @cached_property
-    def tender_summary(self) -> DataFrame:
+    def tender_summary_build(self) -> DataFrame:
         return tender_summary(self.tender)
 
+    @cached_property
+    def sale_summary(self) -> DataFrame:
+        return store_by_month(self.sale_summary_build, self._path("DW3_STRD_SMRY_CT_SLSRTN"))
+
+    @cached_property
+    def tender_summary(self) -> DataFrame:
+        return store_by_month(self.tender_summary_build, self._path("DW3_STRD_SMRY_CT_TNDR"))
+
     @cached_property
     def sample_period(self) -> DataFrame:
         return select_periods(self.reporting_periods, name=SAMPLE_PERIOD)

@@ -5,7 +5,9 @@ from __future__ import annotations
 import pytest
 from compare import connect, difference
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from oracle.measures import oracle_sql
+from storelens import catalog
 
 FOLDER = "/root/testdata/sf0.001"
 CHECKS = oracle_sql()
@@ -17,7 +19,7 @@ def connection():
 
 
 def test_every_query_has_a_check():
-    assert set(CHECKS) == set(queries())
+    assert set(CHECKS) == set(catalog.QUERIES)
 
 
 def test_entry(spark):
@@ -26,4 +28,4 @@ def test_entry(spark):
 
 @pytest.mark.parametrize("name", sorted(CHECKS))
 def test_query(name, spark, connection):
-    assert difference(queries()[name](spark, FOLDER), connection, CHECKS[name]) is None
+    assert difference(catalog.run(name, spark, FOLDER), connection, CHECKS[name]) is None

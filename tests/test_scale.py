@@ -16,8 +16,8 @@ from storelens.plans import sales, summaries
 from storelens.sources import testdata
 
 FOLDER = "/root/testdata/sf0.001"
-WRITES = {"s2_stored_sale_summary", "s2_sales_from_stored_summary", "s3_stored_tender_summary"}
-WRITES |= {"s4_stored_quarterly_sales", "s7_csv_export"}
+WRITES = {"s1_typed_scan", "s1_tender_scan", "s4_stored_quarterly_sales", "s6_branch_union", "s7_csv_export"}
+WRITES |= {"q5_domain_violations"}
 
 
 def plan_of(df) -> str:
@@ -71,10 +71,32 @@ def test_summary_reuses_the_join_partitioning(spark, no_broadcast):
 
 def test_comparable_sales_read_the_sales_once(spark):
     w = catalog.warehouse(spark, FOLDER)
-    quarterly = summaries.quarterly_sales(w.sale_summary, w.retail_days)
+    quarterly = summaries.quarterly_sales(w.sale_summary_build, w.retail_days)
     assert plan_of(sales.comparable_sales(quarterly)).count("lineitem.parquet") == 1
 
 
+def test_measures_read_the_stored_summary_and_prune_its_months(spark):
+    plan = plan_of(catalog.run("m1_average_sales_customer_store", spark, FOLDER))
+    assert "lineitem" not in plan and "DW3_STRD_SMRY_CT_SLSRTN" in plan
+    assert re.search(r"PartitionFilters: \[.*MO_BSN.*dynamicpruning", plan)
+
+
+def test_lots_are_summed_by_hash(spark):
+    plan = plan_of(catalog.run("mi6_lot_listing", spark, FOLDER))
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
+def test_calendar_spans_the_facts(spark, tmp_path):
+    """Facts beyond the years of the test data have their days too."""
+    for table in ("orders", "lineitem"):
+        df = spark.read.parquet(f"{FOLDER}/{table}.parquet")
+        day = "o_orderdate" if table == "orders" else "l_shipdate"
+        moved = df.withColumn(day, F.expr(f"{day} + INTERVAL '20' YEAR"))
+        moved.write.parquet(str(tmp_path / f"{table}.parquet"))
+    got = catalog.run("q7_days_without_calendar", spark, str(tmp_path)).collect()
+    assert len(got) == 3 and all(r["QU_ROW"] > 0 and r["QU_ROW_NO_DAY"] == 0 for r in got)
+
+
 def test_hot_keys_keep_results_whole(spark, no_broadcast):
     """A third of the lines share one customer, day, store, item and transaction."""
     spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "100KB")
@@ -109,8 +131,9 @@ def test_hot_keys_keep_results_whole(spark, no_broadcast):
         assert [(r["MO_NT_SLS"], r["QU_TRN"]) for r in anonymous] == [(1_000_000, 1)]
         keys = quality.primary_key_violations(sale, "DW3_FACT_SALE_RTN_BEHAVIOR")
         assert keys.count() == 0
-        lonely = quality.orphans(sale, ["ID_ITM"], [(item.filter("ID_ITM > 0"), ["ID_ITM"])]).collect()
-        assert [(r["KEY"], r["QU_ROW"]) for r in lonely] == [("0", 100_000 + 200)]
+        keys = [quality.ForeignKey("item", ("ID_ITM",), [("DW3_DIM_ITM", ("ID_ITM",))])]
+        lonely = quality.orphans(sale, keys, {"DW3_DIM_ITM": item.filter("ID_ITM > 0")}).collect()
+        assert [(r["KEY"], r["QU_ROW"]) for r in lonely] == [('{"ID_ITM":0}', 100_000 + 200)]
     finally:
         spark.conf.unset("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes")
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")

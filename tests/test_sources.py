@@ -23,20 +23,20 @@ def test_shared_folder_comes_from_the_session(spark):
 def test_storing_again_replaces(spark, tmp_path):
     w = catalog.warehouse(spark, FOLDER)
     path = str(tmp_path / "summary")
-    stored.store_by_month(w.sale_summary, path)
-    saved = stored.store_by_month(w.sale_summary, path)
+    stored.store_by_month(w.sale_summary_build, path)
+    saved = stored.store_by_month(w.sale_summary_build, path)
     assert saved.count() == w.sale_summary.count()
 
 
 def test_periods_prune_stored_months(spark, tmp_path):
     w = catalog.warehouse(spark, FOLDER)
-    saved = stored.store_by_month(w.sale_summary, str(tmp_path / "summary"))
+    saved = stored.store_by_month(w.sale_summary_build, str(tmp_path / "summary"))
     period = select_periods(w.reporting_periods, ids=(1998, 1998))
     measure = sales.average_sales(saved, period, ["ID_CT"])
     rows_read = measure.collect()
     final = measure._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert re.search(r"dynamicpruningexpression\(MO_BSN#\d+ IN dynamicpruning", final)
-    again = sales.average_sales(w.sale_summary, period, ["ID_CT"])
+    again = sales.average_sales(w.sale_summary_build, period, ["ID_CT"])
     assert measure.exceptAll(again).count() == 0 and len(rows_read) == again.count()
 
 
@@ -51,13 +51,13 @@ def test_branches(spark, rows, tmp_path):
     config = rows("BASEDATOS string, ETL int", ("north", 1), ("south", 1), ("closed", 0), ("none", None))
     rows("id int, extra string", (1, "x")).write.parquet(str(tmp_path / "north"))
     rows("id int", (2,)).write.parquet(str(tmp_path / "south"))
-    got = branches.read_branches(config, lambda name: spark.read.parquet(str(tmp_path / name)))
+    got = branches.read_branches(config, lambda name: spark.read.parquet(str(tmp_path / name)), str(tmp_path / "all"))
     assert sorted((r["id"], r["extra"], r["BRANCH"]) for r in got.collect()) == [
         (1, "x", "north"),
         (2, None, "south"),
     ]
     with pytest.raises(ValueError, match="no branch"):
-        branches.read_branches(config.filter("ETL = 0"), lambda name: None)
+        branches.read_branches(config.filter("ETL = 0"), lambda name: None, str(tmp_path / "none"))
 
 
 def test_jdbc_options():
@@ -69,8 +69,11 @@ def test_jdbc_options():
     assert (split["partitionColumn"], split["numPartitions"]) == ("A", "4")
 
 
-def test_many_branches(spark, rows):
-    config = spark.range(100).selectExpr("cast(id as string) AS BASEDATOS", "1 AS ETL")
-    one = rows("id int", (1,))
-    got = branches.read_branches(config, lambda name: one)
-    assert got.count() == 100 and got.select("BRANCH").distinct().count() == 100
+def test_branches_load_in_batches_whatever_their_number(spark, rows, tmp_path):
+    """Names keep their leading zeros, and there is no list that is too long."""
+    config = spark.range(150).selectExpr("lpad(cast(id as string), 5, '0') AS BASEDATOS", "1 AS ETL")
+    plain, wide = rows("id int", (1,)), rows("id int, extra string", (2, "x"))
+    got = branches.read_branches(config, lambda name: wide if name == "00149" else plain, str(tmp_path / "all"), 40)
+    assert got.count() == 150 and got.select("BRANCH").distinct().count() == 150
+    assert [r["BRANCH"] for r in got.filter("extra = 'x'").collect()] == ["00149"]
+    assert not hasattr(branches, "MAX_BRANCHES")
