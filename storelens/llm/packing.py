@@ -31,7 +31,7 @@ END = 1
 BLOCK_TOKENS = 1 << 21
 # A source waits until it is owed so many tokens.
 LEAST_PIECE = 64
-CACHE = 400_000
+CACHE = 1_000_000
 PIECES = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
