@@ -15,7 +15,8 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from heapq import heapreplace
-from math import ceil, log10
+from itertools import filterfalse
+from math import log10
 
 import numpy as np
 import pyarrow as pa
@@ -26,13 +27,13 @@ from storelens.llm.common import row_key, ship, stored
 
 HIDDEN, EMBEDDED = 16, 16
 # Classes of common words and words of each; class CLASSES holds all other words.
-CLASSES, CLASS_WORDS = 31, 64
+CLASSES, CLASS_WORDS = 15, 64
 COMMON = CLASSES * CLASS_WORDS
 # Other words are told apart as inputs by their last two bytes only.
 ENDINGS = 64
 WINDOW = 16
-STREAMS = 256
-TEXTS = 4000
+STREAMS = 512
+TEXTS = 10_000
 RATE = 0.15
 # Eighths of the corpus that a round trains on.
 ROUNDS = ((0,), (1, 2), (3, 4, 5, 6, 7))
@@ -274,7 +275,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def batch_of(found: Counter) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                [pa.array([w.decode() for w in found], pa.string()), pa.array(found.values(), pa.int64())], names=["word", "n"]
+                [pa.array(list(found), pa.binary()).cast(pa.string()), pa.array(found.values(), pa.int64())], names=["word", "n"]
             )
 
         found: Counter = Counter()
@@ -397,14 +398,13 @@ def score_documents(documents: DataFrame, learn: Column) -> DataFrame:
                 part = batch.slice(at, 500)
                 rows, words, times = [], [], []
                 for i, text in enumerate(part["text"].to_pylist()):
-                    own = Counter((text or "").encode().lower().split())
-                    other = [w for w in own if w not in skip]
-                    rows += [i] * len(other)
-                    words += [w.decode() for w in other]
-                    times += [own[w] for w in other]
+                    own = Counter(filterfalse(skip.__contains__, (text or "").encode().lower().split()))
+                    rows += [i] * len(own)
+                    words += own
+                    times += own.values()
                 keys = part.select(["_k1", "_k2"]).take(pa.array(rows, pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [*keys.columns, pa.array(words, pa.string()), pa.array(times, pa.int64())],
+                    [*keys.columns, pa.array(words, pa.binary()).cast(pa.string()), pa.array(times, pa.int64())],
                     names=["_k1", "_k2", "word", "times"],
                 )
 
