@@ -200,8 +200,7 @@ def lonely_shingles(held: DataFrame) -> DataFrame:
 def _pairs(placed: DataFrame, percent: int, pivots: bool) -> DataFrame:
     """Pairs (a, b) across the groups of members (key, _set, n, u, _group), with a pivot or with all.
 
-    A set shares at most n - u shingles with any other, and what it has together with another
-    is at least its n and the other's u; pairs that this rules out are left out.
+    A set shares at most n - u shingles with any other; pairs that this rules out are left out.
     """
     one = [F.col("_set").alias("b"), F.col("n").alias("nb"), F.col("u").alias("ub"), F.col("_group").alias("gb")]
     if pivots:
@@ -212,9 +211,9 @@ def _pairs(placed: DataFrame, percent: int, pivots: bool) -> DataFrame:
         largest = sizes.groupBy("key").agg(F.max_by("_group", F.struct("c", "_group")).alias("largest"))
         other = placed.join(stored(largest), "key").filter(F.col("_group") != F.col("largest")).select("key", *one)
     own = placed.select("key", F.col("_set").alias("a"), F.col("n").alias("na"), F.col("u").alias("ua"), F.col("_group").alias("ga"))
-    possible = lambda n, u, v: 100 * (F.col(n) - F.col(u)) >= percent * (F.col(n) + F.col(v))
-    sizes = (100 * F.col("na") >= percent * F.col("nb")) & (100 * F.col("nb") >= percent * F.col("na"))
-    apart = (F.col("ga") != F.col("gb")) & sizes & possible("na", "ua", "ub") & possible("nb", "ub", "ua")
+    shared = F.least(F.col("na") - F.col("ua"), F.col("nb") - F.col("ub"))
+    possible = 100 * shared >= percent * (F.col("na") + F.col("nb") - shared)
+    apart = (F.col("ga") != F.col("gb")) & possible
     met = own.join(other, "key").filter(apart)
     return met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
