@@ -12,6 +12,7 @@ they move, so that no task receives them all.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from itertools import groupby
 
@@ -28,8 +29,9 @@ WIDTH = 35
 SEED_WORDS = 4
 # Mask of the bits that number the words of some texts handled together.
 PLACES = (1 << 28) - 1
-# Super-k-mers of one minimiser beyond which its windows are dealt out one by one.
-HOT = 5_000
+# Super-k-mers of one minimiser that a task may hold (some 100 MB if all differ); beyond, their
+# windows are dealt out one by one, which moves the texts of all documents once more.
+HOT = 20_000
 
 
 class SuperKmers:
@@ -181,7 +183,11 @@ def repeated_spans(documents: DataFrame, width: int = WIDTH, hot: int = HOT) ->
             own = list(group)
             if len(own) == 1:
                 continue
-            for row, again in zip(own, repeated_windows([row[1] for row in own], width)):
+            times = Counter(row[1] for row in own)
+            found = dict(zip(times, repeated_windows(list(times), width)))
+            for row in own:
+                # All windows of a string that occurs again do so too.
+                again = found[row[1]] | (times[row[1]] > 1)
                 edge = np.flatnonzero(np.diff(np.concatenate(([0], again.view(np.int8), [0])))) + row[4]
                 if len(edge):
                     ranges = zip(edge[::2].tolist(), (edge[1::2] + width - 1).tolist())
