@@ -27,7 +27,7 @@ from storelens.llm.common import LOWER, WordHashes, add_columns, mix, row_key, s
 # A pair of similarity 0.85 shares no band with a probability of 4e-7; of 0.8, 2e-5.
 BANDS, ROWS = 20, 4
 # Members of a bucket up to which shingles are not counted.
-SMALL = 64
+SMALL = 16
 
 
 def shingle_sets(texts: list[str | None], size: int, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
