@@ -153,8 +153,9 @@ def freshness(stock: DataFrame, periods: DataFrame, as_of: str) -> DataFrame:
 def margin_detail(stock: DataFrame, periods: DataFrame, semantics: str = "intended") -> DataFrame:
     """Net sales, gross margin and their ratios per inventory row of received stock (M-I5).
 
-    The unit retail price is listed where the stock has it. The begin ratio is stock over sales. ``as_written`` takes the margin percentage as
-    net sales minus the quotient of cost and net sales.
+    The unit retail price is listed where the stock has it. The begin ratio is stock over
+    sales. ``as_written`` takes the margin percentage as net sales minus the quotient of cost
+    and net sales.
     """
     received = in_periods(stock, periods).filter(F.col("DC_INV_FS_RCPT").isNotNull())
     detail = (
