@@ -2,9 +2,11 @@
 
 A small GRU reads a document word by word and keeps its state from the first word to the end.
 It is trained by truncated backpropagation: gradients stop at the edge of a window of some
-words, the state does not. The output softmax is factored: a class of words, then the word in
-its class. The commonest words make the classes; all others are one more class, in which a
-word's probability comes from its smoothed count, so that any text has a probability.
+words, the state does not. The output softmax is factored: a class of units, then the unit in
+its class. A unit is the end of a text, a common word, or a sub-class of rare words with like
+endings; in a sub-class a word's probability comes from its smoothed count, so that any text
+has a probability. Common words, sub-classes and classes follow the training vocabulary: every
+word above a count is common, and the rarer the words the wider their class.
 
 Tasks train on their own documents and the weights are averaged, in rounds over growing parts
 of the corpus; every training document is used once.
@@ -15,8 +17,9 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from heapq import heapreplace
-from itertools import filterfalse
-from math import log10
+from itertools import filterfalse, pairwise
+from math import isqrt, log10
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -26,11 +29,15 @@ from pyspark.sql import functions as F
 from storelens.llm.common import row_key, ship, stored
 
 HIDDEN, EMBEDDED = 16, 16
-# Classes of common words and words of each; class CLASSES holds all other words.
-CLASSES, CLASS_WORDS = 15, 64
-COMMON = CLASSES * CLASS_WORDS
-# Other words are told apart as inputs by their last two bytes only.
-ENDINGS = 64
+# Units of the first classes, and places of common words in the smallest vocabulary.
+CLASS_WORDS = 64
+COMMON = 31 * CLASS_WORDS
+# A common word occurs so often, and as often as the root of all tokens divided by ROOTS.
+LEAST_COUNT, ROOTS = 10, 100
+# Rare words belong to sub-classes by their last bytes.
+ENDING = 3
+# Numbers in a stored piece of a weight vector.
+PIECE = 1 << 18
 WINDOW = 16
 STREAMS = 512
 TEXTS = 10_000
@@ -41,21 +48,39 @@ END = 0
 NAMES = ("embed", "into", "again", "gate", "class_w", "class_b", "word_w", "word_b")
 
 
+def ending_class(word: bytes, rare: int) -> int:
+    return crc32(word[-ENDING:]) % rare
+
+
+def ending_column(word: str, rare: int) -> Column:
+    """The same in SQL."""
+    return F.crc32(F.substring(F.col(word).cast("binary"), -ENDING, ENDING)) % rare
+
+
+def class_bounds(common: int, rare: int) -> np.ndarray:
+    """First unit of each class, and the end. Units are in order of frequency, rare sub-classes last."""
+    bounds = [0]
+    while bounds[-1] < common:
+        at = bounds[-1]
+        bounds.append(min(at + (CLASS_WORDS if at < COMMON else 4 * isqrt(at)), common))
+    return np.array([*bounds, *range(common + CLASS_WORDS, common + rare, CLASS_WORDS), common + rare])
+
+
 class Vocabulary(dict):
-    """Input numbers of words: 0 ends a document, common words follow, then endings."""
+    """Units of words: 0 ends a document, common words follow, then sub-classes from `places` on."""
 
-    def __init__(self, common: list[bytes]) -> None:
+    def __init__(self, common: list[bytes], places: int, rare: int) -> None:
         super().__init__((word, k + 1) for k, word in enumerate(common))
-        self.size = len(self)
+        self.size, self.places, self.rare = len(self), places, rare
 
     def __missing__(self, word: bytes) -> int:
-        ending = COMMON + int.from_bytes(word[-2:], "big") * 2654435761 // 65536 % ENDINGS
-        if len(self) > 500_000:
+        unit = self.places + ending_class(word, self.rare)
+        if len(self) > self.size + 500_000:
             for old in list(self)[self.size :]:
                 del self[old]
         if len(word) < 64:
-            self[word] = ending
-        return ending
+            self[word] = unit
+        return unit
 
     def numbers(self, text: str | None) -> np.ndarray:
         """Of the words and the end."""
@@ -63,24 +88,30 @@ class Vocabulary(dict):
         return np.array([*map(self.__getitem__, words), END], dtype=np.int32)
 
 
-def start_weights(counts: np.ndarray, tail: float) -> dict[str, np.ndarray]:
-    """Small random weights; biases give the words' shares. `counts` are those of END and common words."""
+def start_weights(counts: np.ndarray, tail: float | np.ndarray) -> dict[str, np.ndarray]:
+    """Small random weights; biases give the units' shares.
+
+    `counts` are those of END and common words, `tail` those of the sub-classes.
+    """
     rng = np.random.default_rng(11)
-    full = np.zeros(COMMON)
+    tail = np.atleast_1d(tail)
+    common = max(COMMON, len(counts))
+    full = np.zeros(common + len(tail))
     full[: len(counts)] = counts
+    full[common:] = tail
     full += 0.5
-    by_class = full.reshape(CLASSES, CLASS_WORDS)
-    classes = np.append(by_class.sum(axis=1), tail + 0.5)
+    bounds = class_bounds(common, len(tail))
+    classes = np.add.reduceat(full, bounds[:-1])
     normal = lambda *shape: rng.normal(0, 0.1, shape)
     weights = {
-        "embed": normal(COMMON + ENDINGS, EMBEDDED),
+        "embed": normal(len(full), EMBEDDED),
         "into": normal(EMBEDDED, 3 * HIDDEN),
         "again": normal(HIDDEN, 3 * HIDDEN),
         "gate": np.zeros(3 * HIDDEN),
-        "class_w": normal(HIDDEN, CLASSES + 1),
+        "class_w": normal(HIDDEN, len(classes)),
         "class_b": np.log(classes / classes.sum()),
-        "word_w": normal(CLASSES, HIDDEN, CLASS_WORDS),
-        "word_b": np.log(by_class / by_class.sum(axis=1, keepdims=True)),
+        "word_w": normal(len(full), HIDDEN),
+        "word_b": np.log(full / np.repeat(classes, np.diff(bounds))),
     }
     return {name: weights[name].astype(np.float32) for name in NAMES}
 
@@ -89,12 +120,14 @@ def pack_weights(weights: dict[str, np.ndarray]) -> bytes:
     return b"".join(weights[name].astype(np.float32).tobytes() for name in NAMES)
 
 
-def unpack_weights(data: bytes) -> dict[str, np.ndarray]:
-    shapes = {name: w.shape for name, w in start_weights(np.ones(1), 1.0).items()}
+def unpack_weights(data: bytes, places: int, rare: int) -> dict[str, np.ndarray]:
+    units, classes = places + rare, len(class_bounds(places, rare)) - 1
+    wide = 3 * HIDDEN
+    shapes = [(units, EMBEDDED), (EMBEDDED, wide), (HIDDEN, wide), (wide,), (HIDDEN, classes), (classes,), (units, HIDDEN), (units,)]
     flat, at, weights = np.frombuffer(data, dtype=np.float32), 0, {}
-    for name in NAMES:
-        size = int(np.prod(shapes[name]))
-        weights[name] = flat[at : at + size].reshape(shapes[name]).copy()
+    for name, shape in zip(NAMES, shapes):
+        size = int(np.prod(shape))
+        weights[name] = flat[at : at + size].reshape(shape).copy()
         at += size
     return weights
 
@@ -159,8 +192,10 @@ class Streams:
 
 
 class Model:
-    def __init__(self, weights: dict[str, np.ndarray]) -> None:
+    def __init__(self, weights: dict[str, np.ndarray], places: int = COMMON) -> None:
         self.w = weights
+        self.bounds = class_bounds(places, len(weights["word_b"]) - places)
+        self.number = np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
         self.squares = {name: np.full_like(w, 1e-6) for name, w in weights.items()}
 
     def run(self, inputs: np.ndarray, keep: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, list]:
@@ -182,9 +217,8 @@ class Model:
     def outputs(self, states: np.ndarray, target: np.ndarray, gradient: bool):
         """Natural log probability of each target, and gradients of their sum."""
         w = self.w
-        flat, goal = states.reshape(-1, HIDDEN), target.ravel()
-        number = np.minimum(goal // CLASS_WORDS, CLASSES)
-        number[goal < 0] = -1
+        flat, goal = states.reshape(-1, HIDDEN), np.minimum(target.ravel(), len(self.number) - 1)
+        number = np.where(goal < 0, -1, self.number[goal])
         rows = np.flatnonzero(goal >= 0)
         logp = np.zeros(len(goal), dtype=np.float64)
         change, logp[rows] = _softmax(flat @ w["class_w"], w["class_b"], rows, number[rows], gradient)
@@ -196,19 +230,20 @@ class Model:
             grads["class_b"] = change.sum(axis=0)
             back = change @ w["class_w"].T
         order = np.argsort(number, kind="stable")
-        bounds = np.searchsorted(number[order], np.arange(CLASSES + 1))
+        bounds = np.searchsorted(number[order], np.arange(len(self.bounds)))
         flat = flat[order]
-        for c in range(CLASSES):
+        for c, (first, end) in enumerate(pairwise(self.bounds)):
             own = order[bounds[c] : bounds[c + 1]]
             if not len(own):
                 continue
-            state, place = flat[bounds[c] : bounds[c + 1]], goal[own] - c * CLASS_WORDS
-            change, more = _softmax(state @ w["word_w"][c], w["word_b"][c], np.arange(len(own)), place, gradient)
+            state, place = flat[bounds[c] : bounds[c + 1]], goal[own] - first
+            word_w = w["word_w"][first:end]
+            change, more = _softmax(state @ word_w.T, w["word_b"][first:end], np.arange(len(own)), place, gradient)
             logp[own] += more
             if gradient:
-                grads["word_w"][c] = state.T @ change
-                grads["word_b"][c] = change.sum(axis=0)
-                back[own] += change @ w["word_w"][c].T
+                grads["word_w"][first:end] = change.T @ state
+                grads["word_b"][first:end] = change.sum(axis=0)
+                back[own] += change @ word_w
         return logp.reshape(target.shape), grads, None if back is None else back.reshape(states.shape)
 
     def gradients(self, inputs: np.ndarray, target: np.ndarray, keep: np.ndarray, state: np.ndarray):
@@ -240,14 +275,17 @@ class Model:
         grads, state = self.gradients(inputs, target, keep, state)
         count = max(int((target >= 0).sum()), 1)
         for name in NAMES:
-            step = grads[name]
+            # Words that are no input of the window have no gradient.
+            rows = np.unique(inputs) if name == "embed" else slice(None)
+            step = grads[name][rows]
             step *= np.float32(1 / count)
             np.clip(step, -1, 1, out=step)
-            square = self.squares[name]
+            square = self.squares[name][rows]
             square += step * step
+            self.squares[name][rows] = square
             step *= np.float32(RATE)
             step /= np.sqrt(square)
-            self.w[name] += step
+            self.w[name][rows] += step
         return state
 
     def train(self, documents: list[np.ndarray]) -> None:
@@ -257,7 +295,7 @@ class Model:
             state = self.learn(inputs, target, keep, state)
 
     def score(self, documents: list[np.ndarray]) -> np.ndarray:
-        """log10 probability of each document's classes and common words."""
+        """log10 probability of each document's units."""
         total = np.zeros(len(documents))
         state = np.zeros((0, HIDDEN), np.float32)
         for k, (inputs, target, document, keep) in enumerate(Streams(documents).windows()):
@@ -292,32 +330,48 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return parts.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def _pieces(part: int, words: int, weights: bytes) -> Iterator[pa.RecordBatch]:
+    """Rows (part, piece, words, weights) that hold a weight vector."""
+    for piece, at in enumerate(range(0, len(weights), 4 * PIECE)):
+        arrays = [pa.array([part], pa.int64()), pa.array([piece], pa.int64()), pa.array([words], pa.int64())]
+        yield pa.RecordBatch.from_arrays(
+            [*arrays, pa.array([weights[at : at + 4 * PIECE]], pa.binary())], names=["part", "piece", "words", "weights"]
+        )
+
+
+PARTS = "part bigint, piece bigint, words bigint, weights binary"
+
+
 def _average(parts: DataFrame) -> bytes | None:
-    """Mean of weight vectors (part, words, weights), weighted by words; by groups of 16, and again."""
+    """Mean of weight vectors in pieces, weighted by words; by groups of 16, and again."""
 
     def mean(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("part")
         words = np.array(rows["words"].to_pylist(), dtype=np.float64)
         total = sum(n * np.frombuffer(w, np.float32).astype(np.float64) for n, w in zip(words, rows["weights"].to_pylist()))
         return pa.table(
             {
                 "part": pa.array([rows["part"][0].as_py() // 16], pa.int64()),
+                "piece": rows["piece"][:1],
                 "words": pa.array([int(words.sum())], pa.int64()),
                 "weights": pa.array([(total / words.sum()).astype(np.float32).tobytes()], pa.binary()),
             }
         )
 
-    schema = "part bigint, words bigint, weights binary"
     parts = stored(parts)
     while True:
         most = parts.agg(F.max("part")).first()[0]
         if most is None:
             return None
-        if most < 16:
-            return mean(parts.orderBy("part").toArrow())["weights"][0].as_py()
-        parts = stored(parts.groupBy(F.floor(F.col("part") / 16)).applyInArrow(mean, schema))
+        if most == 0:
+            # One vector.
+            return b"".join(parts.toArrow().sort_by("piece")["weights"].to_pylist())
+        parts = stored(parts.groupBy(F.floor(F.col("part") / 16), "piece").applyInArrow(mean, PARTS))
 
 
-def train(texts: DataFrame, common: list[bytes], weights: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+def train(
+    texts: DataFrame, common: list[bytes], weights: dict[str, np.ndarray], places: int, rare: int
+) -> dict[str, np.ndarray]:
     """Weights after all rounds; each task trains on what it reads, from the round's first weights."""
     eighth = F.pmod(F.xxhash64("_k1", "_k2"), F.lit(8))
     for eighths in ROUNDS:
@@ -326,25 +380,47 @@ def train(texts: DataFrame, common: list[bytes], weights: dict[str, np.ndarray])
         def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             from pyspark import TaskContext
 
-            vocabulary, model, words = Vocabulary(common), Model(unpack_weights(data)), 0
+            vocabulary, words = Vocabulary(common, places, rare), 0
+            model = Model(unpack_weights(data, places, rare), places)
             for batch in batches:
                 for at in range(0, batch.num_rows, TEXTS):
                     own = [vocabulary.numbers(t) for t in batch["text"].slice(at, TEXTS).to_pylist()]
                     words += sum(map(len, own))
                     model.train(own)
             if words:
-                part = TaskContext.get().partitionId()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([part], pa.int64()), pa.array([words], pa.int64()), pa.array([pack_weights(model.w)], pa.binary())],
-                    names=["part", "words", "weights"],
-                )
+                yield from _pieces(TaskContext.get().partitionId(), words, pack_weights(model.w))
 
         chosen = texts.filter(eighth.isin(*eighths)).select("text")
-        found = _average(chosen.mapInArrow(fit, "part bigint, words bigint, weights binary"))
-        weights = weights if found is None else unpack_weights(found)
+        found = _average(chosen.mapInArrow(fit, PARTS))
+        weights = weights if found is None else unpack_weights(found, places, rare)
     return weights
 
 
+def common_words(counts: DataFrame, tokens: int) -> list[tuple[str, int]]:
+    """The words above a count that grows slower than the corpus, and at least COMMON - 1 words; commonest first."""
+    words = counts.filter("word <> ''")
+    often = words.filter(F.col("n") >= max(LEAST_COUNT, isqrt(tokens) // ROOTS)).toArrow()
+    if often.num_rows < COMMON - 1:
+        often = words.orderBy(F.desc("n"), "word").limit(COMMON - 1).toArrow()
+    found = zip(often["word"].to_pylist(), often["n"].to_pylist())
+    return sorted(found, key=lambda x: (-x[1], x[0].encode()))
+
+
+def rare_sums(counts: DataFrame, top: list[tuple[str, int]], kinds: int) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens and kinds of words in each sub-class. Their number follows that of the rare words."""
+    left = max(kinds - len(top), 0)
+    rare = CLASS_WORDS * max(-(-isqrt(left) // CLASS_WORDS), 1)
+    tokens, words = np.zeros(rare, np.int64), np.zeros(rare, np.int64)
+    sums = counts.filter("word <> ''").groupBy(ending_column("word", rare).alias("ending"))
+    for ending, n, k in sums.agg(F.sum("n"), F.count(F.lit(1))).collect():
+        tokens[ending], words[ending] = n, k
+    for word, n in top:
+        ending = ending_class(word.encode(), rare)
+        tokens[ending] -= n
+        words[ending] -= 1
+    return tokens, words
+
+
 def score_documents(documents: DataFrame, learn: Column) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score of every document.
 
@@ -357,23 +433,26 @@ def score_documents(documents: DataFrame, learn: Column) -> DataFrame:
     texts = row_key(documents.select("doc_id", "text", learn.alias("_learn")))
     counts = stored(word_counts(texts.filter("_learn")))
     tokens, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    # The commonest words: their number is a parameter of the model.
-    top = counts.filter("word <> ''").orderBy(F.desc("n"), "word").limit(COMMON - 1).collect()
+    # Words above a share of the corpus that falls with its size.
+    top = common_words(counts, tokens)
     ends = counts.filter("word = ''").first()
-    common = [row["word"].encode() for row in top]
-    known = np.array([ends["n"] if ends else 0, *(row["n"] for row in top)], dtype=np.float64)
-    tail_tokens = tokens - int(known.sum())
-    tail_kinds = kinds - len(top) - (1 if ends else 0)
-    base_all, tail_all = tokens + kinds + 1, tail_tokens + tail_kinds + 1
-    weights = train(texts.filter("_learn"), common, start_weights(known, tail_tokens))
+    common = [word.encode() for word, _ in top]
+    known = np.array([ends["n"] if ends else 0, *(n for _, n in top)], dtype=np.float64)
+    tail_tokens, tail_kinds = rare_sums(counts, top, kinds)
+    places, rare_classes = max(COMMON, len(known)), len(tail_tokens)
+    base_all = tokens + kinds + 1
+    weights = train(texts.filter("_learn"), common, start_weights(known, tail_tokens), places, rare_classes)
     data = pack_weights(weights)
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """What common words and classes add to a document's scores."""
-        vocabulary, model = Vocabulary(common), Model(unpack_weights(data))
-        base = np.zeros(COMMON + ENDINGS)
-        base[: len(known)] = np.log10((known + 1) / base_all)
-        seen = np.zeros(COMMON + ENDINGS, dtype=np.int64)
+        """What units add to a document's scores; counts of rare words are still to come."""
+        vocabulary = Vocabulary(common, places, rare_classes)
+        model = Model(unpack_weights(data, places, rare_classes), places)
+        base = np.full(places + rare_classes, -log10(base_all))
+        base[: len(known)] += np.log10(known + 1)
+        within = np.zeros(places + rare_classes)
+        within[places:] = -np.log10(tail_tokens + tail_kinds + 1)
+        seen = np.zeros(places + rare_classes, dtype=np.int64)
         seen[: len(known)] = known > 0
         for batch in batches:
             for at in range(0, batch.num_rows, TEXTS):
@@ -385,7 +464,7 @@ def score_documents(documents: DataFrame, learn: Column) -> DataFrame:
                         pa.array([len(x) for x in own], pa.int64()),
                         pa.array([int(seen[x].sum()) for x in own], pa.int64()),
                         pa.array([float(base[x].sum()) for x in own], pa.float64()),
-                        pa.array(model.score(own), pa.float64()),
+                        pa.array(model.score(own) + [float(within[x].sum()) for x in own], pa.float64()),
                     ],
                     names=["_k1", "_k2", "doc_id", "n_tokens", "known", "base", "nn"],
                 )
@@ -415,18 +494,18 @@ def score_documents(documents: DataFrame, learn: Column) -> DataFrame:
     n = F.coalesce("n", F.lit(0))
     share = F.log10((n + 1).cast("double"))
     added = words.join(counts, "word", "left").select(
-        "_k1", "_k2", F.lit(0).alias("copies"), "times", F.when(n > 0, F.col("times")).otherwise(0).alias("met"),
+        "_k1", "_k2", F.lit(0).alias("copies"), F.when(n > 0, F.col("times")).otherwise(0).alias("met"),
         (F.col("times") * share).alias("share"),
     )
     # Rows that repeat a key bring their words each, and count as copies here.
-    marks = scored.select("_k1", "_k2", F.lit(1).alias("copies"), F.lit(0).alias("times"), F.lit(0).alias("met"), F.lit(0.0).alias("share"))
-    sums = added.unionByName(marks).groupBy("_k1", "_k2").agg(*[F.sum(c).alias(c) for c in ("copies", "times", "met", "share")])
-    times, met, share = (F.col(c) / F.col("copies") for c in ("times", "met", "share"))
+    marks = scored.select("_k1", "_k2", F.lit(1).alias("copies"), F.lit(0).alias("met"), F.lit(0.0).alias("share"))
+    sums = added.unionByName(marks).groupBy("_k1", "_k2").agg(*[F.sum(c).alias(c) for c in ("copies", "met", "share")])
+    met, share = (F.col(c) / F.col("copies") for c in ("met", "share"))
     return scored.join(sums, ["_k1", "_k2"]).select(
         "doc_id",
         "n_tokens",
         (F.col("known") + met.cast("long")).alias("n_known"),
         F.lit(int(tokens)).cast("long").alias("train_tokens"),
-        (F.col("base") + share - times * log10(base_all)).alias("base_score"),
-        (F.col("nn") + share - times * log10(tail_all)).alias("score"),
+        (F.col("base") + share).alias("base_score"),
+        (F.col("nn") + share).alias("score"),
     )

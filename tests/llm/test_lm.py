@@ -105,3 +105,24 @@ def test_defined_cases(rows):
     nothing = lm.score_documents(df, F.lit(False)).collect()
     assert len(nothing) == 4 and all(r["n_known"] == 0 and r["base_score"] == 0 for r in nothing)
     assert lm.score_documents(df.limit(0), F.lit(True)).count() == 0
+
+
+def test_vocabulary_and_classes_follow_the_training_words(rows):
+    often, rare = [f"w{i}" for i in range(3000)], [f"é{i}" for i in range(9000)]
+    counts = rows("word string, n bigint", ("", 5), *((w, 12 + i % 50) for i, w in enumerate(often)), *((w, 1) for w in rare))
+    top = lm.common_words(counts, 100_000)
+    assert {w for w, _ in top} == set(often) and [n for _, n in top] == sorted((n for _, n in top), reverse=True)
+    tokens, kinds = lm.rare_sums(counts, top, 12_001)
+    want = Counter(zlib.crc32(w.encode()[-3:]) % len(kinds) for w in rare)
+    assert len(kinds) == 128 and kinds.tolist() == tokens.tolist() == [want[k] for k in range(128)]
+    model = lm.Model(lm.start_weights(np.array([5, *(n for _, n in top)]), tokens), 3001)
+    words = lm.Vocabulary([w.encode() for w, _ in top], 3001, 128)
+    assert len({words[w.encode()] for w in often}) == 3000 and len({words[w.encode()] for w in rare}) == len(want)
+    every = np.arange(3001 + 128)[:, None]
+    state = np.random.default_rng(1).normal(size=(1, 1, lm.HIDDEN)).repeat(len(every), axis=0)
+    logp, _, _ = model.outputs(state, every, False)
+    assert abs(np.exp(logp).sum() - 1) < 1e-5 and len(model.bounds) > 31
+    again = lm.unpack_weights(lm.pack_weights(model.w), 3001, 128)
+    assert all(np.array_equal(again[name], model.w[name]) for name in lm.NAMES)
+    few = lm.common_words(counts.filter("n < 20"), 100_000)
+    assert len(few) == lm.COMMON - 1
