@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise, product
 
 import numpy as np
 import pandas as pd
@@ -24,30 +25,54 @@ from storelens.llm.common import fold, ship
 # Bounds of the labelled sample of one language: documents in hash order, letters of each.
 SAMPLE_DOCUMENTS = 96
 SAMPLE_LETTERS = 512
+# Symbols: 0 parts words, OTHER is a letter that no sample has, END ends a text. A letter is
+# written as one of the others or, from the first of LEADS on, as a lead and 1 to 3 of them.
 SYMBOLS = 64
 OTHER, END = SYMBOLS - 2, SYMBOLS - 1
+LEADS = (49, 59, 61, OTHER)
 BLOCK = 1024
 UNKNOWN = "und"
 RESULT = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
 
 def letter_map(sample: dict[str, list[str]]) -> np.ndarray:
-    """Symbol of each code point: 0 for what is no letter, then the commonest letters."""
-    counts = Counter(c for texts in sample.values() for text in texts for c in text.lower() if c.isalpha())
-    symbols = np.zeros(0x110000, dtype=np.uint8)
+    """Code of each code point: up to four symbols, lowest byte first; 0 for what is no letter.
+
+    Every letter of the samples has a code of its own, the commonest have the short ones. A
+    letter counts by its share in each language, so that long samples do not go before others.
+    """
+    counts: Counter = Counter()
+    for texts in sample.values():
+        own = Counter(c for text in texts for c in text.lower() if c.isalpha())
+        for letter, n in own.items():
+            counts[letter] += n / own.total()
+    symbols = np.zeros(0x110000, dtype=np.uint32)
     symbols[[i for i in range(0x110000) if chr(i).isalpha()]] = OTHER
-    for k, (letter, _) in enumerate(sorted(counts.items(), key=lambda x: (-x[1], x[0]))[: OTHER - 1]):
-        symbols[ord(letter)] = k + 1
+    for code, (letter, _) in zip(letter_codes(), sorted(counts.items(), key=lambda x: (-x[1], x[0]))):
+        symbols[ord(letter)] = int.from_bytes(code, "little")
     return symbols
 
 
+def letter_codes() -> Iterator[bytes]:
+    """More codes than there are code points; none begins another."""
+    yield from (bytes([k]) for k in range(1, LEADS[0]))
+    for more, (first, end) in enumerate(pairwise(LEADS), 1):
+        yield from map(bytes, product(range(first, end), *[range(1, OTHER)] * more))
+
+
 def to_symbols(text: str | None, symbols: np.ndarray) -> np.ndarray:
-    """Letters as symbols, everything between two letters as one 0."""
+    """Codes of letters, everything between two letters as one 0."""
     points = np.frombuffer((text or "").lower().encode("utf-32-le"), dtype=np.uint32)
     found = symbols[points]
     keep = found != 0
     keep[1:] |= found[:-1] != 0
-    return found[keep]
+    found = found[keep]
+    if not len(found) or found.max() < SYMBOLS:
+        return found.astype(np.uint8)
+    codes = found.astype("<u4").view(np.uint8).reshape(-1, 4)
+    used = codes != 0
+    used[:, 0] = True
+    return codes[used]
 
 
 def suffix_automaton(sequence: np.ndarray) -> list[dict[int, int]]:

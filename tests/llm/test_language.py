@@ -66,3 +66,30 @@ def test_nothing_labelled_and_empty(rows):
     df = rows("doc_id bigint, text string, lang string", (1, "abc", None))
     assert language.identify(df).first()["lang_pred"] == "und"
     assert language.identify(df.limit(0)).count() == 0
+
+
+def test_letters_of_every_script_count(rows):
+    rng = random.Random(9)
+    letters = {
+        "en": "abcdefghijklmnopqrstuvwxyz",
+        "el": "αβγδεζηθικλμνξοπρστυφχψω",
+        "ru": "абвгдежзийклмнопрстуфхцчшщъыьэюя",
+        "ja": [chr(0x3041 + k) for k in range(80)],
+        "ko": [chr(0xAC00 + 28 * k) for k in range(300)],
+        "zh": [chr(0x4E00 + k) for k in range(9000)],
+    }
+    data = [(i, sample(rng, letters[x], 200), x) for i, x in enumerate(["en"] * 60 + [x for x in letters for _ in range(8)])]
+    data += [(1000 + i, sample(rng, letters[x][: len(letters[x]) // 9], 30), None) for i, x in enumerate(letters)]
+    df = rows("doc_id bigint, text string, lang string", *data)
+    got = {r["doc_id"]: r["lang_pred"] for r in language.identify(df).collect()}
+    assert [got[1000 + i] for i in range(6)] == [*letters]
+
+
+def test_codes_tell_all_letters_apart():
+    letters = [c for c in map(chr, range(0x3400, 0x9FFF)) if c.isalpha()]
+    symbols = language.letter_map({"zh": ["".join(letters)]})
+    codes = {language.to_symbols(c, symbols).tobytes() for c in letters}
+    assert len(codes) == len(letters) and language.to_symbols("q", symbols).tolist() == [language.OTHER]
+    assert not any(code[:k] in codes for code in codes for k in range(1, len(code)))
+    joined = language.to_symbols(letters[9000] + " " + letters[0], symbols).tolist()
+    assert joined == [*language.to_symbols(letters[9000], symbols), 0, *language.to_symbols(letters[0], symbols)]
