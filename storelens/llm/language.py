@@ -22,9 +22,10 @@ from pyspark.sql.window import Window
 
 from storelens.llm.common import fold, ship
 
-# Bounds of the labelled sample of one language: documents in hash order, letters of each.
+# Bounds of the labelled sample of one language: documents in hash order, and of each the
+# segments of so many characters that come first by hash, wherever they are in the text.
 SAMPLE_DOCUMENTS = 96
-SAMPLE_LETTERS = 512
+SAMPLE_SEGMENTS, SEGMENT = 8, 128
 # Symbols: 0 parts words, OTHER is a letter that no sample has, END ends a text. A letter is
 # written as one of the others or, from the first of LEADS on, as a lead and 1 to 3 of them.
 SYMBOLS = 64
@@ -174,9 +175,11 @@ def languages(sample: tuple[tuple[str, tuple[str, ...]], ...]) -> Languages:
 
 
 def sample_texts(documents: DataFrame) -> dict[str, list[str]]:
-    """Beginnings of a bounded number of labelled documents of each language, in hash order.
+    """Segments of a bounded number of labelled documents of each language, in hash order.
 
-    A language's documents are ranked by id alone, so the texts of the rest never move.
+    Segments are drawn from the whole text; a text of SAMPLE_SEGMENTS or fewer is taken whole,
+    and neighbours stay joined. A language's documents are ranked by id alone, so the texts of
+    the rest never move.
     """
     labelled = documents.filter(
         F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (fold("doc_id", 4) != 2)
@@ -190,12 +193,25 @@ def sample_texts(documents: DataFrame) -> dict[str, list[str]]:
         .select("doc_id", "lang")
         .distinct()
     )
-    part = labelled.select("doc_id", "lang", F.substring("text", 1, 4 * SAMPLE_LETTERS).alias("part"))
-    sample: dict[str, list[str]] = {}
     # A bounded number of ids for each language.
-    for row in sorted(part.join(F.broadcast(chosen), ["doc_id", "lang"]).collect()):
-        if row["part"] is not None:
-            sample.setdefault(row["lang"], []).append(row["part"][: 2 * SAMPLE_LETTERS])
+    texts = labelled.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"])
+    count = F.ceil(F.char_length("text") / SEGMENT)
+    ranks = F.transform(
+        F.sequence(F.lit(0), F.greatest(count, F.lit(1)).cast("int") - 1),
+        lambda k: F.struct(F.xxhash64("doc_id", k).alias("hash"), k.alias("k")),
+    )
+    first = F.array_sort(F.transform(F.slice(F.array_sort(ranks), 1, SAMPLE_SEGMENTS), lambda x: x["k"]))
+    parts = F.transform(first, lambda k: F.struct(k.alias("k"), F.substring("text", k * SEGMENT + 1, F.lit(SEGMENT)).alias("part")))
+    sample: dict[str, list[str]] = {}
+    for row in sorted(texts.filter(F.col("text").isNotNull()).select("doc_id", "lang", parts.alias("parts")).collect()):
+        runs, last = [], None
+        for k, part in row["parts"]:
+            if last is not None and k == last + 1:
+                runs[-1] += part
+            else:
+                runs.append(part)
+            last = k
+        sample.setdefault(row["lang"], []).extend(runs)
     return sample
 
 

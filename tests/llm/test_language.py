@@ -93,3 +93,21 @@ def test_codes_tell_all_letters_apart():
     assert not any(code[:k] in codes for code in codes for k in range(1, len(code)))
     joined = language.to_symbols(letters[9000] + " " + letters[0], symbols).tolist()
     assert joined == [*language.to_symbols(letters[9000], symbols), 0, *language.to_symbols(letters[0], symbols)]
+
+
+def test_samples_come_from_whole_texts(rows):
+    rng = random.Random(10)
+    header = sample(rng, "abcdef", 500)
+    data = [(i, sample(rng, "abcdef", 600), "aa") for i in range(30)]
+    data += [(100 + i, header + " " + sample(rng, "uvwxyz", 900), "zz") for i in range(30)]
+    data += [(200, "abc d", "short"), (201, "", "short"), (300, sample(rng, "uvwxyz", 40), None)]
+    df = rows("doc_id bigint, text string, lang string", *data)
+    got = language.sample_texts(df)
+    assert got["short"] in (["abc d"], ["abc d", ""], [""]) and len(header) > 2048
+    texts = [t for _, t, lang in data if lang == "zz"]
+    assert all(any(part in text for text in texts) for part in got["zz"])
+    # At most 8 segments of 128 characters of each text, and parts of it that follow the header.
+    assert sum(map(len, got["zz"])) <= 30 * 1024 and sum(set(p) <= set("uvwxyz ") for p in got["zz"]) > 30
+    assert {r["doc_id"]: r["lang_pred"] for r in language.identify(df.filter("doc_id < 200 or doc_id = 300")).collect()}[300] == "zz"
+    whole = rows("doc_id bigint, text string, lang string", (1, "é" * 1000, "aa"))
+    assert [*language.sample_texts(whole).values()] in ([["é" * 1000]], [])
