@@ -3,8 +3,9 @@
 Entries are the 64-bit hashes of the normalised texts. A directory maps leading bits of the
 hash to buckets: it starts with few bits and doubles, splitting the buckets that hold more
 hashes than a task should own, until none is overfull. Entries lie in shared files, and each
-task owns a range of buckets, hence of keys. Texts of equal hash form a chain below their
-entry and are compared byte by byte.
+task owns a range of buckets, hence of keys. Which texts are equal is not decided by the owners
+of buckets: of the index only the hashes of several rows are used, and the rows with such a
+hash are grouped by hash and whole text, which makes the chain below each entry.
 """
 
 from __future__ import annotations
