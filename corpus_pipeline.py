@@ -31,8 +31,15 @@ def returned(result: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that the quality classifier rejects."""
-    scored = quality.quality_scores(carried(docs), table(spark, sf_dir, "labels"))
+    """Drops the documents that the quality classifier rejects.
+
+    Keeps all if nothing was learnt: the labels table is empty, or outside the held-out fold
+    it does not have documents of both classes.
+    """
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    if not model.learnt:
+        return docs
+    scored = quality.judge(carried(docs), model)
     return returned(scored.filter(F.col("predicted") == 1), docs)
 
 

@@ -45,6 +45,11 @@ class Model:
     slope: float
     shift: float
 
+    @property
+    def learnt(self) -> bool:
+        """False if every text has the same score."""
+        return bool(self.square.any())
+
     def margin(self, features: np.ndarray) -> float:
         norm = np.sqrt(self.square[features].sum(dtype=np.float64))
         total = self.weight[features].sum(dtype=np.float64)
@@ -177,6 +182,10 @@ def quality_scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
     Null and empty texts score as the text without trigrams. Repeated rows are scored each.
     Columns score and predicted of the input are replaced. Without labels every score is 0.5.
     """
-    model = fit(documents, labels)
+    return judge(documents, fit(documents, labels))
+
+
+def judge(documents: DataFrame, model: Model) -> DataFrame:
+    """Every document with score and predicted by a fitted model."""
     scored = documents.withColumn("score", scorer(model))
     return scored.withColumn("predicted", (F.col("score") >= KEEP_AT).cast("int"))

@@ -73,3 +73,11 @@ def test_odd_tables(spark, rows, stages):
             assert after.columns == df.columns
             assert after.filter("score <> 's'").count() == 0
             df = stored(after)
+
+
+def test_all_documents_stay_where_nothing_is_learnt(spark, stages, tmp_path):
+    labels = table(spark, FOLDER, "labels")
+    for k, few in enumerate([labels.limit(0), labels.filter("quality = 0"), labels.filter("doc_id is null")]):
+        few.write.parquet(f"{tmp_path}/{k}/labels.parquet")
+        kept = pipeline.quality_stage(spark, stages[0], f"{tmp_path}/{k}")
+        assert kept.columns == stages[0].columns and kept.count() == stages[0].count() > 0
