@@ -5,7 +5,8 @@ with every window a source is owed its share of the tokens, is served in turn on
 makes a piece worth cutting, and what it is owed beyond that stays owed in the next window.
 Blocks of windows are packed side by side: block b takes from a source the tokens between
 floor(total * b / blocks) and floor(total * (b + 1) / blocks), so that a debt of under one
-token is all that passes from one block to the next, and proportions hold throughout.
+token is all that passes from one block to the next, and proportions hold throughout. Shares
+of another mixture move these cuts and what a source is owed alike, see due_lines.
 """
 
 from __future__ import annotations
@@ -13,8 +14,9 @@ from __future__ import annotations
 import zlib
 from collections import deque
 from collections.abc import Iterator
+from fractions import Fraction
 from functools import lru_cache
-from math import ceil
+from math import ceil, floor, inf
 
 import numpy as np
 import pyarrow as pa
@@ -96,33 +98,70 @@ def tokenize(documents: DataFrame, path: str) -> DataFrame:
     return add_columns(documents.select("doc_id", "source", "text"), fields, ids).drop("text")
 
 
-def deal(sources: list[tuple[int, int]], window: int = WINDOW) -> Iterator[tuple[int, int, int]]:
+def due_lines(sizes: dict[int, int], shares: dict[int, float], total: int) -> dict[int, tuple[list[float], list[float]]]:
+    """Corners (tokens of all sources, tokens of this one) of the line that a source follows.
+
+    Sources are served in proportion to their shares. One that is exhausted ends there, and the
+    others go on in the proportions they have among themselves. Sources of no share follow
+    when all others are exhausted, in proportion to their sizes. `total` may count sources of
+    no share that are not in `sizes`.
+    """
+    left = {s: Fraction(shares[s]) for s in sizes if shares.get(s) and sizes[s]}
+    lines: dict[int, tuple[list[float], list[float]]] = {s: ([0.0], [0.0]) for s in left}
+    at, served = Fraction(0), dict.fromkeys(left, Fraction(0))
+    while left:
+        whole = sum(left.values())
+        need = {s: (sizes[s] - served[s]) / share for s, share in left.items()}
+        step = min(need.values())
+        at += step * whole
+        for s, share in left.items():
+            served[s] += step * share
+            lines[s][0].append(float(at))
+            lines[s][1].append(float(served[s]))
+        left = {s: share for s, share in left.items() if need[s] > step}
+    rest = {s: ([0.0, float(at), float(total)], [0.0, 0.0, float(n)]) for s, n in sizes.items() if s not in lines}
+    return lines | rest
+
+
+def deal(
+    sources: list[tuple[int, int]], window: int = WINDOW, shares: dict[int, float] | None = None
+) -> Iterator[tuple[int, int, int]]:
     """(window, source, tokens) in the order of service, for (source, tokens) queues of one block.
 
-    All windows but the last are full.
+    All windows but the last are full. Without `shares` a source's share is that of its tokens.
     """
     total = sum(n for _, n in sources)
     windows = ceil(total / window)
     size, served = dict(sources), dict.fromkeys((s for s, _ in sources), 0)
     due: list[list[int]] = [[] for _ in range(windows)]
+    lines = None if shares is None else due_lines(size, shares, total)
+
+    def due_by(source: int, tokens: int) -> int:
+        if lines is None:
+            return size[source] * tokens // total
+        return floor(np.interp(tokens, *lines[source]) + 1e-6)
 
     def wait(source: int, now: int) -> None:
         """Puts a source where the tokens owed to it reach the least piece."""
         left = size[source] - served[source]
         if left:
             goal = served[source] + min(LEAST_PIECE, left)
-            due[min(max(ceil(goal * total / (size[source] * window)) - 1, now), windows - 1)].append(source)
+            if lines is None:
+                reached = ceil(goal * total / (size[source] * window))
+            else:
+                reached = ceil(np.interp(goal, *reversed(lines[source])) / window - 1e-9)
+            due[min(max(reached - 1, now), windows - 1)].append(source)
 
     for source, _ in sources:
         wait(source, 0)
-    ahead = deque(sorted(size, key=lambda s: (-size[s], s)))
+    ahead = deque(sorted(size, key=lambda s: (-(shares or {}).get(s, 0), -size[s], s)))
     ready: deque[int] = deque()
     for now in range(windows):
         ready.extend(due[now])
         room = min(window, total - now * window)
         while room and ready:
             source = ready.popleft()
-            owed = size[source] * min((now + 1) * window, total) // total - served[source]
+            owed = due_by(source, min((now + 1) * window, total)) - served[source]
             give = min(owed, room)
             if give > 0:
                 yield now, source, give
@@ -133,7 +172,7 @@ def deal(sources: list[tuple[int, int]], window: int = WINDOW) -> Iterator[tuple
             elif now + 1 < windows:
                 wait(source, now + 1)
         while room:
-            # Nobody is owed a piece: the largest queue runs ahead and is owed less later.
+            # Nobody is owed a piece: the largest share, then queue, runs ahead and is owed less later.
             source = ahead[0]
             give = min(room, size[source] - served[source])
             if give:
@@ -144,8 +183,8 @@ def deal(sources: list[tuple[int, int]], window: int = WINDOW) -> Iterator[tuple
                 ahead.popleft()
 
 
-def pack_block(block: pa.Table) -> pa.Table:
-    """Pieces of one block; rows are stretches of documents, of one source queue after another."""
+def pack_block(block: pa.Table, shares: dict[str | None, float] | None = None) -> pa.Table:
+    """Pieces of one block; `shares` are by source. Rows are stretches of documents, of one source queue after another."""
     block = block.sort_by([("source_no", "ascending"), ("at", "ascending")])
     number = block["source_no"].to_pylist()
     length = block["length"].to_pylist()
@@ -155,7 +194,9 @@ def pack_block(block: pa.Table) -> pa.Table:
     sizes = [(s, sum(length[row] for row, _ in q)) for s, q in queues.items()]
     rows, starts, lengths, sequence, offset = [], [], [], [], []
     window, filled = -1, 0
-    for now, source, tokens in deal(sizes):
+    named = block["source"].to_pylist() if shares is not None else []
+    wanted = None if shares is None else {s: shares.get(named[q[0][0]], 0) for s, q in queues.items()}
+    for now, source, tokens in deal(sizes, shares=wanted):
         if now != window:
             window, filled = now, 0
         queue = queues[source]
@@ -196,14 +237,62 @@ def _floor_ratio(a: Column, b: Column, c: Column) -> Column:
     return F.floor((product - product % c.cast("decimal(19,0)")) / c.cast("decimal(19,0)")).cast("long")
 
 
-def pack(documents: DataFrame, path: str, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+def _cut_by_shares(
+    placed: DataFrame, parts: DataFrame, shares: dict[str | None, float], total: int, blocks: int
+) -> DataFrame:
+    """Stretches of documents by block (row, source_no, block, at, start, length) for another mixture."""
+    wanted = F.col("source").isin(*[s for s in shares if s is not None])
+    if None in shares:
+        wanted = F.coalesce(wanted, F.lit(True))
+    # As many sources as the caller names.
+    named = parts.filter(wanted).select("source", "source_no", "all").distinct().collect()
+    lines = due_lines({r["source_no"]: r["all"] for r in named}, {r["source_no"]: shares[r["source"]] for r in named}, total)
+    first_rest = sum(r["all"] for r in named if shares[r["source"]])
+    bounds = np.array([total * b // blocks for b in range(blocks + 1)], dtype=np.float64)
+
+    def cuts(source: int, size: int) -> np.ndarray:
+        line = lines.get(source, ([0.0, first_rest, total], [0.0, 0.0, size]))
+        return np.append(np.floor(np.interp(bounds[:-1], *line)).astype(np.int64), size)
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, source, size, start, n = (batch[c].to_numpy() for c in ("row", "source_no", "all", "from", "n_tokens"))
+            for s in np.unique(source):
+                own = source == s
+                cut = cuts(int(s), int(size[own][0]))
+                begin, end = start[own], start[own] + n[own]
+                low = np.searchsorted(cut, begin, side="right") - 1
+                times = np.searchsorted(cut, end - 1, side="right") - low
+                at = np.repeat(np.arange(len(begin)), times)
+                block = low[at] + np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
+                first = np.maximum(begin[at], cut[block])
+                length = np.minimum(end[at], cut[block + 1]) - first
+                # A block may have no token of the source.
+                full = length > 0
+                arrays = (row[own][at], np.full(len(at), s), block, first, first - begin[at], length)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x[full], pa.int64()) for x in arrays], names=["row", "source_no", "block", "at", "start", "length"]
+                )
+
+    schema = "row bigint, source_no bigint, block bigint, at bigint, start bigint, length bigint"
+    return placed.select("row", "source_no", "all", "from", "n_tokens").mapInArrow(split, schema)
+
+
+def pack(
+    documents: DataFrame, path: str, block_tokens: int = BLOCK_TOKENS, shares: dict[str | None, float] | None = None
+) -> DataFrame:
     """Pieces of all documents: doc_id, source, start, length, ids, ids_crc32, doc_tokens,
     sequence_id, offset.
 
-    Target proportions are those of the whole table. A null text has the end id only; a null
+    `shares` maps sources (None for null) to their target shares, in any unit; the default is
+    their tokens in the whole table. Every token is packed whatever the shares: when a queue is
+    exhausted, the others go on in the proportions they have among themselves, and sources
+    without a share follow when all that have one are exhausted. A null text has the end id only; a null
     source is a queue of its own; every row counts, repeated ones too. Sequences are full but
     for the last of each block. An empty table has no piece.
     """
+    if shares is not None and not (all(0 <= x < inf for x in shares.values()) and any(shares.values())):
+        raise ValueError("shares are finite, not negative, and not all zero")
     ship(documents.sparkSession)
     tokens = stored(tokenize(documents, path).withColumn("row", F.monotonically_increasing_id()))
     part = F.shiftright("row", 33)
@@ -218,7 +307,8 @@ def pack(documents: DataFrame, path: str, block_tokens: int = BLOCK_TOKENS) -> D
         }
     )
     total = parts.agg(F.sum("tokens")).first()[0] or 0
-    blocks = F.lit(max(ceil(total / block_tokens), 1)).cast("long")
+    block_count = max(ceil(total / block_tokens), 1)
+    blocks = F.lit(block_count).cast("long")
     parts = parts.withColumn("source_no", F.xxhash64("source"))
     inside = Window.partitionBy("source", "part").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
     placed = (
@@ -236,6 +326,8 @@ def pack(documents: DataFrame, path: str, block_tokens: int = BLOCK_TOKENS) -> D
     low = F.greatest("from", _floor_ratio(F.col("all"), F.col("block"), blocks))
     high = F.least(last + 1, _floor_ratio(F.col("all"), F.col("block") + 1, blocks))
     cut = cut.select("row", "source_no", "block", low.alias("at"), (low - F.col("from")).alias("start"), (high - low).alias("length"))
+    if shares is not None:
+        cut = _cut_by_shares(placed, parts, shares, total, block_count)
     stretches = tokens.join(cut, "row").select(
         "doc_id",
         "source",
@@ -247,4 +339,4 @@ def pack(documents: DataFrame, path: str, block_tokens: int = BLOCK_TOKENS) -> D
         F.col("n_tokens").alias("doc_tokens"),
         F.expr("substring(ids, cast(2 * start + 1 as int), cast(2 * length as int))").alias("ids"),
     )
-    return stretches.groupBy("block").applyInArrow(pack_block, PIECES)
+    return stretches.groupBy("block").applyInArrow(lambda block: pack_block(block, shares), PIECES)

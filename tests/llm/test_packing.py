@@ -89,3 +89,46 @@ def test_repeated_rows_and_empty(rows):
     df = rows("doc_id bigint, source string, text string", (1, "a", "same"), (1, "a", "same"))
     assert sorted((p["doc_id"], p["length"]) for p in packing.pack(df, PATH).collect()) == [(1, 2), (1, 2)]
     assert packing.pack(rows("doc_id bigint, source string, text string"), PATH).count() == 0
+
+
+@pytest.mark.parametrize("block_tokens", [1 << 21, 15_000])
+def test_another_mixture(rows, block_tokens):
+    rng = random.Random(12)
+    many = {"a": 240, "b": 60, None: 20, "c": 10}
+    sources = [s for s, n in many.items() for _ in range(n)]
+    rng.shuffle(sources)
+    data = [(i, s, " ".join(["the"] * rng.randint(100, 300))) for i, s in enumerate(sources)]
+    df = rows("doc_id bigint, source string, text string", *data)
+    pieces = packing.pack(df, PATH, block_tokens, {"a": 1, "b": 2, None: 1, "nowhere": 5}).collect()
+    pieces.sort(key=lambda p: (p["sequence_id"], p["offset"]))
+    # Whole: every token of every document once, and in full windows but for the last of a block.
+    spans = defaultdict(list)
+    for p in pieces:
+        spans[p["doc_id"], p["doc_tokens"]].append((p["start"], p["start"] + p["length"]))
+    assert len(spans) == len(data)
+    for (_, n), own in spans.items():
+        own.sort()
+        assert [0, *(e for _, e in own)] == [*(b for b, _ in own), n]
+    sizes, served, total = Counter(), Counter(), 0
+    for p in pieces:
+        sizes[p["source"]] += p["length"]
+    filled = Counter()
+    for p in pieces:
+        filled[p["sequence_id"]] += p["length"]
+    blocks = -(-sum(sizes.values()) // block_tokens)
+    assert max(filled.values()) <= packing.WINDOW and sum(n < packing.WINDOW for n in filled.values()) <= blocks
+    slack = packing.WINDOW + packing.LEAST_PIECE * 4
+    for p in pieces:
+        served[p["source"]] += p["length"]
+        total += p["length"]
+        if max(served["b"], 2 * served[None]) < min(sizes["b"], 2 * sizes[None]) - slack:
+            assert abs(served["b"] - total / 2) < slack and abs(served["a"] - total / 4) < slack
+        if served["c"] > slack:
+            assert served["a"] >= sizes["a"] - slack
+    with pytest.raises(ValueError):
+        packing.pack(df, PATH, shares={"a": 0})
+
+
+def test_shares_of_the_table_deal_as_by_default():
+    sizes = [(0, 5_000), (1, 1_000), (2, 90_000)]
+    assert Counter(packing.deal(sizes, shares=dict(sizes))) == Counter(packing.deal(sizes))
