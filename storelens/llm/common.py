@@ -9,6 +9,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +22,8 @@ SPACES = np.zeros(256, dtype=bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
+# Text that a worker takes at a time; its arrays take some tens of times as much.
+SLICE_BYTES = 1 << 21
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -55,6 +58,20 @@ def fold(doc_id: str | Column, parts: int) -> Column:
     return F.crc32(text.cast("binary")) % parts
 
 
+def slices(batch: pa.RecordBatch, rows: int = 500, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Runs of rows of a batch, of at most so many rows and bytes of text; one row may be longer."""
+    length = np.zeros(batch.num_rows, dtype=np.int64)
+    for column in batch.columns:
+        if pa.types.is_string(column.type) or pa.types.is_binary(column.type) or pa.types.is_large_string(column.type):
+            length += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    ends, at = np.cumsum(length), 0
+    while at < batch.num_rows:
+        full = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, side="right"))
+        end = min(max(full, at + 1), at + rows, batch.num_rows)
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def add_columns(
     df: DataFrame, fields: list[T.StructField], function: Callable[[pa.RecordBatch], list[pa.Array]], rows: int = 500
 ) -> DataFrame:
@@ -65,8 +82,7 @@ def add_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, rows):
-                part = batch.slice(at, rows)
+            for part in slices(batch, rows):
                 yield pa.RecordBatch.from_arrays(part.columns + function(part), names=schema.names)
 
     return kept.mapInArrow(run, schema)
