@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from decimal import Decimal
+import random
+from decimal import Context, Decimal
 from fractions import Fraction
 
 import pytest
@@ -195,3 +196,27 @@ def test_days_since_receipt_falls_back_to_first(rows):
 def test_same_text_ignores_case(rows):
     df = rows("n string", ("NRF 4-5-4 ReTail Calendar",), ("other",))
     assert df.filter(rules.same_text(F.col("n"), "NRF 4-5-4 Retail Calendar")).count() == 1
+
+
+def test_rounded_ratio_of_any_money_and_quantity(spark):
+    """Against exact fractions, up to all digits of decimal(38,10) and decimal(18,2)."""
+    rng = random.Random(12)
+
+    def number(digits, scale):
+        size = rng.choice([1, 3, digits // 2, digits])
+        return Decimal(rng.choice([-1, 1]) * rng.randrange(10**size)).scaleb(-scale, Context(prec=50))
+
+    pairs = [(number(38, 10), number(18, 2)) for _ in range(600)]
+    pairs += [(Decimal(10**38 - 1).scaleb(-10, Context(prec=50)), Decimal("0.01")), (Decimal("0.005"), Decimal(1)), (Decimal("-0.015"), Decimal(1))]
+    pairs += [(Decimal("1E-10"), Decimal("0.01")), (Decimal(1), Decimal(0)), (None, Decimal(1)), (Decimal(1), None), (Decimal(0), Decimal(-3))]
+    schema = "a decimal(38,10), b decimal(18,2)"
+    for digits in (0, 2, 4):
+        df = spark.createDataFrame(pairs, schema).select("a", "b", ratios.rounded_ratio(F.col("a"), F.col("b"), digits).alias("r"))
+        for a, b, got in df.collect():
+            if a is None or not b:
+                assert got is None
+                continue
+            exact = abs(Fraction(a) / Fraction(b)) * 10**digits
+            steps = (2 * exact.numerator + exact.denominator) // (2 * exact.denominator)
+            sign = -1 if (a < 0) != (b < 0) else 1
+            assert got == sign * float(steps) / 10**digits
