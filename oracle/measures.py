@@ -260,6 +260,58 @@ _SALE_KEYS = """
                       CASE WHEN ID_TRN % 97 = 0 THEN -ID_CT ELSE ID_CT END AS ID_CT) FROM sale"""
 _TENDER_KEYS = "SELECT * REPLACE (CASE WHEN ID_TRN % 83 = 0 THEN 99 ELSE ID_BSN_UN END AS ID_BSN_UN) FROM tender"
 
+_SALE_TWICE = f"(SELECT * FROM ({_SALE_KEYS}) UNION ALL SELECT * FROM ({_SALE_KEYS}) WHERE ID_TRN % 59 = 4)"
+_TENDER_TWICE = f"(SELECT * FROM ({_TENDER_KEYS}) UNION ALL SELECT * FROM ({_TENDER_KEYS}) WHERE ID_TRN % 53 = 0)"
+# Scanned tender lines: keys of texts, all but their line and customer numbers.
+_TENDER_SCAN = f"""
+    SELECT * REPLACE (CAST(ID_TRN AS VARCHAR) AS ID_TRN, CAST(ID_BSN_UN AS VARCHAR) AS ID_BSN_UN) FROM {_TENDER_TWICE}"""
+
+
+def counted(check: str, rows: str, rule: str) -> str:
+    """One row with the number of rows that fail a check, none if no row does."""
+    return f"SELECT '{check}' AS CHECK_NAME, CAST(NULL AS VARCHAR) AS KEY, count(*) AS QU_ROW FROM ({rows}) WHERE {rule} HAVING count(*) > 0"
+
+
+def of_table(table: str, *parts: str) -> str:
+    union = " UNION ALL ".join(f"SELECT CHECK_NAME, KEY, QU_ROW FROM ({part})" for part in parts)
+    return f"SELECT '{table}' AS TABLE_NAME, * FROM ({union})"
+
+
+def lonely(*args: str) -> str:
+    return f"SELECT CONSTRAINT_NAME AS CHECK_NAME, KEY, QU_ROW FROM ({orphan_rows(*args)})"
+
+
+def declared_key(table: str, *columns: str) -> str:
+    return f"SELECT 'primary key ({', '.join(columns)})' AS CHECK_NAME, * FROM ({key_report(table, *columns)})"
+
+
+FULL_REPORT = " UNION ALL ".join(
+    [
+        of_table(
+            _SALE,
+            declared_key(_SALE_TWICE, "ID_TRN", "IC_LN_ITM"),
+            lonely(_SALE, _SALE_TWICE, "ID_BSN_UN", "DW3_DIM_BUSINESS_UNIT", _KNOWN_BU),
+            lonely(_SALE, _SALE_TWICE, "ID_CT", "DW3_DIM_CT", _KNOWN_CT),
+            lonely(_SALE, _SALE_TWICE, "ID_ITM", "DW3_DIM_ITM", _KNOWN_ITM),
+            counted("FL_PRRT in (0,1)", _SALE_TWICE, "ID_TRN % 3 = 2"),
+            not_checked("CHECK_NAME", _SALE, "ID_LCN,ID_BSN_UN) -> DW3_DIM_INVENTORY_LOCATION",
+                        "ID_CHNL) -> DW3_DIM_CHNL", *[f"ID_PRM_OFR_{n}) -> DW3_DIM_PROMOTION" for n in range(1, 6)],
+                        "ID_METAR_WTHR_CN) -> CO_METAR_WTHR_CN", "CD_RSN) -> CO_CD_RSN",
+                        *[f"CD_RSN_{n}) -> CO_CD_RSN" for n in range(1, 6)]),
+        ),
+        of_table(
+            _TENDER,
+            declared_key(f"({_TENDER_SCAN})", "ID_TRN", "IC_LN_ITM"),
+            lonely(_TENDER, _TENDER_SCAN, "ID_BSN_UN", "DW3_DIM_BUSINESS_UNIT", "SELECT CAST(ID_BSN_UN AS VARCHAR) FROM bsn_un"),
+            lonely(_TENDER, _TENDER_SCAN, "ID_CT", "DW3_DIM_CT", _KNOWN_CT),
+            *[counted(f"{a} decimal(7,2)", _TENDER_SCAN, f"abs({a}) >= 100000") for a in TENDER_AMOUNTS],
+            counted("CRDB_TY_CRD char(6)", _TENDER_SCAN, "length(CRDB_TY_CRD) > 6"),
+            not_checked("CHECK_NAME", _TENDER, "ID_CHNL) -> DW3_DIM_CHNL"),
+            "SELECT 'FL_CO_PAY in (0,1)' AS CHECK_NAME, CAST(NULL AS VARCHAR) AS KEY, CAST(NULL AS BIGINT) AS QU_ROW",
+        ),
+    ]
+)
+
 CHANNEL_SALES = f"""
     SELECT c.ID_CHNL, c.ID_PRD_RP, {as_double("c.s")} AS NET_SALES, {as_double("c.m")} AS NET_MARGIN,
            {as_double("a.s")} AS CHAIN_NET_SALES, {div("c.s", "a.s")} * 100.0 AS PCT_CHNL_NET_SALES,
@@ -302,6 +354,13 @@ BODIES = {
                    f"CASE WHEN abs({a}) >= 100000 THEN '{a}=' || {a} END" for a in sorted(TENDER_AMOUNTS))}), '')
                AS FAILED_CASTS FROM tender""",
     "s2_stored_sale_summary": V1,
+    "s2_refreshed_sale_summary": V1,
+    "s2_refreshed_months": """
+        SELECT strftime(DC_DY_BSN, '%Y-%m') AS MO_BSN, count(*) AS QU_TRN FROM v1
+        WHERE strftime(DC_DY_BSN, '%Y-%m') IN (SELECT strftime(DC_DY_BSN, '%Y-%m') FROM sale
+                                               WHERE ID_TRN % 37 = 5 AND month(DC_DY_BSN) = 3)
+        GROUP BY ALL""",
+    "s3_refreshed_tender_summary": V2,
     "s2_sales_from_stored_summary": AVERAGE_SALES_YEARS,
     "s3_stored_tender_summary": V2,
     "s4_stored_quarterly_sales": V6,
@@ -334,6 +393,7 @@ BODIES = {
         SELECT ID_TRN, CAST(unnest(range(1, len({PARTS}) + 1)) AS INTEGER) AS ROWID, unnest({PARTS}) AS VALUE
         FROM order_path WHERE PTH <> ''""",
     "v1_sale_summary": V1,
+    "v1_clustered_sale_summary": V1,
     "v2_tender_summary": V2,
     "v3_months_per_period": f"""
         SELECT NM_PRD_RP, NM_CLD, count(DISTINCT YR * 100 + MN) AS MNTH_COUNT FROM rp GROUP BY ALL""",
@@ -506,6 +566,10 @@ BODIES = {
             not_checked("CONSTRAINT_NAME", "DW3_DIM_ITM", "CD_UOM) -> CO_UOM"),
         ]
     ),
+    "q1_clustered_key_violations": key_report(
+        """(SELECT ID_TRN, CASE WHEN ID_TRN % 61 <> 1 THEN IC_LN_ITM END AS IC_LN_ITM
+            FROM (SELECT * FROM sale UNION ALL SELECT * FROM sale WHERE ID_TRN % 59 = 4))""", "ID_TRN", "IC_LN_ITM"),
+    "q1_to_q5_full_report": FULL_REPORT,
     "q4_flag_violations": """
         SELECT 'FL_PRRT in (0,1)' AS CHECK_NAME, count(*) AS QU_ROW FROM sale WHERE ID_TRN % 3 = 2""",
     "q5_domain_violations": f"""

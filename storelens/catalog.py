@@ -13,7 +13,7 @@ from storelens.functions.ratios import decimals_as_doubles
 from storelens.operators import admin, periods, quality
 from storelens.plans import channels, customers, inventory, sales, summaries, tender
 from storelens.session import apply_settings
-from storelens.sources import branches, stored, tables, testdata
+from storelens.sources import branches, clustered, refresh, stored, tables, testdata
 from storelens.sources.testdata import Warehouse
 
 AS_OF = "2002-01-01"
@@ -80,6 +80,38 @@ def s3_stored_tender_summary(w):
     return w.tender_summary.drop(periods.MONTH_COLUMN)
 
 
+def _refreshed(w, facts: DataFrame, build, others: dict[str, DataFrame]) -> refresh.Refreshed:
+    """A summary built without the late lines of each March, and brought up to date when they come."""
+    late = (F.col("ID_TRN") % 37 == 5) & (F.month("DC_DY_BSN") == 3)
+    root = stored.shared_folder(w.spark)
+    for name, rows in others.items():
+        stored.store(rows, f"{root}/{name}")
+    stored.store_by_month(facts.filter(~late), f"{root}/facts")
+    paths = [f"{root}/{name}" for name in others]
+    made = lambda lines: build(lines, *[w.spark.read.parquet(p) for p in paths])
+    refresh.refresh(w.spark, f"{root}/facts", f"{root}/summary", made, paths)
+    refresh.append_by_month(facts.filter(late), f"{root}/facts")
+    return refresh.refresh(w.spark, f"{root}/facts", f"{root}/summary", made, paths)
+
+
+@query
+def s2_refreshed_sale_summary(w):
+    return _refreshed(w, w.sale, summaries.sale_summary, {"item": w.item}).summary.drop(periods.MONTH_COLUMN)
+
+
+@query
+def s2_refreshed_months(w):
+    """The months that the late lines made a refresh rewrite, with their transactions."""
+    found = _refreshed(w, w.sale, summaries.sale_summary, {"item": w.item})
+    rewritten = found.summary.filter(F.col(periods.MONTH_COLUMN).isin(list(found.months)))
+    return rewritten.groupBy(periods.MONTH_COLUMN).agg(F.count("ID_TRN").alias("QU_TRN"))
+
+
+@query
+def s3_refreshed_tender_summary(w):
+    return _refreshed(w, w.tender, summaries.tender_summary, {}).summary.drop(periods.MONTH_COLUMN)
+
+
 @query
 def s4_stored_quarterly_sales(w):
     quarterly = summaries.quarterly_sales(w.sale_summary, w.retail_days)
@@ -169,6 +201,13 @@ def v1_sale_summary(w):
     return w.sale_summary_build
 
 
+@query
+def v1_clustered_sale_summary(w):
+    """The summary of lines that are stored by transaction, which are summed where they lie."""
+    lines = clustered.store_clustered(w.sale, stored.shared_folder(w.spark), ["ID_TRN", "IC_LN_ITM"], buckets=8)
+    return summaries.sale_summary(lines, w.item)
+
+
 @query
 def v2_tender_summary(w):
     return w.tender_summary_build
@@ -493,16 +532,32 @@ def q1_q2_q4_constraint_report(w):
 
 
 @query
-def q3_foreign_key_violations(w):
-    """Keys of two facts, some of whose rows name an item, store or customer that is unknown."""
-    transaction, known = F.col("ID_TRN"), F.lit(None)
+def q1_clustered_key_violations(w):
+    """Lines stored by their key, some of them twice or without a line number."""
+    number = F.when(F.col("ID_TRN") % 61 != 1, F.col("IC_LN_ITM"))
+    lines = w.sale.unionByName(w.sale.filter(F.col("ID_TRN") % 59 == 4)).withColumn("IC_LN_ITM", number)
+    path = stored.shared_folder(w.spark)
+    found = clustered.store_clustered(lines, path, ["ID_TRN", "IC_LN_ITM"], buckets=8)
+    return clustered.clustered_key_violations(found, "DW3_FACT_SALE_RTN_BEHAVIOR")
+
+
+def _with_orphans(w) -> tuple[DataFrame, DataFrame]:
+    """Sale and tender lines, some of which name an item, store or customer that is unknown."""
+    transaction = F.col("ID_TRN")
     sale = w.sale.withColumn("ID_ITM", F.when(transaction % 89 == 0, -F.col("ID_ITM")).otherwise(F.col("ID_ITM")))
     sale = sale.withColumn("ID_CT", F.when(transaction % 97 == 0, -F.col("ID_CT")).otherwise(F.col("ID_CT")))
     store = F.when(transaction % 83 == 0, F.lit(99).cast("bigint")).otherwise(F.col("ID_BSN_UN").cast("bigint"))
+    return sale, w.tender.withColumn("ID_BSN_UN", store)
+
+
+@query
+def q3_foreign_key_violations(w):
+    sale, tender_lines = _with_orphans(w)
+    known = F.lit(None)
     return quality.foreign_key_violations(
         {
             "DW3_FACT_SALE_RTN_BEHAVIOR": sale.withColumn("ID_LCN", F.lit(1)),
-            "DW3_FACT_TENDER_BEHAVIOR": w.tender.withColumn("ID_BSN_UN", store),
+            "DW3_FACT_TENDER_BEHAVIOR": tender_lines,
             "DW3_DIM_CT": w.customer.withColumn("ID_CT_HSHLD", known.cast("string")),
             "DW3_DIM_ITM": w.item.withColumn("CD_UOM", known.cast("string")),
             "DW3_DIM_BUSINESS_UNIT": w.business_unit,
@@ -510,6 +565,21 @@ def q3_foreign_key_violations(w):
     )
 
 
+@query
+def q1_to_q5_full_report(w):
+    """All declared constraints of two facts, each read once; the tender lines are a typed scan."""
+    sale, tender_lines = _with_orphans(w)
+    sale = sale.withColumn("FL_PRRT", (F.col("ID_TRN") % 3).cast("int"))
+    again = tender_lines.filter(F.col("ID_TRN") % 53 == 0)
+    return quality.full_report(
+        {
+            "DW3_FACT_SALE_RTN_BEHAVIOR": sale.unionByName(sale.filter(F.col("ID_TRN") % 59 == 4)),
+            "DW3_FACT_TENDER_BEHAVIOR": _scanned(w, "DW3_FACT_TENDER_BEHAVIOR", tender_lines.unionByName(again)),
+        },
+        {"DW3_DIM_CT": w.customer, "DW3_DIM_ITM": w.item, "DW3_DIM_BUSINESS_UNIT": w.business_unit},
+    )
+
+
 @query
 def q4_flag_violations(w):
     flagged = w.sale.withColumn("FL_PRRT", (F.col("ID_TRN") % 3).cast("int"))
