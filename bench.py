@@ -21,6 +21,7 @@ RUNS = 2
 HEADLINE = [
     "v1_sale_summary",
     "v2_tender_summary",
+    "s3_tender_rollup",
     "v5_cost_velocity",
     "v6_quarterly_sales",
     "m1_average_sales_customer_store",

@@ -521,6 +521,18 @@ BODIES = {
         FROM tender t JOIN rp p ON t.DC_DY_BSN = p.DC_DY_BSN
         JOIN rp_months m ON p.NM_CLD = m.NM_CLD AND p.NM_PRD_RP = m.NM_PRD_RP
         GROUP BY p.NM_CLD, p.NM_PRD_RP, t.TY_TND, t.CRDB_TY_CRD, t.CRDB_ID_TND_MD_BRN, m.MNTH_COUNT""",
+    "m9b_active_customers_from_bitmaps": active_customers("count(DISTINCT v.ID_CT)"),
+    "m13_acquisition_rate_from_bitmaps": acquisition("count(DISTINCT v.ID_CT)", rnd("a.n", "b.n", 2) + " * 100"),
+    "s2_customer_bitmaps": """
+        SELECT c.c AS DC_DY_BSN, v.ID_BSN_UN, v.ID_CHNL, count(DISTINCT v.ID_CT) AS QU_CT
+        FROM v1 v JOIN (SELECT DC_DY_BSN AS d, min(DC_DY_BSN) OVER (PARTITION BY strftime(DC_DY_BSN, '%Y-%m'), s) AS c
+                        FROM (SELECT DC_DY_BSN, list_sort(list(DISTINCT ID_PRD_RP)) AS s FROM rp GROUP BY DC_DY_BSN)) c
+             ON v.DC_DY_BSN = c.d
+        GROUP BY ALL""",
+    "s3_tender_rollup": f"""
+        SELECT ID_CT, ID_BSN_UN, DC_DY_BSN, TY_TND, CRDB_TY_CRD, CRDB_ID_TND_MD_BRN, ID_TRN,
+               {as_double("sum(MO_TRN_AMT)")} AS MO_TRN_AMT, count(*) AS LINES, count(IC_LN_ITM) AS NUMBERED
+        FROM tender GROUP BY ALL""",
     "m9b_active_customers": active_customers("count(DISTINCT v.ID_CT)"),
     "m9b_active_customers_as_written": active_customers("count(v.ID_CT)"),
     "m13_acquisition_rate": acquisition("count(DISTINCT v.ID_CT)", rnd("a.n", "b.n", 2) + " * 100"),

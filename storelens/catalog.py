@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from storelens.functions.paths import level_label, reverse_path, split_rows
 from storelens.functions.ratios import decimals_as_doubles
 from storelens.operators import admin, periods, quality
-from storelens.plans import channels, customers, inventory, sales, summaries, tender
+from storelens.plans import bitmaps, channels, customers, inventory, sales, summaries, tender
 from storelens.session import apply_settings
 from storelens.sources import branches, clustered, refresh, stored, tables, testdata
 from storelens.sources.testdata import Warehouse
@@ -409,64 +409,70 @@ def m33_tender_share_of_type(w):
 # Tender measures
 
 
+@query
+def s3_tender_rollup(w):
+    """The finest stored aggregate of tender; the measures read it and coarser ones made of it."""
+    return w.tender_rollup_build
+
+
 @query
 def m7_monthly_spend_customer_store(w):
-    return tender.monthly_spend(w.tender, w.sample_period, CUSTOMER_STORE)
+    return tender.monthly_spend(w.tender_rollups, w.sample_period, CUSTOMER_STORE)
 
 
 @query
 def m7_monthly_spend_customer_store_as_written(w):
-    return tender.monthly_spend(w.tender, w.sample_period, CUSTOMER_STORE, "as_written")
+    return tender.monthly_spend(w.tender_rollups, w.sample_period, CUSTOMER_STORE, "as_written")
 
 
 @query
 def m8_monthly_spend_customer(w):
-    return tender.monthly_spend(w.tender, w.sample_period, CUSTOMER)
+    return tender.monthly_spend(w.tender_rollups, w.sample_period, CUSTOMER)
 
 
 @query
 def m8_monthly_spend_customer_as_written(w):
-    return tender.monthly_spend(w.tender, w.sample_period, CUSTOMER, "as_written")
+    return tender.monthly_spend(w.tender_rollups, w.sample_period, CUSTOMER, "as_written")
 
 
 @query
 def m9_monthly_tender_transactions_customer(w):
-    return tender.monthly_tender_transactions(w.tender, w.sample_period, CUSTOMER)
+    return tender.monthly_tender_transactions(w.tender_rollups, w.sample_period, CUSTOMER)
 
 
 @query
 def m10_monthly_tender_transactions_customer_store(w):
-    return tender.monthly_tender_transactions(w.tender, w.sample_period, CUSTOMER_STORE)
+    return tender.monthly_tender_transactions(w.tender_rollups, w.sample_period, CUSTOMER_STORE)
 
 
 @query
 def m11_lines_per_transaction(w):
-    return tender.lines_per_transaction(w.tender, w.sample_period)
+    return tender.lines_per_transaction(w.tender_rollups, w.sample_period)
 
 
 @query
 def m11_lines_per_transaction_as_written(w):
-    return tender.lines_per_transaction(w.tender, w.sample_period, "as_written")
+    return tender.lines_per_transaction(w.tender_rollups, w.sample_period, "as_written")
 
 
 @query
 def m12_share_of_card_spend(w):
-    return tender.share_of_card_spend(w.tender, w.card_spend, w.sample_period)
+    return tender.share_of_card_spend(w.tender_rollups, w.card_spend, w.sample_period)
 
 
 @query
 def m23_house_card_use(w):
-    return tender.house_card_use(w.tender, w.sample_period)
+    return tender.house_card_use(w.tender_rollups, w.sample_period)
 
 
 @query
 def m23_house_card_use_as_written(w):
-    return tender.house_card_use(w.tender, w.sample_period, semantics="as_written")
+    return tender.house_card_use(w.tender_rollups, w.sample_period, semantics="as_written")
 
 
 @query
 def m29_monthly_tender_by_period(w):
-    return tender.monthly_tender_by_period(w.tender, w.reporting_periods)
+    return tender.monthly_tender_by_period(w.tender_rollups, w.reporting_periods)
 
 
 # Customer measures
@@ -494,6 +500,23 @@ def m13_acquisition_rate_as_written(w):
     return customers.acquisition_rate(w.sale_summary, w.registration, w.year_periods, "as_written")
 
 
+@query
+def s2_customer_bitmaps(w):
+    """Customers in the stored sets, by first day of the cell, store and channel."""
+    sets = w.customer_bitmaps.groupBy(*bitmaps.KEYS)
+    return sets.agg(F.sum(F.bitmap_count("CUSTOMERS")).alias("QU_CT"))
+
+
+@query
+def m9b_active_customers_from_bitmaps(w):
+    return bitmaps.active_customers(w.customer_bitmaps, w.cells, w.business_unit_group, w.sample_period)
+
+
+@query
+def m13_acquisition_rate_from_bitmaps(w):
+    return bitmaps.acquisition_rate(w.customer_bitmaps, w.cells, w.registration, w.year_periods)
+
+
 @query
 def m16_longevity(w):
     return customers.longevity(w.sale_summary, w.customer, AS_OF)

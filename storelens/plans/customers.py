@@ -10,6 +10,13 @@ from storelens.functions.ratios import rounded_ratio, whole_ratio
 from storelens.operators.periods import on_day
 
 
+def store_regions(groups: DataFrame, function_id: int, level: int) -> DataFrame:
+    """ID_BSN_UN, REGION: one level of the path of each store's group."""
+    return groups.filter(F.col("ID_BSNGP_FNC") == function_id).select(
+        "ID_BSN_UN", F.get(tokens(F.col("BSNGP_HRC_LVL_GP_NM_PTH")), F.lit(level)).alias("REGION")
+    )
+
+
 def active_customers(
     summary: DataFrame,
     groups: DataFrame,
@@ -22,10 +29,7 @@ def active_customers(
 
     A customer counts once in each region. ``as_written`` counts transactions instead.
     """
-    regions = groups.filter(F.col("ID_BSNGP_FNC") == function_id).select(
-        "ID_BSN_UN", F.get(tokens(F.col("BSNGP_HRC_LVL_GP_NM_PTH")), F.lit(level)).alias("REGION")
-    )
-    active = on_day(summary, periods).join(regions, "ID_BSN_UN")
+    active = on_day(summary, periods).join(store_regions(groups, function_id, level), "ID_BSN_UN")
     count = F.count("ID_CT") if semantics == "as_written" else F.count_distinct("ID_CT")
     return active.groupBy("REGION").agg(count.alias("QU_RGN_CT"))
 

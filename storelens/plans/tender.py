@@ -1,4 +1,7 @@
-"""Measures on tender lines. They read every line, also those of invalid transactions."""
+"""Measures on tender. They count every line, also those of invalid transactions.
+
+Each takes tender lines or the stored aggregates of `rollups`, of which it reads the coarsest.
+"""
 
 from __future__ import annotations
 
@@ -8,25 +11,25 @@ from pyspark.sql import functions as F
 from storelens.functions.ratios import percent, ratio, rounded_ratio, whole_ratio
 from storelens.functions.rules import is_card
 from storelens.operators.periods import months_per_period, on_day
+from storelens.plans.rollups import MEDIA, Rollups, tender_facts
 from storelens.plans.sales import with_month_count
 
-MEDIA = ["TY_TND", "CRDB_TY_CRD", "CRDB_ID_TND_MD_BRN"]
 # The retailer's own card.
 HOUSE_CARD = "HOUSE_CARD"
 HOUSE_BRAND = "SAMPLE PROP"
 
 
 def monthly_spend(
-    tender: DataFrame, periods: DataFrame, by: list[str], semantics: str = "intended"
+    tender: DataFrame | Rollups, periods: DataFrame, by: list[str], semantics: str = "intended"
 ) -> DataFrame:
     """Average spend per month of the period by tender type, card and brand (M7, M8).
 
     ``as_written`` divides by the number of tender lines instead.
     """
     totals = (
-        on_day(tender, with_month_count(periods), "ID_PRD_RP", "MNTH_COUNT")
+        on_day(tender_facts(tender, *by, *MEDIA), with_month_count(periods), "ID_PRD_RP", "MNTH_COUNT")
         .groupBy(*by, "ID_PRD_RP", *MEDIA, "MNTH_COUNT")
-        .agg(F.sum("MO_TRN_AMT").alias("MO_TNDR_APPLD"), F.count(F.lit(1)).alias("LINES"))
+        .agg(F.sum("MO_TRN_AMT").alias("MO_TNDR_APPLD"), F.sum("LINES").alias("LINES"))
     )
     months = F.col("LINES") if semantics == "as_written" else F.col("MNTH_COUNT")
     return totals.select(
@@ -39,10 +42,10 @@ def monthly_spend(
     )
 
 
-def monthly_tender_transactions(tender: DataFrame, periods: DataFrame, by: list[str]) -> DataFrame:
+def monthly_tender_transactions(tender: DataFrame | Rollups, periods: DataFrame, by: list[str]) -> DataFrame:
     """Average transactions per month of the period by tender type, card and brand."""
     counted = (
-        on_day(tender, with_month_count(periods), "ID_PRD_RP", "MNTH_COUNT")
+        on_day(tender_facts(tender, *by, *MEDIA, "ID_TRN"), with_month_count(periods), "ID_PRD_RP", "MNTH_COUNT")
         .groupBy(*by, "ID_PRD_RP", *MEDIA, F.col("MNTH_COUNT").alias("QU_MO_PR_RP"))
         .agg(
             F.count_distinct("ID_TRN").alias("QU_TNDR_TRN"),
@@ -53,7 +56,7 @@ def monthly_tender_transactions(tender: DataFrame, periods: DataFrame, by: list[
 
 
 def lines_per_transaction(
-    tender: DataFrame, periods: DataFrame, semantics: str = "intended"
+    tender: DataFrame | Rollups, periods: DataFrame, semantics: str = "intended"
 ) -> DataFrame:
     """Average tender lines per transaction by customer and store.
 
@@ -61,9 +64,9 @@ def lines_per_transaction(
     """
     keys = ["ID_CT", "ID_BSN_UN", "ID_PRD_RP"]
     per_transaction = (
-        on_day(tender, periods, "ID_PRD_RP")
+        on_day(tender_facts(tender, "ID_CT", "ID_BSN_UN", "ID_TRN"), periods, "ID_PRD_RP")
         .groupBy(*keys, "ID_TRN")
-        .agg(F.count("IC_LN_ITM").alias("QU_LN_ITM"))
+        .agg(F.sum("NUMBERED").alias("QU_LN_ITM"))
     )
     counted = per_transaction.groupBy(*keys).agg(
         F.count("ID_TRN").alias("QU_TNDR_TRN"), F.sum("QU_LN_ITM").alias("QU_TNDR_LN_ITM")
@@ -74,10 +77,10 @@ def lines_per_transaction(
     )
 
 
-def share_of_card_spend(tender: DataFrame, spend: DataFrame, periods: DataFrame) -> DataFrame:
+def share_of_card_spend(tender: DataFrame | Rollups, spend: DataFrame, periods: DataFrame) -> DataFrame:
     """Part of a customer's spend on a card that was spent here."""
     here = (
-        on_day(tender.filter(is_card()), periods, "ID_PRD_RP")
+        on_day(tender_facts(tender, "ID_CT", *MEDIA).filter(is_card()), periods, "ID_PRD_RP")
         .groupBy("ID_CT", "ID_PRD_RP", *MEDIA)
         .agg(F.sum("MO_TRN_AMT").alias("MO_TNDR_APPLD"))
     )
@@ -95,7 +98,7 @@ def share_of_card_spend(tender: DataFrame, spend: DataFrame, periods: DataFrame)
 
 
 def house_card_use(
-    tender: DataFrame,
+    tender: DataFrame | Rollups,
     periods: DataFrame,
     card: str = HOUSE_CARD,
     brand: str = HOUSE_BRAND,
@@ -109,9 +112,9 @@ def house_card_use(
     keys = ["ID_CT", "ID_PRD_RP", "TY_TND"]
     own = (F.col("CRDB_TY_CRD") == card) & (F.col("CRDB_ID_TND_MD_BRN") == brand)
     per_transaction = (
-        on_day(tender.filter(is_card()), periods, "ID_PRD_RP")
+        on_day(tender_facts(tender, "ID_CT", *MEDIA, "ID_TRN").filter(is_card()), periods, "ID_PRD_RP")
         .groupBy(*keys, "ID_TRN")
-        .agg(F.count(F.lit(1)).alias("LINES"), F.count_if(own).alias("OWN_LINES"))
+        .agg(F.sum("LINES").alias("LINES"), F.sum(F.when(own, F.col("LINES")).otherwise(0)).alias("OWN_LINES"))
     )
     if semantics == "as_written":
         used, every = F.sum("OWN_LINES"), F.sum("LINES")
@@ -132,12 +135,12 @@ def house_card_use(
     )
 
 
-def monthly_tender_by_period(tender: DataFrame, periods: DataFrame) -> DataFrame:
+def monthly_tender_by_period(tender: DataFrame | Rollups, periods: DataFrame) -> DataFrame:
     """Average tender per month for every calendar and period.
 
     A day lies in several periods, so lines are summed per day before they repeat.
     """
-    daily = tender.groupBy("DC_DY_BSN", *MEDIA).agg(F.sum("MO_TRN_AMT").alias("MO_TRN_AMT"))
+    daily = tender_facts(tender, "DC_DY_BSN", *MEDIA).groupBy("DC_DY_BSN", *MEDIA).agg(F.sum("MO_TRN_AMT").alias("MO_TRN_AMT"))
     keys = ["NM_CLD", "NM_PRD_RP"]
     totals = (
         on_day(daily, periods, *keys)

@@ -23,7 +23,9 @@ from storelens.functions.calendar import (
 )
 from storelens.functions.rules import same_text
 from storelens.operators.periods import select_periods
+from storelens.plans.bitmaps import calendar_cells, customer_bitmaps
 from storelens.plans.inventory import saleable
+from storelens.plans.rollups import GRAINS, Rollups, as_rollup, build_rollups, summed
 from storelens.plans.summaries import sale_summary, tender_summary
 from storelens.sources.stored import session_folder, store, store_by_month
 
@@ -432,6 +434,26 @@ class Warehouse:
     def tender_summary(self) -> DataFrame:
         return store_by_month(self.tender_summary_build, self._path("DW3_STRD_SMRY_CT_TNDR"))
 
+    @cached_property
+    def tender_rollup_build(self) -> DataFrame:
+        return summed(as_rollup(self.tender), GRAINS[0])
+
+    @cached_property
+    def tender_rollups(self) -> Rollups:
+        return build_rollups(self.tender, lambda rows, name: store_by_month(rows, self._path(f"TENDER_{name}")))
+
+    @cached_property
+    def cells(self) -> DataFrame:
+        return store(calendar_cells(self.reporting_periods), self._path("CALENDAR_CELLS"))
+
+    @cached_property
+    def customer_bitmap_build(self) -> DataFrame:
+        return customer_bitmaps(self.sale_summary, self.cells)
+
+    @cached_property
+    def customer_bitmaps(self) -> DataFrame:
+        return store_by_month(self.customer_bitmap_build, self._path("CUSTOMER_BITMAPS"))
+
     @cached_property
     def sample_period(self) -> DataFrame:
         return select_periods(self.reporting_periods, name=SAMPLE_PERIOD)
