@@ -367,6 +367,9 @@ BODIES = {
     "s6_branch_union": """
         SELECT c_custkey, n_name, r_name AS BRANCH FROM customer JOIN nation ON c_nationkey = n_nationkey
         JOIN region ON n_regionkey = r_regionkey WHERE r_regionkey < 4""",
+    "s6_resumed_branch_load": """
+        SELECT c_custkey, n_name, r_name AS BRANCH FROM customer JOIN nation ON c_nationkey = n_nationkey
+        JOIN region ON n_regionkey = r_regionkey WHERE r_regionkey < 4""",
     "s7_csv_export": CHANNEL_SALES,
     "f1_sale_lines": f"""
         SELECT {LINE_KEYS}, {dbl("MO_EXTND", "QU_UN", "QU_ITM_LM_RTN_SLS", "MO_CST_INV_EXTND")},

@@ -13,7 +13,7 @@ from storelens.functions.ratios import decimals_as_doubles
 from storelens.operators import admin, periods, quality
 from storelens.plans import bitmaps, channels, customers, inventory, sales, summaries, tender
 from storelens.session import apply_settings
-from storelens.sources import branches, clustered, refresh, stored, tables, testdata
+from storelens.sources import branch_loads, branches, clustered, refresh, stored, tables, testdata
 from storelens.sources.testdata import Warehouse
 
 AS_OF = "2002-01-01"
@@ -118,17 +118,23 @@ def s4_stored_quarterly_sales(w):
     return stored.store(quarterly, stored.shared_folder(w.spark))
 
 
-@query
-def s6_branch_union(w):
+def _branch_customers(w) -> tuple[DataFrame, DataFrame]:
+    """The list of branches, and the customers of each, c_custkey, n_name and r_name."""
     config = w.raw("region").select(
         F.col("r_name").alias("BASEDATOS"), F.when(F.col("r_regionkey") < 4, 1).otherwise(0).alias("ETL")
     )
     groups = w.raw("nation").join(w.raw("region"), F.col("n_regionkey") == F.col("r_regionkey"))
     people = w.raw("customer").select("c_custkey", "c_nationkey")
     placed = people.join(groups, F.col("c_nationkey") == F.col("n_nationkey"))
+    return config, placed.select("c_custkey", "n_name", "r_name")
+
+
+@query
+def s6_branch_union(w):
+    config, placed = _branch_customers(w)
     # Every branch is a database of its own: a folder that holds its customers only.
     root = stored.shared_folder(w.spark)
-    placed.select("c_custkey", "n_name", "r_name").write.partitionBy("r_name").parquet(f"{root}/databases")
+    placed.write.partitionBy("r_name").parquet(f"{root}/databases")
     one = placed.select("c_custkey", "n_name").schema
 
     def read_one(name):
@@ -137,6 +143,32 @@ def s6_branch_union(w):
     return branches.read_branches(config, read_one, f"{root}/loaded")
 
 
+@query
+def s6_resumed_branch_load(w):
+    """A load of all marked branches, one of which fails, and a second one that reads only that."""
+    config, placed = _branch_customers(w)
+    root = stored.shared_folder(w.spark)
+    placed.write.partitionBy("r_name").parquet(f"{root}/databases")
+
+    def reader(down: str | None):
+        def read(name):
+            from pyarrow import dataset, fs
+
+            system, folder = fs.FileSystem.from_uri(root) if ":/" in root else (fs.LocalFileSystem(), root)
+            rows = dataset.dataset(f"{folder}/databases/r_name={name}", filesystem=system)
+            for batch in rows.to_batches(columns=["c_custkey", "n_name"]):
+                yield batch
+                if name == down:
+                    raise ConnectionError(name)
+
+        return read
+
+    columns = placed.select("c_custkey", "n_name").schema
+    branch_loads.load_branches(config, reader("ASIA"), columns, f"{root}/loaded")
+    branch_loads.load_branches(config, reader(None), columns, f"{root}/loaded")
+    return branch_loads.read_loaded(w.spark, f"{root}/loaded", columns)
+
+
 @query
 def s7_csv_export(w):
     report = decimals_as_doubles(channels.channel_sales_share(w.sale_summary, w.year_periods))

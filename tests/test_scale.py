@@ -18,7 +18,7 @@ from storelens.sources import testdata
 FOLDER = "/root/testdata/sf0.001"
 WRITES = {"s1_typed_scan", "s1_tender_scan", "s4_stored_quarterly_sales", "s6_branch_union", "s7_csv_export"}
 WRITES |= {"q5_domain_violations", "q1_to_q5_full_report", "q1_clustered_key_violations", "v1_clustered_sale_summary"}
-WRITES |= {"s2_refreshed_sale_summary", "s2_refreshed_months", "s3_refreshed_tender_summary"}
+WRITES |= {"s2_refreshed_sale_summary", "s2_refreshed_months", "s3_refreshed_tender_summary", "s6_resumed_branch_load"}
 
 
 def plan_of(df) -> str:
