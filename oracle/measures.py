@@ -447,6 +447,8 @@ BODIES = {
     "m1m_average_sales_customer_store_periods": AVERAGE_SALES_YEARS,
     "m2_average_sales_customer": average_sales(KEYS_CT, "sample"),
     "m2m_average_sales_customer_periods": average_sales(KEYS_CT, "years"),
+    "m1m_average_sales_all_periods": average_sales(KEYS_CT_BU, "rp"),
+    "m2m_average_sales_customer_all_periods": average_sales(KEYS_CT, "rp"),
     "m3_monthly_average_sales_customer_store": average_sales(KEYS_CT_BU, "sample", MONTH),
     "m4_monthly_average_sales_customer": average_sales(KEYS_CT, "sample", MONTH),
     "m5_monthly_transactions_customer_store": monthly_transactions(KEYS_CT_BU),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from storelens.functions.paths import level_label, reverse_path, split_rows
 from storelens.functions.ratios import decimals_as_doubles
-from storelens.operators import admin, periods, quality
+from storelens.operators import admin, periods, quality, running
 from storelens.plans import bitmaps, channels, customers, inventory, sales, summaries, tender
 from storelens.session import apply_settings
 from storelens.sources import branch_loads, branches, clustered, refresh, stored, tables, testdata
@@ -360,6 +360,17 @@ def m2m_average_sales_customer_periods(w):
     return sales.average_sales(w.sale_summary, w.year_periods, CUSTOMER)
 
 
+@query
+def m1m_average_sales_all_periods(w):
+    """All reporting periods at once: months, years and the whole span, of both calendars."""
+    return running.average_sales(w.sale_summary, w.reporting_periods, CUSTOMER_STORE)
+
+
+@query
+def m2m_average_sales_customer_all_periods(w):
+    return running.average_sales(w.sale_summary, w.reporting_periods, CUSTOMER)
+
+
 @query
 def m3_monthly_average_sales_customer_store(w):
     return sales.monthly_average_sales(w.sale_summary, w.sample_period, CUSTOMER_STORE)
