@@ -447,6 +447,13 @@ BODIES = {
     "m1m_average_sales_customer_store_periods": AVERAGE_SALES_YEARS,
     "m2_average_sales_customer": average_sales(KEYS_CT, "sample"),
     "m2m_average_sales_customer_periods": average_sales(KEYS_CT, "years"),
+    "j2_calendar_bridge": """
+        SELECT l.*, c.ID_CLD FROM (SELECT ID_TRN, IC_LN_ITM, DC_DY_BSN FROM sale UNION SELECT ID_TRN, IC_LN_ITM, DC_DY_BSN FROM tender) l
+        JOIN (SELECT ID_CLD, DC_DY_BSN FROM retail UNION ALL SELECT ID_CLD, DC_DY_BSN FROM gregorian) c
+             ON c.DC_DY_BSN = l.DC_DY_BSN""",
+    "j2_period_bridge": """
+        SELECT l.*, p.ID_PRD_RP FROM (SELECT ID_TRN, IC_LN_ITM, DC_DY_BSN FROM sale UNION SELECT ID_TRN, IC_LN_ITM, DC_DY_BSN FROM tender) l
+        JOIN month_days p ON p.DC_DY_BSN = l.DC_DY_BSN""",
     "m1m_average_sales_all_periods": average_sales(KEYS_CT_BU, "rp"),
     "m2m_average_sales_customer_all_periods": average_sales(KEYS_CT, "rp"),
     "m3_monthly_average_sales_customer_store": average_sales(KEYS_CT_BU, "sample", MONTH),

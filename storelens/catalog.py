@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from storelens.functions.paths import level_label, reverse_path, split_rows
 from storelens.functions.ratios import decimals_as_doubles
 from storelens.operators import admin, periods, quality, running
-from storelens.plans import bitmaps, channels, customers, inventory, sales, summaries, tender
+from storelens.plans import bitmaps, bridges, channels, customers, inventory, sales, summaries, tender
 from storelens.session import apply_settings
 from storelens.sources import branch_loads, branches, clustered, refresh, stored, tables, testdata
 from storelens.sources.testdata import Warehouse
@@ -47,7 +47,7 @@ def _scanned(w, table: str, rows: DataFrame) -> DataFrame:
     """A table's rows, written as files of the warehouse and read back as a user reads them."""
     root = stored.shared_folder(w.spark)
     stored.store(rows, f"{root}/{table}")
-    return tables.read_table(w.spark, root, table, trim=True)
+    return tables.read_table(w.spark, root, table)
 
 
 def _failed_as_text(scan: DataFrame) -> DataFrame:
@@ -337,6 +337,16 @@ def mt1_period_days(w):
     return periods.period_days(w.sample_period.filter(F.col("ID_CLD_PRD").between(1, (last - first + 1) * 12)))
 
 
+@query
+def j2_calendar_bridge(w):
+    return bridges.calendar_bridge([w.sale, w.tender], w.calendar)
+
+
+@query
+def j2_period_bridge(w):
+    return bridges.period_bridge([w.sale, w.tender], w.month_periods)
+
+
 # Sales measures
 
 

@@ -181,8 +181,8 @@ def conform(df: DataFrame, table: str, trim: bool = True) -> DataFrame:
     return df.select(*columns, found.alias(FAILED_CASTS))
 
 
-def read_table(spark: SparkSession, root: str, table: str, trim: bool = False) -> DataFrame:
-    """Typed scan of one warehouse table (S1). Set ``trim`` for files that were not ingested here.
+def read_table(spark: SparkSession, root: str, table: str, trim: bool = True) -> DataFrame:
+    """Typed scan of one warehouse table (S1). Without ``trim``, filters on padded text reach files that have none.
 
     A missing key column is an error. Other columns that are missing stay so; `fill_absent`
     adds them.

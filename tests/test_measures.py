@@ -7,8 +7,9 @@ from decimal import Decimal
 
 import pytest
 
+from storelens.operators import quality
 from storelens.operators.periods import in_periods, months_per_period, on_day, select_periods
-from storelens.plans import channels, customers, inventory, sales, tender
+from storelens.plans import bridges, channels, customers, inventory, sales, tender
 
 PERIOD = (
     "ID_PRD_RP int, NM_PRD_RP string, ID_CLD int, NM_CLD string, DC_DY_BSN date, "
@@ -250,3 +251,20 @@ def test_longevity(rows):
     people = rows("ID_CT int, LN_PRS string, FN_PRS string, NM_PRS_ML string", (1, "L", "F", "M"))
     got = customers.longevity(summary, people, "2013-02-10").first()
     assert (got["DC_FST_CT_SLS"], got["QU_DY_CT_LONGEVITY"]) == (dt.date(2013, 2, 5), 5)
+
+
+def test_bridges_satisfy_their_declared_keys(rows):
+    """A line of two facts is one row; a line outside the calendar has none."""
+    day, other = dt.date(2013, 2, 3), dt.date(2013, 2, 4)
+    fact = "ID_TRN string, IC_LN_ITM int, DC_DY_BSN date"
+    sale = rows(fact, ("a", 1, day), ("a", 2, day), ("b", 1, other))
+    tender = rows(fact, ("a", 1, day), ("c", 1, dt.date(1999, 1, 1)))
+    calendar = rows("ID_CLD int, DC_DY_BSN date", (1, day), (2, day), (1, other))
+    bridge = bridges.calendar_bridge([sale, tender], calendar)
+    assert sorted(map(tuple, bridge.collect())) == [("a", 1, 1, day), ("a", 1, 2, day), ("a", 2, 1, day), ("a", 2, 2, day), ("b", 1, 1, other)]
+    names = [f"DW3_FACT_{n}_BEHAVIOR" for n in ("SALE_RTN", "TENDER", "CT_LYLTY")]
+    tables = {"DW3_DIM_ST_ASCTN_RTL_TRN_CA": bridge} | dict(zip(names, [sale, tender, tender.limit(0)]))
+    found = quality.full_report(tables, {"DW3_DIM_CA_HIER": calendar}).filter("TABLE_NAME = 'DW3_DIM_ST_ASCTN_RTL_TRN_CA'")
+    assert found.count() == 0
+    periods = rows("ID_PRD_RP int, DC_DY_BSN date", (1, day), (2, day), (2, other))
+    assert bridges.period_bridge([sale], periods).count() == 5
