@@ -12,7 +12,6 @@ from storelens.functions.paths import level_label, reverse_path, split_rows
 from storelens.functions.ratios import decimals_as_doubles
 from storelens.operators import admin, periods, quality, running
 from storelens.plans import bitmaps, bridges, channels, customers, inventory, sales, summaries, tender
-from storelens.session import apply_settings
 from storelens.sources import branch_loads, branches, clustered, refresh, stored, tables, testdata
 from storelens.sources.testdata import Warehouse
 
@@ -32,7 +31,6 @@ def query(function: Callable[[Warehouse], DataFrame]) -> Callable[[Warehouse], D
 @lru_cache(maxsize=4)
 def warehouse(spark: SparkSession, folder: str) -> Warehouse:
     """One set of table definitions per session and folder; it holds plans, not rows."""
-    apply_settings(spark)
     return Warehouse(spark, folder)
 
 

@@ -15,12 +15,6 @@ SETTINGS = {
 }
 
 
-def apply_settings(spark: SparkSession) -> None:
-    """Puts the settings on a session that was made elsewhere."""
-    for key, value in SETTINGS.items():
-        spark.conf.set(key, value)
-
-
 def local_session(
     cpus: int | str = "*",
     shuffle_partitions: int = 8,

@@ -29,3 +29,12 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", sorted(CHECKS))
 def test_query(name, spark, connection):
     assert difference(catalog.run(name, spark, FOLDER), connection, CHECKS[name]) is None
+
+
+@pytest.mark.parametrize("name", ["m13_acquisition_rate", "s2_refreshed_months", "mi4_freshness", "q7_days_without_calendar"])
+def test_time_zone_of_the_caller_does_not_matter(name, spark, connection):
+    """A session of another zone gives the same rows, and keeps its settings."""
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    assert difference(catalog.run(name, other, FOLDER), connection, CHECKS[name]) is None
+    assert other.conf.get("spark.sql.session.timeZone") == "America/Los_Angeles"
