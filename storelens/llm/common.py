@@ -41,13 +41,13 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """Writes a table to the folder that all machines share and reads it back.
 
     Cuts the lineage, so that a lost executor does not bring the work back.
     """
     path = shared_folder(df.sparkSession)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -33,7 +33,8 @@ END = 1
 BLOCK_TOKENS = 1 << 21
 # A source waits until it is owed so many tokens.
 LEAST_PIECE = 64
-CACHE = 1_000_000
+# Words that a worker knows: those of the last texts, up to so many, and as many before them.
+CACHE = 350_000
 PIECES = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
@@ -58,20 +59,41 @@ class WordCodec:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[bytes, bytes] = {}
+        self.earlier: dict[bytes, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def _learn(self, words: list[bytes]) -> None:
+        """Encodes words as one text; a token belongs to the word in which it starts."""
+        texts = [w.decode() for w in words]
+        apart = [any(s in t for s in self.special) for t in texts]
+        self.known.update((w, self._whole(t)) for w, t, own in zip(words, texts, apart) if own)
+        plain = [(w, t) for w, t, own in zip(words, texts, apart) if not own]
+        if not plain:
+            return
+        size = np.array([len(t) for _, t in plain], dtype=np.int64)
+        starts = np.concatenate([[0], np.cumsum(size + 1)[:-1]])
+        found = self.tokenizer.encode(" ".join(t for _, t in plain), add_special_tokens=False)
+        ids = np.array(found.ids, dtype="<u4").tobytes()
+        at = np.array(found.offsets, dtype=np.int64).reshape(-1, 2)[:, 0]
+        cuts = (np.searchsorted(at, np.append(starts, starts[-1] + size[-1] + 1)) * 4).tolist()
+        self.known.update((w, ids[low:high]) for (w, _), low, high in zip(plain, cuts, cuts[1:]))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         words = [(text.lower() if text.isascii() else text).encode().split() for text in texts]
-        new = [w for w in set().union(*words) if w not in self.known]
-        if len(self.known) + len(new) > CACHE:
-            self.known.clear()
-            new = list(set().union(*words))
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        self.known.update((w, np.array(x.ids, dtype="<u4").tobytes()) for w, x in zip(new, found))
-        get = self.known.__getitem__
+        if len(self.known) > CACHE:
+            self.known, self.earlier = {}, self.known
+        known, earlier, new = self.known, self.earlier, []
+        for word in set().union(*words):
+            if word not in known:
+                if word in earlier:
+                    known[word] = earlier[word]
+                else:
+                    new.append(word)
+        self._learn(new)
+        get = known.__getitem__
         return [
             self._whole(text) if any(s in text for s in self.special) else b"".join(map(get, own))
             for text, own in zip(texts, words)
@@ -294,7 +316,7 @@ def pack(
     if shares is not None and not (all(0 <= x < inf for x in shares.values()) and any(shares.values())):
         raise ValueError("shares are finite, not negative, and not all zero")
     ship(documents.sparkSession)
-    tokens = stored(tokenize(documents, path).withColumn("row", F.monotonically_increasing_id()))
+    tokens = stored(tokenize(documents, path).withColumn("row", F.monotonically_increasing_id()), "zstd")
     part = F.shiftright("row", 33)
     sizes = tokens.select("row", "source", "n_tokens", part.alias("part"))
     # Offsets in the queue: running totals within parts of the table, then of the parts.

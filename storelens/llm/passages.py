@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from storelens.llm.common import WordHashes, add_columns, mix, row_key, ship, stored, word_bounds
+from storelens.llm.common import WordHashes, add_columns, mix, row_key, ship, slices, stored, word_bounds
 
 WIDTH = 35
 # Words of which a minimiser is made.
@@ -134,8 +134,7 @@ def repeated_spans(documents: DataFrame, width: int = WIDTH, hot: int = HOT) ->
     def light(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for part in slices(batch):
                 found = SuperKmers(part["text"].to_pylist(), width, hashes)
                 own = part.select(["_k1", "_k2"]).take(pa.array(found.document))
                 yield pa.RecordBatch.from_arrays(
@@ -161,8 +160,7 @@ def repeated_spans(documents: DataFrame, width: int = WIDTH, hot: int = HOT) ->
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for part in slices(batch):
                 found, picked = select(part, hashes)
                 own = part.select(["_k1", "_k2"]).take(pa.array(found.document[picked]))
                 yield pa.RecordBatch.from_arrays(
@@ -210,8 +208,7 @@ def repeated_spans(documents: DataFrame, width: int = WIDTH, hot: int = HOT) ->
         def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hashes = WordHashes()
             for batch in batches:
-                for at in range(0, batch.num_rows, 100):
-                    part = batch.slice(at, 100)
+                for part in slices(batch, 100):
                     found, picked = select(part, hashes)
                     offsets = np.concatenate(([0], np.cumsum(found.windows[picked]))).astype(np.int32)
                     both = window_prints(found, picked)
