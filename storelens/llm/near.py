@@ -5,11 +5,11 @@ first scatters the shingles, the second is applied after a circular shift by the
 coordinate. Signatures are cut into bands; documents that share a band are candidates, and
 candidates are linked if their full sets are similar enough.
 
-Equal sets are one candidate. In a band's bucket, all are first compared with one pivot. Then
-the groups that this has left apart are compared with each other; comparisons within a group
-could not change the result. In large buckets, shingles that no other candidate there has are
-counted first: the set with fewest is the pivot, and sets with many can be near to nothing, so
-that a bucket of n copies of one text takes about n comparisons.
+Equal sets are one candidate. In a band's bucket, all are first compared with a pivot, twice, the
+second time one of another group; a bucket of n copies of one text takes about n comparisons. In
+large buckets, shingles that no other candidate there has are counted first: the set with fewest
+is the pivot, and sets with many can be near to nothing. Then members of the groups that are
+still apart meet by their rarest shingles; comparisons within a group could not change the result.
 """
 
 from __future__ import annotations
@@ -18,16 +18,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from storelens.llm.common import LOWER, WordHashes, add_columns, mix, row_key, ship, stored, word_bounds
+from storelens.llm.common import LOWER, WordHashes, add_columns, mix, row_key, ship, slices, stored, word_bounds
 
 # A pair of similarity 0.85 shares no band with a probability of 4e-7; of 0.8, 2e-5.
 BANDS, ROWS = 20, 4
 # Members of a bucket up to which shingles are not counted.
 SMALL = 16
+# Rounds in which all members of a bucket meet one pivot.
+PIVOTS = 2
 
 
 def shingle_sets(texts: list[str | None], size: int, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
@@ -176,46 +178,99 @@ def components(links: DataFrame) -> DataFrame:
             return edges.groupBy("a").agg(F.min("b").alias("_group")).withColumnRenamed("a", "_set")
 
 
-def lonely_shingles(held: DataFrame) -> DataFrame:
-    """Number of shingles of each set that no other of the sets has: _set, u (none if 0)."""
+def met_shingles(held: DataFrame) -> DataFrame:
+    """A row (shingle, h1, h2, n) for every shingle of every set; h1 and h2 are the set's print."""
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for part in slices(batch):
                 values = [np.frombuffer(v, np.int64) for v in part["_values"].to_pylist()]
-                ids = np.repeat(part["id"].to_numpy(), [len(v) for v in values])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(values)), pa.array(ids)], names=["shingle", "id"]
-                )
+                sizes = np.array([len(v) for v in values])
+                halves = np.frombuffer(b"".join(part["_set"].to_pylist()), ">i8").astype(np.int64).reshape(-1, 2)
+                columns = [np.concatenate(values), *np.repeat(halves, sizes, axis=0).T, np.repeat(sizes, sizes)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["shingle", "h1", "h2", "n"])
+
+    return held.select("_set", "_values").mapInArrow(explode, "shingle long, h1 long, h2 long, n long")
+
+
+def _print_of(h1: str, h2: str) -> Column:
+    """The print of a set from its halves."""
+    return F.unhex(F.concat(*[F.lpad(F.hex(h), 16, "0") for h in (h1, h2)]))
+
+
+def lonely_shingles(held: DataFrame) -> DataFrame:
+    """Number of shingles of each set that no other of the sets has: _set, u (none if 0)."""
+    # Of one row, the exclusive or is the row itself.
+    once = met_shingles(held).groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("c"), F.bit_xor("h1").alias("h1"), F.bit_xor("h2").alias("h2")
+    )
+    counted = once.filter("c = 1").groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("u"))
+    return counted.select(_print_of("h1", "h2").alias("_set"), "u")
 
-    named = held.withColumn("id", F.xxhash64("_set"))
-    met = named.select("_values", "id").mapInArrow(explode, "shingle long, id long")
-    # Of one row, the exclusive or is its id.
-    once = met.groupBy("shingle").agg(F.count(F.lit(1)).alias("c"), F.bit_xor("id").alias("id")).filter("c = 1")
-    counted = once.groupBy("id").agg(F.count(F.lit(1)).alias("u"))
-    return named.select("_set", "id").join(stored(counted), "id").select("_set", "u")
 
+def _possible(shared: Column, percent: int) -> Column:
+    """Whether sets of na and nb shingles that share at most so many can be similar enough."""
+    return 100 * shared >= percent * (F.col("na") + F.col("nb") - shared)
 
-def _pairs(placed: DataFrame, percent: int, pivots: bool) -> DataFrame:
-    """Pairs (a, b) across the groups of members (key, _set, n, u, _group), with a pivot or with all.
 
-    A set shares at most n - u shingles with any other; pairs that this rules out are left out.
+def _ordered() -> list[Column]:
+    return [F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")]
+
+
+def pivot_pairs(placed: DataFrame, used: DataFrame | None, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of one pivot a bucket with members (key, _set, n, u, _group) of other groups.
+
+    The pivot is a set with fewest lonely shingles of a group that has held none of the pivots
+    (key, _set) before. A set shares at most n - u shingles with any other; pairs that this
+    rules out are left out. Also returns all pivots so far.
     """
-    one = [F.col("_set").alias("b"), F.col("n").alias("nb"), F.col("u").alias("ub"), F.col("_group").alias("gb")]
-    if pivots:
-        first = placed.groupBy("key").agg(F.min(F.struct("u", "n", "_set", "_group")).alias("p"))
-        other = stored(first.select("key", "p.*").select("key", *one))
-    else:
-        sizes = placed.groupBy("key", "_group").agg(F.count(F.lit(1)).alias("c"))
-        largest = sizes.groupBy("key").agg(F.max_by("_group", F.struct("c", "_group")).alias("largest"))
-        other = placed.join(stored(largest), "key").filter(F.col("_group") != F.col("largest")).select("key", *one)
+    open_sets = placed
+    if used is not None:
+        spent = placed.join(used, ["key", "_set"], "left_semi").select("key", "_group").distinct()
+        open_sets = placed.join(stored(spent), ["key", "_group"], "left_anti")
+    first = open_sets.groupBy("key").agg(F.min(F.struct("u", "n", "_set", "_group")).alias("p"))
+    pivots = stored(first.select("key", "p.*"))
+    one = pivots.select(
+        "key", F.col("_set").alias("b"), F.col("n").alias("nb"), F.col("u").alias("ub"), F.col("_group").alias("gb")
+    )
     own = placed.select("key", F.col("_set").alias("a"), F.col("n").alias("na"), F.col("u").alias("ua"), F.col("_group").alias("ga"))
     shared = F.least(F.col("na") - F.col("ua"), F.col("nb") - F.col("ub"))
-    possible = 100 * shared >= percent * (F.col("na") + F.col("nb") - shared)
-    apart = (F.col("ga") != F.col("gb")) & possible
-    met = own.join(other, "key").filter(apart)
-    return met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    met = own.join(one, "key").filter((F.col("ga") != F.col("gb")) & _possible(shared, percent))
+    named = pivots.select("key", "_set")
+    return met.select(*_ordered()).distinct(), named if used is None else used.unionByName(named)
+
+
+def rare_pairs(placed: DataFrame, held: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different groups of one bucket that share one of their rarest shingles.
+
+    All sets order their shingles by the number of sets here that have them. Similar sets share
+    so many that the first one they share is near the front of both, and leaves enough behind
+    it in both; so no similar pair is lost. A shingle that only one set has meets nothing.
+    """
+    sets = stored(placed.select("_set").distinct())
+    met = stored(met_shingles(held.join(sets, "_set", "left_semi")))
+    several = stored(met.groupBy("shingle").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"))
+    one_set = Window.partitionBy("h1", "h2")
+    place = F.col("n") - F.count(F.lit(1)).over(one_set) + F.row_number().over(one_set.orderBy("c", "shingle")) - 1
+    front = F.col("n") - F.ceil(F.col("n") * percent / 100)
+    rare = met.join(several, "shingle").withColumn("place", place).filter(F.col("place") <= front)
+    rare = rare.select(_print_of("h1", "h2").alias("_set"), "shingle", "place")
+    listed = stored(placed.select("key", "_set", "n", "_group").join(stored(rare), "_set"))
+    sizes = listed.groupBy("key", "shingle", "_group").agg(F.count(F.lit(1)).alias("c"))
+    # Members of the largest group need not meet each other, and a lone group meets none.
+    kinds = sizes.groupBy("key", "shingle").agg(
+        F.count(F.lit(1)).alias("groups"), F.max_by("_group", F.struct("c", "_group")).alias("largest")
+    )
+    several_groups = stored(kinds.filter("groups > 1").drop("groups"))
+    listed = stored(listed.join(several_groups, ["key", "shingle"]))
+    own = listed.select("key", "shingle", F.col("_set").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"), F.col("_group").alias("ga"), "largest")
+    other = listed.filter(F.col("_group") != F.col("largest")).select(
+        "key", "shingle", F.col("_set").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("_group").alias("gb")
+    )
+    left = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+    once = (F.col("ga") == F.col("largest")) | (F.col("a") < F.col("b"))
+    apart = (F.col("ga") != F.col("gb")) & once & _possible(left, percent)
+    return own.join(other, ["key", "shingle"]).filter(apart).select(*_ordered()).distinct()
 
 
 def near_groups(members: DataFrame, held: DataFrame, percent: int) -> DataFrame | None:
@@ -223,6 +278,8 @@ def near_groups(members: DataFrame, held: DataFrame, percent: int) -> DataFrame
 
     `members` (key, _set, n) are the buckets, `held` has _values for each _set in them.
     """
+    # A smaller set is similar to itself only.
+    members = members.filter(100 * F.col("n") >= percent * (F.col("n") + 1))
     sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("c"))
     large = stored(sizes.filter(F.col("c") > SMALL).select("key"))
     crowd = stored(members.join(large, "key", "left_semi"))
@@ -232,21 +289,24 @@ def near_groups(members: DataFrame, held: DataFrame, percent: int) -> DataFrame
         lonely = lonely_shingles(held.join(stored(crowd.select("_set").distinct()), "_set"))
         counted = crowd.join(stored(lonely), "_set", "left").fillna(0, ["u"])
         members = stored(members.join(large, "key", "left_anti").unionByName(counted))
-    tested = links = groups = None
-    for pivots in (True, False):
+    tested = links = groups = used = None
+    for step in range(PIVOTS + 1):
         placed = members.withColumn("_group", F.col("_set"))
         if groups is not None:
             placed = members.join(groups, "_set", "left").withColumn("_group", F.coalesce("_group", "_set"))
         apart = placed.groupBy("key").agg(F.min("_group").alias("x"), F.max("_group").alias("y")).filter("x <> y")
         placed = stored(placed.join(stored(apart.select("key")), "key", "left_semi"))
-        pairs = _pairs(placed, percent, pivots)
+        if step < PIVOTS:
+            pairs, used = pivot_pairs(placed, used, percent)
+        else:
+            pairs = rare_pairs(placed, held, percent)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs)
         if pairs.isEmpty():
             continue
         found = stored(linked(pairs, held, percent))
-        tested = pairs
+        tested = pairs if tested is None else tested.unionByName(pairs)
         if not found.isEmpty():
             links = found if links is None else links.unionByName(found)
             groups = stored(components(links))

@@ -76,3 +76,27 @@ def test_signatures_are_circular():
     whole = near.signatures(values, np.array([50]), 8)
     assert whole.shape == (1, 8) and len(set(whole[0].tolist())) > 4
     assert (near.signatures(values, np.array([20, 0, 30]), 8).min(axis=0) == whole[0]).all()
+
+
+def test_texts_of_one_long_passage_are_hardly_compared(rows, monkeypatch):
+    """A passage brings them into one bucket, though no two are near but for a few planted ones."""
+    rng, compared, linked = random.Random(3), [], near.linked
+
+    def counted(pairs, sets, percent):
+        compared.append(pairs.count())
+        return linked(pairs, sets, percent)
+
+    monkeypatch.setattr(near, "linked", counted)
+    passage = [f"p{i}" for i in range(80)]
+    data = [" ".join(passage + [f"r{rng.randint(0, 400)}" for _ in range(60)]) for _ in range(150)]
+    data += [f"{data[3]} end", f"{data[90]} end", f"{data[90]} other end"]
+    df = rows("doc_id bigint, text string", *enumerate(data))
+    got = near.mark_near_copies(df, 3, 85, bands=12, rows=1).collect()
+    assert [r["component_id"] for r in sorted(got, key=lambda r: r["doc_id"])] == components(data, 3, 85)
+    assert sum(compared) < 5 * len(data)
+
+
+def test_sets_too_small_to_be_similar_to_others(rows):
+    data = ["a b c d", "a b f e", "a b c d", "a b c d e"]
+    got = near.mark_near_copies(rows("doc_id bigint, text string", *enumerate(data)), 1, 80, rows=1).collect()
+    assert [r["component_id"] for r in sorted(got, key=lambda r: r["doc_id"])] == components(data, 1, 80) == [0, 1, 0, 0]
