@@ -5,8 +5,8 @@ first scatters the shingles, the second is applied after a circular shift by the
 coordinate. Signatures are cut into bands; documents that share a band are candidates, and
 candidates are linked if their full sets are similar enough.
 
-Equal sets are one candidate. In a band's bucket, all are first compared with a pivot, twice, the
-second time one of another group; a bucket of n copies of one text takes about n comparisons. In
+Equal sets are one candidate. In a band's bucket, all are first compared with a pivot (more rounds
+take pivots of other groups); a bucket of n copies of one text takes about n comparisons. In
 large buckets, shingles that no other candidate there has are counted first: the set with fewest
 is the pivot, and sets with many can be near to nothing. Then members of the groups that are
 still apart meet by their rarest shingles; comparisons within a group could not change the result.
@@ -29,7 +29,7 @@ BANDS, ROWS = 20, 4
 # Members of a bucket up to which shingles are not counted.
 SMALL = 16
 # Rounds in which all members of a bucket meet one pivot.
-PIVOTS = 2
+PIVOTS = 1
 
 
 def shingle_sets(texts: list[str | None], size: int, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:

@@ -78,7 +78,8 @@ def test_signatures_are_circular():
     assert (near.signatures(values, np.array([20, 0, 30]), 8).min(axis=0) == whole[0]).all()
 
 
-def test_texts_of_one_long_passage_are_hardly_compared(rows, monkeypatch):
+@pytest.mark.parametrize("pivots", [1, 2])
+def test_texts_of_one_long_passage_are_hardly_compared(rows, monkeypatch, pivots):
     """A passage brings them into one bucket, though no two are near but for a few planted ones."""
     rng, compared, linked = random.Random(3), [], near.linked
 
@@ -87,6 +88,7 @@ def test_texts_of_one_long_passage_are_hardly_compared(rows, monkeypatch):
         return linked(pairs, sets, percent)
 
     monkeypatch.setattr(near, "linked", counted)
+    monkeypatch.setattr(near, "PIVOTS", pivots)
     passage = [f"p{i}" for i in range(80)]
     data = [" ".join(passage + [f"r{rng.randint(0, 400)}" for _ in range(60)]) for _ in range(150)]
     data += [f"{data[3]} end", f"{data[90]} end", f"{data[90]} other end"]
