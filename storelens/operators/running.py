@@ -3,7 +3,8 @@
 Joining facts to periods repeats a row for each period that it lies in. Here a row joins one
 interval between neighbouring edges of the periods, is summed there, and each key gets running
 totals along its intervals. The sum of a period is then the difference of two look-ups: the
-total before its end and the total before its start.
+total before its end and the total before its start. A key looks up only periods in which it
+has rows, so the work follows the result and not keys times periods.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,6 +54,15 @@ def _before(totals: Column, interval: Column) -> Column:
     return F.try_element_at(F.filter(totals, lambda t: t["INTERVAL"] < interval), F.lit(-1))
 
 
+def periods_by_interval(spark: SparkSession, spans: list[tuple[int, dt.date, dt.date]], place: dict[dt.date, int]) -> DataFrame:
+    """INTERVAL and the PERIODS that it lies in, each from its edge `low` up to its edge `high`."""
+    asked = json.dumps([{"id": i, "low": place[a], "high": place[b]} for i, a, b in spans])
+    listed = F.from_json(F.lit(asked), "array<struct<id: bigint, low: int, high: int>>")
+    wanted = spark.range(0, 1, 1, 1).select(F.explode(listed).alias("P"))
+    spread = wanted.select(F.explode(F.sequence("P.low", F.col("P.high") - 1)).alias("INTERVAL"), "P")
+    return spread.groupBy("INTERVAL").agg(F.collect_list("P").alias("PERIODS"))
+
+
 def period_sums(fact: DataFrame, periods: DataFrame, by: list[str], sums: dict[str, Column]) -> DataFrame:
     """by, ID_PRD_RP and sums of the fact rows of each period; only periods in which a key has rows.
 
@@ -68,19 +78,28 @@ def period_sums(fact: DataFrame, periods: DataFrame, by: list[str], sums: dict[s
         F.count(F.lit(1)).alias("ROWS"),
         *[f(c).alias(f"{kind}_{name}") for name, c in sums.items() for kind, f in (("SUM", F.sum), ("KNOWN", F.count))],
     )
-    so_far = Window.partitionBy(*by).orderBy("INTERVAL").rowsBetween(Window.unboundedPreceding, 0)
-    running = summed.select(*by, "INTERVAL", *[F.coalesce(F.sum(h).over(so_far), F.lit(0)).alias(h) for h in held])
-    totals = running.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("INTERVAL", *held))).alias("TOTALS"))
-    asked = json.dumps([{"id": i, "low": place[a], "high": place[b]} for i, a, b in spans])
-    wanted = F.from_json(F.lit(asked), "array<struct<id: bigint, low: int, high: int>>")
-
-    def difference(p: Column) -> Column:
-        low, high = _before(F.col("TOTALS"), p["low"]), _before(F.col("TOTALS"), p["high"])
-        return F.struct(p["id"].alias("ID_PRD_RP"), low.alias("LOW"), high.alias("HIGH"))
-
-    looked = F.transform(wanted, difference)
-    had = lambda x: F.coalesce(x["HIGH"]["ROWS"], F.lit(0)) > F.coalesce(x["LOW"]["ROWS"], F.lit(0))
-    found = totals.select(*by, F.explode(F.filter(looked, had)).alias("P"))
+    along = Window.partitionBy(*by).orderBy("INTERVAL")
+    so_far = along.rowsBetween(Window.unboundedPreceding, 0)
+    running = summed.select(
+        *by,
+        "INTERVAL",
+        F.coalesce(F.lag("INTERVAL").over(along), F.lit(0)).alias("PREVIOUS"),
+        *[F.coalesce(F.sum(h).over(so_far), F.lit(0)).alias(h) for h in held],
+    )
+    # A key looks up a period at its first interval there, so it never meets periods without its rows.
+    first_in = F.filter("PERIODS", lambda p: p["low"] > F.col("PREVIOUS")).alias("FIRST_IN")
+    met = running.join(periods_by_interval(periods.sparkSession, spans, place), "INTERVAL")
+    entry = F.struct("INTERVAL", *held, "FIRST_IN")
+    totals = met.select(*by, "INTERVAL", *held, first_in).groupBy(*by).agg(F.array_sort(F.collect_list(entry)).alias("TOTALS"))
+
+    def look_up(t: Column, i: Column) -> Column:
+        low = F.get("TOTALS", i - 1)
+        return F.transform(
+            t["FIRST_IN"],
+            lambda p: F.struct(p["id"].alias("ID_PRD_RP"), low.alias("LOW"), _before(F.col("TOTALS"), p["high"]).alias("HIGH")),
+        )
+
+    found = totals.select(*by, F.explode(F.flatten(F.transform("TOTALS", look_up))).alias("P"))
 
     def minus(name: str) -> Column:
         high, low = F.col("P.HIGH")[name], F.coalesce(F.col("P.LOW")[name], F.lit(0))

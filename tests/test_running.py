@@ -60,3 +60,13 @@ def test_months_of_the_summary_are_still_pruned(spark):
     asked = select_periods(w.reporting_periods, ids=(199_801, 199_803))
     plan = running.average_sales(w.sale_summary, asked, ["ID_CT"])._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruningexpression(MO_BSN" in plan
+
+
+def test_a_key_looks_up_only_periods_with_its_rows(rows, sales):
+    """No expression goes through the list of all periods for each key."""
+    asked = periods(rows, [(a, a + n) for n in (1, 7, 28) for a in range(0, 45 - n)])
+    got = running.period_sums(sales, asked, ["K"], {"AMOUNT": F.col("AMOUNT")})
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "transform(TOTALS" in plan and "transform([" not in plan
+    plain = on_day(sales, asked, "ID_PRD_RP").groupBy("K", "ID_PRD_RP").agg(F.sum("AMOUNT").alias("AMOUNT"))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
