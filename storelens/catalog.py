@@ -234,7 +234,8 @@ def v1_sale_summary(w):
 @query
 def v1_clustered_sale_summary(w):
     """The summary of lines that are stored by transaction, which are summed where they lie."""
-    lines = clustered.store_clustered(w.sale, stored.shared_folder(w.spark), ["ID_TRN", "IC_LN_ITM"], buckets=8)
+    path, buckets = stored.shared_folder(w.spark), clustered.buckets_for(w.sale_lines)
+    lines = clustered.store_clustered(w.sale, path, ["ID_TRN", "IC_LN_ITM"], buckets)
     return summaries.sale_summary(lines, w.item)
 
 
@@ -610,8 +611,8 @@ def q1_clustered_key_violations(w):
     """Lines stored by their key, some of them twice or without a line number."""
     number = F.when(F.col("ID_TRN") % 61 != 1, F.col("IC_LN_ITM"))
     lines = w.sale.unionByName(w.sale.filter(F.col("ID_TRN") % 59 == 4)).withColumn("IC_LN_ITM", number)
-    path = stored.shared_folder(w.spark)
-    found = clustered.store_clustered(lines, path, ["ID_TRN", "IC_LN_ITM"], buckets=8)
+    path, buckets = stored.shared_folder(w.spark), clustered.buckets_for(w.sale_lines)
+    found = clustered.store_clustered(lines, path, ["ID_TRN", "IC_LN_ITM"], buckets)
     return clustered.clustered_key_violations(found, "DW3_FACT_SALE_RTN_BEHAVIOR")
 
 

@@ -16,6 +16,15 @@ from storelens.operators.quality import duplicate_keys
 from storelens.sources.tables import PRIMARY_KEYS
 
 
+# Sorting and summing that many lines takes about 100 MB of a task's memory.
+LINES_PER_BUCKET = 500_000
+
+
+def buckets_for(lines: int) -> int:
+    """Buckets for a number of lines, so that a bucket, which is one task, does not grow with the table."""
+    return max(8, -(-lines // LINES_PER_BUCKET))
+
+
 def store_clustered(
     df: DataFrame, path: str, key: Sequence[str], buckets: int = 200, by: Sequence[str] | None = None
 ) -> DataFrame:
@@ -25,7 +34,7 @@ def store_clustered(
     tender lines that is the transaction, so sums by transaction need no shuffle either. A
     bucket is read by one task. Where one value of that column may hold much of the table, name
     more columns of the key; the whole key spreads any such value, and still checks without a
-    shuffle. The number of buckets should make them some hundred megabytes each.
+    shuffle. The number of buckets should make them some hundred megabytes each, see `buckets_for`.
 
     The buckets are known to the session's catalog, under a name of their own.
     """

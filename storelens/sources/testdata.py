@@ -27,6 +27,7 @@ from storelens.plans.bitmaps import calendar_cells, customer_bitmaps
 from storelens.plans.inventory import saleable
 from storelens.plans.rollups import GRAINS, Rollups, as_rollup, build_rollups, summed
 from storelens.plans.summaries import sale_summary, tender_summary
+from storelens.sources.clustered import buckets_for
 from storelens.sources.stored import session_folder, store, store_by_month
 
 SAMPLE_PERIOD = "SAMPLE REPORTING PERIOD"
@@ -353,9 +354,22 @@ class Warehouse:
     def registration(self) -> DataFrame:
         return self._sql(REGISTRATION, "orders")
 
+    @cached_property
+    def sale_lines(self) -> int:
+        """Rows of lineitem, counted from the footers of its files."""
+        return self.raw("lineitem").count()
+
     @cached_property
     def sale(self) -> DataFrame:
-        return self._sql(SALE, "lineitem", "orders")
+        """Sale lines, dealt out by transaction to as many tasks as keep a task's lines few.
+
+        Joins, sums and key checks by transaction go on in these tasks, so their memory does not
+        grow with the table. A table that gives every core less than that is left as it is.
+        """
+        lines, parts = self.raw("lineitem"), buckets_for(self.sale_lines)
+        if parts > self.spark.sparkContext.defaultParallelism:
+            lines = lines.repartition(parts, "l_orderkey")
+        return self._sql(SALE, "orders", lineitem=lines)
 
     @cached_property
     def tender(self) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from storelens import catalog
 from storelens.operators import quality
 from storelens.plans import summaries
-from storelens.sources import clustered
+from storelens.sources import clustered, testdata
 
 FOLDER = "/root/testdata/sf0.001"
 KEY = ["ID_TRN", "IC_LN_ITM"]
@@ -54,3 +54,20 @@ def test_a_hot_transaction_is_spread_by_the_whole_key(spark, tmp_path):
     assert max(sizes) < 2 * min(sizes)
     with pytest.raises(ValueError, match="columns of the key"):
         clustered.store_clustered(again, str(tmp_path / "no"), KEY, 6, by=["V"])
+
+
+def test_buckets_and_tasks_follow_the_number_of_lines(spark, monkeypatch):
+    """A larger table makes more buckets and more tasks, not larger ones."""
+    assert clustered.buckets_for(0) == 8 and clustered.buckets_for(216_000_000) == 432
+    monkeypatch.setattr(clustered, "LINES_PER_BUCKET", 250)
+    w = testdata.Warehouse(spark, FOLDER)
+    parts = clustered.buckets_for(w.sale_lines)
+    assert parts == -(-spark.read.parquet(f"{FOLDER}/lineitem.parquet").count() // 250) > 8
+    for name in ("v1_clustered_sale_summary", "q1_clustered_key_violations"):
+        files = [f for f in catalog.QUERIES[name](w).inputFiles() if "/part.parquet" not in f]
+        assert len(files) == parts
+    sizes = [r["count"] for r in w.sale.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == w.sale_lines and max(sizes) < 2 * 250
+    small = catalog.warehouse(spark, FOLDER)
+    monkeypatch.undo()
+    assert w.sale.exceptAll(small.sale).count() == 0 and w.sale.count() == small.sale.count()
