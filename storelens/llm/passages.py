@@ -1,19 +1,21 @@
 """Substring deduplication by super-k-mers of words (operator 1).
 
 A window is a fixed number of consecutive words. Consecutive windows with the same
-minimiser, the least hash of a few words in the window, travel as one packed string to the
-minimiser's bucket, where sorting shows which windows occur more than once.
-
-Equal windows have equal minimisers, so a super-k-mer whose minimiser no other one has can
-hold no repeated window: its text never moves. Where one minimiser has very many
-super-k-mers, their windows are keyed by a hash of their own words instead and counted before
-they move, so that no task receives them all.
+minimiser, the least hash of a few words in the window, are one super-k-mer. Its minimiser and
+a print of its bytes travel to the minimiser's bucket. Equal windows have equal minimisers, so a
+super-k-mer that is alone there holds no repeated window, and where all have one print, all their
+windows are repeated: the text of neither moves. The others travel as packed strings to their
+bucket, where sorting shows which windows occur more than once.
+
+Where one minimiser has very many super-k-mers that differ, their windows are keyed by a hash
+of their own words instead and counted before they move, so that no task receives them all.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 from itertools import groupby
 
 import numpy as np
@@ -21,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from storelens.llm.common import WordHashes, add_columns, mix, row_key, ship, slices, stored, word_bounds
 
@@ -30,7 +33,7 @@ SEED_WORDS = 4
 # Mask of the bits that number the words of some texts handled together.
 PLACES = (1 << 28) - 1
 # Super-k-mers of one minimiser that a task may hold (some 100 MB if all differ); beyond, their
-# windows are dealt out one by one, which moves the texts of all documents once more.
+# windows are dealt out one by one, for which the texts of all documents are read once more.
 HOT = 20_000
 
 
@@ -62,9 +65,6 @@ class SuperKmers:
         self.minimiser = seeds[place[head]].view(np.int64)
         self.document = owner[self.first]
         self.position = self.first - first_word[self.document]
-        # Number of the super-k-mer in its document.
-        starts = np.searchsorted(self.document, self.document)
-        self.number = np.arange(len(head)) - starts
 
     def _minimisers(self, words: int) -> tuple[np.ndarray, np.ndarray]:
         """Hash of the words at each place, and the place of the least one in the window there.
@@ -87,6 +87,15 @@ class SuperKmers:
             reach += step
         return value, (least & np.uint64(PLACES)).astype(np.int64)
 
+    def prints(self) -> np.ndarray:
+        """64 bits of a digest of each packed string."""
+        digests = (blake2b(x, digest_size=8).digest() for x in self.packed(np.arange(len(self.first))))
+        return np.frombuffer(b"".join(digests), dtype=np.int64)
+
+    def at(self, document: np.ndarray, position: np.ndarray) -> np.ndarray:
+        """Index of the super-k-mers of some documents that begin at some words."""
+        return np.searchsorted((self.document << 32) + self.position, (document << 32) + position)
+
     def packed(self, chosen: np.ndarray) -> list[bytes]:
         low = self.start[self.first[chosen]]
         high = self.end[self.first[chosen] + self.windows[chosen] + self.width - 2]
@@ -129,7 +138,8 @@ SPANS = "_k1 long, _k2 long, spans array<struct<low: long, high: long>>"
 def repeated_spans(documents: DataFrame, width: int = WIDTH, hot: int = HOT) -> DataFrame:
     """Word ranges of repeated windows: _k1, _k2 of the document, spans of [low, high)."""
     ship(documents.sparkSession)
-    keyed = row_key(documents.select("doc_id", "text"))
+    # All columns, so that Spark moves the texts once for this and for the removal after it.
+    keyed = row_key(documents)
 
     def light(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -137,32 +147,33 @@ def repeated_spans(documents: DataFrame, width: int = WIDTH, hot: int = HOT) ->
             for part in slices(batch):
                 found = SuperKmers(part["text"].to_pylist(), width, hashes)
                 own = part.select(["_k1", "_k2"]).take(pa.array(found.document))
+                high = found.position + found.windows + width - 1
                 yield pa.RecordBatch.from_arrays(
-                    [*own.columns, pa.array(found.number), pa.array(found.minimiser)],
-                    names=["_k1", "_k2", "number", "minimiser"],
+                    [*own.columns, pa.array(found.position), pa.array(high), pa.array(found.minimiser), pa.array(found.prints())],
+                    names=["_k1", "_k2", "low", "high", "minimiser", "print"],
                 )
 
-    kmers = stored(keyed.mapInArrow(light, "_k1 long, _k2 long, number long, minimiser long"))
-    # Stored, so that the join may split a minimiser that many rows have.
-    shared = stored(kmers.groupBy("minimiser").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1))
-    chosen = kmers.join(shared, "minimiser").groupBy("_k1", "_k2").agg(
-        F.collect_set(F.when(F.col("n") <= hot, F.col("number"))).alias("numbers"),
-        F.collect_set(F.when(F.col("n") > hot, F.col("number"))).alias("hot_numbers"),
+    kmers = keyed.select("_k1", "_k2", "text").mapInArrow(light, "_k1 long, _k2 long, low long, high long, minimiser long, print long")
+    bucket = Window.partitionBy("minimiser")
+    shared = kmers.withColumns(
+        {"n": F.count(F.lit(1)).over(bucket), "alike": F.min("print").over(bucket) == F.max("print").over(bucket)}
+    ).filter(F.col("n") > 1)
+    differ, often = ~F.col("alike"), F.col("n") > hot
+    chosen = shared.groupBy("_k1", "_k2").agg(
+        F.collect_set(F.when(F.col("alike"), F.struct("low", "high"))).alias("spans"),
+        F.collect_set(F.when(differ & ~often, F.col("low"))).alias("lows"),
+        F.collect_set(F.when(differ & often, F.col("minimiser"))).alias("hot"),
     )
     chosen = stored(chosen)
 
-    def select(batch: pa.RecordBatch, hashes: WordHashes) -> tuple[SuperKmers, np.ndarray]:
-        found = SuperKmers(batch["text"].to_pylist(), width, hashes)
-        before = np.searchsorted(found.document, np.arange(batch.num_rows))
-        rows = [np.asarray(x.values) + b for x, b in zip(batch["numbers"], before)]
-        return found, np.concatenate(rows).astype(np.int64) if rows else np.zeros(0, np.int64)
-
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
             for part in slices(batch):
-                found, picked = select(part, hashes)
-                own = part.select(["_k1", "_k2"]).take(pa.array(found.document[picked]))
+                found, lows = SuperKmers(part["text"].to_pylist(), width, hashes), part["_lows"]
+                document = np.repeat(np.arange(part.num_rows), lows.value_lengths().to_numpy())
+                picked = found.at(document, lows.flatten().to_numpy())
+                own = part.select(["_k1", "_k2"]).take(pa.array(document))
                 yield pa.RecordBatch.from_arrays(
                     [*own.columns, pa.array(found.position[picked]), pa.array(found.minimiser[picked]),
                      pa.array(found.packed(picked), pa.binary())],
@@ -195,21 +206,22 @@ def repeated_spans(documents: DataFrame, width: int = WIDTH, hot: int = HOT) ->
                 out = []
         yield _batch(out)
 
-    def with_text(column: str) -> DataFrame:
-        wanted = chosen.filter(F.size(column) > 0).select("_k1", "_k2", F.col(column).alias("numbers"))
-        return keyed.join(wanted.hint("shuffle_hash"), ["_k1", "_k2"]).select("_k1", "_k2", "text", "numbers")
-
-    packed = with_text("numbers").mapInArrow(
+    wanted = chosen.filter(F.size("lows") > 0).select("_k1", "_k2", F.col("lows").alias("_lows"))
+    packed = keyed.join(wanted.hint("shuffle_hash"), ["_k1", "_k2"]).mapInArrow(
         pack, "_k1 long, _k2 long, position long, minimiser long, packed binary"
     )
     spans = packed.repartition("minimiser").sortWithinPartitions("minimiser").mapInArrow(count, SPANS)
-    if not chosen.filter(F.size("hot_numbers") > 0).isEmpty():
+    spans = spans.unionByName(chosen.filter(F.size("spans") > 0).select("_k1", "_k2", "spans"))
+    # At most one in `hot` super-k-mers: a table of 30 GB has some ten thousands if all are hot.
+    common = [row[0] for row in chosen.select(F.explode("hot")).distinct().collect()]
+    if common:
 
         def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hashes = WordHashes()
             for batch in batches:
                 for part in slices(batch, 100):
-                    found, picked = select(part, hashes)
+                    found = SuperKmers(part["text"].to_pylist(), width, hashes)
+                    picked = np.flatnonzero(np.isin(found.minimiser, common))
                     offsets = np.concatenate(([0], np.cumsum(found.windows[picked]))).astype(np.int32)
                     both = window_prints(found, picked)
                     pairs = pa.StructArray.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["one", "two"])
@@ -220,7 +232,9 @@ def repeated_spans(documents: DataFrame, width: int = WIDTH, hot: int = HOT) ->
                     )
 
         kind = "_k1 long, _k2 long, position long, windows array<struct<one: long, two: long>>"
-        spans = spans.unionByName(_hot_spans(stored(with_text("hot_numbers").mapInArrow(prints, kind)), width))
+        # The texts are read once more instead of being moved.
+        found = keyed.select("_k1", "_k2", "text").mapInArrow(prints, kind)
+        spans = spans.unionByName(_hot_spans(stored(found), width))
     return spans
 
 
@@ -254,6 +268,7 @@ def remove_repeats(documents: DataFrame, width: int = WIDTH, hot: int = HOT) ->
     count as separate documents, which repeat each other. Further columns stay; those of these
     names are replaced, and names that begin with an underscore are reserved.
     """
+    documents = documents.drop("n_words", "n_removed", "kept_text")
     spans = repeated_spans(documents, width, hot)
     marks = spans.groupBy("_k1", "_k2").agg(F.flatten(F.collect_list("spans")).alias("_spans"))
     joined = row_key(documents).join(marks.hint("shuffle_hash"), ["_k1", "_k2"], "left")

@@ -40,3 +40,24 @@ def test_repeated_rows_and_null_ids_repeat_each_other(rows):
 
 def test_empty(rows):
     assert passages.remove_repeats(rows("doc_id bigint, text string")).count() == 0
+
+
+def test_text_of_a_super_kmer_moves_only_where_others_differ(rows, monkeypatch):
+    """Copies need no text to be known as repeated; super-k-mers that only share a minimiser do."""
+    rng = random.Random(9)
+    copy = " ".join(f"c{rng.randint(0, 10**6)}" for _ in range(120))
+    mixed = [f"m{rng.randint(0, 10**6)}" for _ in range(60)]
+    data = [copy, copy, copy, " ".join(mixed), " ".join(["other", *mixed, "end"]), " ".join(f"a{i}" for i in range(60))]
+    df = rows("doc_id bigint, text string", *enumerate(data)).coalesce(1)
+    shuffled = []
+    add = passages.stored
+    monkeypatch.setattr(passages, "stored", lambda df: shuffled.append(add(df)) or shuffled[-1])
+    spans = passages.repeated_spans(df)
+    assert {r["_k1"] for r in spans.collect()} == {0, 1, 2, 3, 4}
+    (chosen,) = shuffled
+    found = {r["_k1"]: r for r in chosen.collect()}
+    assert set(found) == {0, 1, 2, 3, 4}
+    assert all(not found[i]["lows"] and found[i]["spans"] for i in (0, 1, 2)) and all(found[i]["lows"] for i in (3, 4))
+    kept = kept_words(data, passages.WIDTH)
+    got = {r["doc_id"]: r["kept_text"] for r in passages.remove_repeats(df).collect()}
+    assert got == {i: " ".join(k) for i, k in enumerate(kept)}
