@@ -16,6 +16,7 @@ from collections import deque
 from collections.abc import Iterator
 from fractions import Fraction
 from functools import lru_cache
+from itertools import chain
 from math import ceil, floor, inf
 
 import numpy as np
@@ -35,6 +36,8 @@ BLOCK_TOKENS = 1 << 21
 LEAST_PIECE = 64
 # Words that a worker knows: those of the last texts, up to so many, and as many before them.
 CACHE = 350_000
+# Stands between words that are encoded together, and how many are.
+MARK, TOGETHER = "\x01", 256
 PIECES = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
@@ -60,29 +63,42 @@ class WordCodec:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[bytes, bytes] = {}
         self.earlier: dict[bytes, bytes] = {}
+        self.mark = self._ids(MARK)
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _lowered(self, text: str) -> str:
+        """Lower case of texts where that leaves the ids as they are and makes fewer different words."""
+        lowered = text.lower() if text.isascii() else text
+        # Special tokens are told by their case.
+        return text if any(s in lowered for s in self.special) else lowered
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return np.array(self._ids(text), dtype="<u2").tobytes()
 
     def _learn(self, words: list[bytes]) -> None:
-        """Encodes words as one text; a token belongs to the word in which it starts."""
+        """Encodes words together, with a mark after each; a mark that is no single id serves no word."""
         texts = [w.decode() for w in words]
-        apart = [any(s in t for s in self.special) for t in texts]
+        alone = [*self.special, MARK] if len(self.mark) == 1 else [""]
+        apart = [any(s in t for s in alone) for t in texts]
         self.known.update((w, self._whole(t)) for w, t, own in zip(words, texts, apart) if own)
-        plain = [(w, t) for w, t, own in zip(words, texts, apart) if not own]
+        plain = [w for w, own in zip(words, apart) if not own]
+        texts = [t for t, own in zip(texts, apart) if not own]
         if not plain:
             return
-        size = np.array([len(t) for _, t in plain], dtype=np.int64)
-        starts = np.concatenate([[0], np.cumsum(size + 1)[:-1]])
-        found = self.tokenizer.encode(" ".join(t for _, t in plain), add_special_tokens=False)
-        ids = np.array(found.ids, dtype="<u4").tobytes()
-        at = np.array(found.offsets, dtype=np.int64).reshape(-1, 2)[:, 0]
-        cuts = (np.searchsorted(at, np.append(starts, starts[-1] + size[-1] + 1)) * 4).tolist()
-        self.known.update((w, ids[low:high]) for (w, _), low, high in zip(plain, cuts, cuts[1:]))
+        runs = [f" {MARK} ".join(texts[i : i + TOGETHER]) + f" {MARK}" for i in range(0, len(texts), TOGETHER)]
+        found = np.fromiter(chain.from_iterable(map(self._ids, runs)), dtype="<u2")
+        ids, marks = found.tobytes(), np.flatnonzero(found == self.mark[0]) * 2
+        self.known.update((w, ids[low:high]) for w, low, high in zip(plain, [0, *(marks + 2).tolist()], marks.tolist()))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        words = [(text.lower() if text.isascii() else text).encode().split() for text in texts]
+        return [np.frombuffer(x, dtype="<u2").astype("<u4").tobytes() for x in self.short(texts)]
+
+    def short(self, texts: list[str]) -> list[bytes]:
+        """Little-endian 16-bit ids of each text."""
+        words = [self._lowered(text).encode().split() for text in texts]
         if len(self.known) > CACHE:
             self.known, self.earlier = {}, self.known
         known, earlier, new = self.known, self.earlier, []
@@ -112,8 +128,8 @@ def tokenize(documents: DataFrame, path: str) -> DataFrame:
         coder = word_codec(path)
         if coder.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids of more than 16 bits")
-        found = coder.encode([text or "" for text in batch["text"].to_pylist()])
-        short = [np.append(np.frombuffer(x, dtype="<u4"), END).astype("<u2").tobytes() for x in found]
+        end = END.to_bytes(2, "little")
+        short = [x + end for x in coder.short([text or "" for text in batch["text"].to_pylist()])]
         return [pa.array(short, pa.binary()), pa.array([len(x) // 2 for x in short], pa.int64())]
 
     fields = [T.StructField("ids", T.BinaryType()), T.StructField("n_tokens", T.LongType())]
@@ -233,8 +249,9 @@ def pack_block(block: pa.Table, shares: dict[str | None, float] | None = None) -
             if queue[0][1] == length[row]:
                 queue.popleft()
     ids = block["ids"].to_pylist()
+    wide = [memoryview(np.frombuffer(x, dtype="<u2").astype("<u4")).cast("B") for x in ids]
     cut = [ids[r][2 * s : 2 * (s + n)] for r, s, n in zip(rows, starts, lengths)]
-    crc = [zlib.crc32(np.frombuffer(x, dtype="<u2").astype("<u4").tobytes()) for x in cut]
+    crc = [zlib.crc32(wide[r][4 * s : 4 * (s + n)]) for r, s, n in zip(rows, starts, lengths)]
     taken = block.take(pa.array(rows, pa.int64()))
     first = taken["start"].to_numpy() + np.array(starts, dtype=np.int64)
     block_no = taken["block"].to_numpy()

@@ -132,3 +132,19 @@ def test_another_mixture(rows, block_tokens):
 def test_shares_of_the_table_deal_as_by_default():
     sizes = [(0, 5_000), (1, 1_000), (2, 90_000)]
     assert Counter(packing.deal(sizes, shares=dict(sizes))) == Counter(packing.deal(sizes))
+
+
+def test_words_are_encoded_in_short_runs_with_a_mark_between(tokenizer, monkeypatch):
+    """A text holding the mark itself keeps its ids, and no run holds more words than it should."""
+    coder, seen = packing.WordCodec(PATH), []
+    ids = coder._ids
+    monkeypatch.setattr(coder, "_ids", lambda text: seen.append(text) or ids(text))
+    texts = [" ".join(f"w{i}x" for i in range(1000)), "a\x01b \x01 \x01\x01 c", "", "\x01"]
+    assert coder.short(texts) == [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
+    assert max(len(text.split(packing.MARK)) for text in seen if "w1x" in text) == packing.TOGETHER + 1
+
+
+def test_special_tokens_are_told_by_their_case(tokenizer):
+    texts = ["<|ENDOFTEXT|>", "A <|EndOfText|> b", "<|endoftext|> <|ENDOFTEXT|>"]
+    want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert packing.WordCodec(PATH).encode(texts) == want
