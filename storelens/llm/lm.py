@@ -17,7 +17,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from heapq import heapreplace
-from itertools import filterfalse, pairwise
+from itertools import filterfalse
 from math import isqrt, log10
 from zlib import crc32
 
@@ -38,8 +38,10 @@ LEAST_COUNT, ROOTS = 10, 100
 ENDING = 3
 # Numbers in a stored piece of a weight vector.
 PIECE = 1 << 18
-WINDOW = 16
-STREAMS = 512
+WINDOW = 32
+STREAMS = 256
+# Logits that are computed at a time, and tokens that are scored together.
+BLOCK, TOGETHER = 1 << 16, 1 << 16
 TEXTS = 10_000
 RATE = 0.15
 # Eighths of the corpus that a round trains on.
@@ -85,7 +87,10 @@ class Vocabulary(dict):
     def numbers(self, text: str | None) -> np.ndarray:
         """Of the words and the end."""
         words = (text or "").encode().lower().split()
-        return np.array([*map(self.__getitem__, words), END], dtype=np.int32)
+        units = np.empty(len(words) + 1, dtype=np.int32)
+        units[:-1] = np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+        units[-1] = END
+        return units
 
 
 def start_weights(counts: np.ndarray, tail: float | np.ndarray) -> dict[str, np.ndarray]:
@@ -110,10 +115,10 @@ def start_weights(counts: np.ndarray, tail: float | np.ndarray) -> dict[str, np.
         "gate": np.zeros(3 * HIDDEN),
         "class_w": normal(HIDDEN, len(classes)),
         "class_b": np.log(classes / classes.sum()),
-        "word_w": normal(len(full), HIDDEN),
+        "word_w": normal(len(full), HIDDEN).T,
         "word_b": np.log(full / np.repeat(classes, np.diff(bounds))),
     }
-    return {name: weights[name].astype(np.float32) for name in NAMES}
+    return {name: weights[name].astype(np.float32, order="C") for name in NAMES}
 
 
 def pack_weights(weights: dict[str, np.ndarray]) -> bytes:
@@ -123,7 +128,7 @@ def pack_weights(weights: dict[str, np.ndarray]) -> bytes:
 def unpack_weights(data: bytes, places: int, rare: int) -> dict[str, np.ndarray]:
     units, classes = places + rare, len(class_bounds(places, rare)) - 1
     wide = 3 * HIDDEN
-    shapes = [(units, EMBEDDED), (EMBEDDED, wide), (HIDDEN, wide), (wide,), (HIDDEN, classes), (classes,), (units, HIDDEN), (units,)]
+    shapes = [(units, EMBEDDED), (EMBEDDED, wide), (HIDDEN, wide), (wide,), (HIDDEN, classes), (classes,), (HIDDEN, units), (units,)]
     flat, at, weights = np.frombuffer(data, dtype=np.float32), 0, {}
     for name, shape in zip(NAMES, shapes):
         size = int(np.prod(shape))
@@ -140,19 +145,39 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def _softmax(
-    logits: np.ndarray, bias: np.ndarray, rows: np.ndarray, goal: np.ndarray, gradient: bool
-) -> tuple[np.ndarray, np.ndarray]:
-    """Gradient by logits (if asked for) and natural log probability of the goals of some rows."""
-    logits += bias
-    logits -= logits.max(axis=1, keepdims=True)
-    picked = logits[rows, goal]
-    np.exp(logits, out=logits)
-    total = logits.sum(axis=1)
-    logp = picked - np.log(total[rows])
-    if gradient:
-        logits *= (-1 / total)[:, None]
-        logits[rows, goal] += 1
-    return logits, logp
+    states: np.ndarray, w: np.ndarray, goal: np.ndarray, room: np.ndarray, scale: float, top: bool
+) -> tuple[list[np.ndarray], ...]:
+    """Logits of the goals and sums of exponentials of some states; gradients by states and `w`.
+
+    States end in a 1, the last row of `w` is the bias. Gradients are those of `scale` times the
+    log probability, there are none if it is 0. Rows are taken in blocks whose logits fit `room`,
+    which stays in a processor's cache; the sums divide the few columns of the states and not the
+    logits. With `top` the greatest logit of a state becomes 0.
+    """
+    width = w.shape[1]
+    rows = max(len(room) // width, 1)
+    ones = np.ones(width, dtype=w.dtype)
+    picked, totals, backs, grads = [], [], [], []
+    for at in range(0, len(goal), rows):
+        own, aim = states[at : at + rows], goal[at : at + rows]
+        flat = room[: len(aim) * width] if width <= len(room) else np.empty(width, dtype=w.dtype)
+        logits = flat.reshape(len(aim), width)
+        np.matmul(own, w, out=logits)
+        if top:
+            logits -= logits.max(axis=1, keepdims=True)
+        place = np.arange(0, len(aim) * width, width) + aim
+        picked.append(flat[place])
+        np.exp(flat, out=flat)
+        total = logits @ ones
+        totals.append(total)
+        if scale:
+            share = (-scale / total)[:, None]
+            flat[place] -= total
+            back = logits @ w[:HIDDEN].T
+            back *= share
+            backs.append(back)
+            grads.append((own * share).T @ logits)
+    return picked, totals, backs, grads
 
 
 class Streams:
@@ -167,36 +192,47 @@ class Streams:
             own[s].append(d)
             heapreplace(load, (size + len(documents[d]), s))
         own.sort(key=lambda ds: -sum(len(documents[d]) for d in ds))
-        length = np.array([sum(len(documents[d]) for d in ds) for ds in own])
-        steps = int(length[0]) if len(length) else 0
-        self.active = [int(x) for x in (length[None, :] > np.arange(0, steps, WINDOW)[:, None]).sum(axis=1)]
-        self.target = np.full((steps, width), -1, dtype=np.int32)
-        self.input = np.zeros((steps, width), dtype=np.int32)
-        self.document = np.zeros((steps, width), dtype=np.int32)
-        self.keep = np.ones((steps, width, 1), dtype=np.float32)
-        for s, ds in enumerate(own):
-            at = 0
-            for d in ds:
-                ids = documents[d]
-                rows = slice(at, at + len(ids))
-                self.target[rows, s] = ids
-                self.input[at + 1 : at + len(ids), s] = ids[:-1]
-                self.document[rows, s] = d
-                self.keep[at, s] = 0.0
-                at += len(ids)
+        self.length = np.array([sum(len(documents[d]) for d in ds) for ds in own], dtype=np.int64)
+        self.start = np.cumsum(self.length) - self.length
+        laid = [d for ds in own for d in ds]
+        sizes = [len(documents[d]) for d in laid]
+        self.target = np.concatenate([documents[d] for d in laid]) if laid else np.zeros(0, dtype=np.int32)
+        self.document = np.repeat(np.array(laid, dtype=np.int32), sizes)
+        self.first = np.zeros(len(self.target), dtype=bool)
+        self.first[np.cumsum(sizes, dtype=np.int64) - sizes] = True
 
     def windows(self) -> Iterator[tuple[np.ndarray, ...]]:
-        for k, active in enumerate(self.active):
-            rows = slice(k * WINDOW, (k + 1) * WINDOW)
-            yield tuple(x[rows, :active] for x in (self.input, self.target, self.document, self.keep))
+        """Inputs, targets (-1 beyond a stream's end), documents, and 0 where a document starts, by step and stream."""
+        steps = int(self.length[0]) if len(self.length) else 0
+        for low in range(0, steps, WINDOW):
+            step = np.arange(low, min(low + WINDOW, steps))[:, None]
+            active = int((self.length > low).sum())
+            length = self.length[:active]
+            at = self.start[:active] + np.minimum(step, length - 1)
+            beyond, first, target = step >= length, self.first[at], self.target[at]
+            inputs = np.where(first | beyond, END, self.target[at - 1])
+            target[beyond] = -1
+            yield inputs, target, self.document[at], (~first | beyond)[:, :, None].astype(np.float32)
 
 
 class Model:
+    """Weights by name; `joint` has the arrays that are trained, where biases are the last row of their weights."""
+
     def __init__(self, weights: dict[str, np.ndarray], places: int = COMMON) -> None:
-        self.w = weights
+        self.joint = {name: weights[name] for name in NAMES[:4]}
+        for side in ("class", "word"):
+            self.joint[side] = np.concatenate([weights[f"{side}_w"], weights[f"{side}_b"][None]])
+        self.w = self.named(self.joint)
         self.bounds = class_bounds(places, len(weights["word_b"]) - places)
         self.number = np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
-        self.squares = {name: np.full_like(w, 1e-6) for name, w in weights.items()}
+        self.squares = {name: np.full_like(w, 1e-6) for name, w in self.joint.items()}
+        self.room = np.empty(BLOCK, dtype=weights["word_w"].dtype)
+
+    @staticmethod
+    def named(joint: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        """Views of joint arrays by the names of the weights."""
+        sides = {f"{side}_{x}": joint[side][rows] for side in ("class", "word") for x, rows in (("w", slice(HIDDEN)), ("b", HIDDEN))}
+        return {name: sides[name] if name in sides else joint[name] for name in NAMES}
 
     def run(self, inputs: np.ndarray, keep: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, list]:
         """States after each step of a window, and what backpropagation needs."""
@@ -214,78 +250,100 @@ class Model:
             steps.append((before, again, update, reset, new))
         return states, steps
 
-    def outputs(self, states: np.ndarray, target: np.ndarray, gradient: bool):
-        """Natural log probability of each target, and gradients of their sum."""
-        w = self.w
+    def outputs(self, states: np.ndarray, target: np.ndarray, scale: float, top: bool = False):
+        """Natural log probability of each target, and gradients of `scale` times their sum as `parts` has them."""
         flat, goal = states.reshape(-1, HIDDEN), np.minimum(target.ravel(), len(self.number) - 1)
+        # Rows in order of class, without those that have no target.
         number = np.where(goal < 0, -1, self.number[goal])
-        rows = np.flatnonzero(goal >= 0)
-        logp = np.zeros(len(goal), dtype=np.float64)
-        change, logp[rows] = _softmax(flat @ w["class_w"], w["class_b"], rows, number[rows], gradient)
-        grads = back = None
-        if gradient:
-            change[goal < 0] = 0
-            grads = {name: np.zeros_like(w[name]) for name in NAMES}
-            grads["class_w"] = flat.T @ change
-            grads["class_b"] = change.sum(axis=0)
-            back = change @ w["class_w"].T
         order = np.argsort(number, kind="stable")
-        bounds = np.searchsorted(number[order], np.arange(len(self.bounds)))
-        flat = flat[order]
-        for c, (first, end) in enumerate(pairwise(self.bounds)):
-            own = order[bounds[c] : bounds[c + 1]]
-            if not len(own):
-                continue
-            state, place = flat[bounds[c] : bounds[c + 1]], goal[own] - first
-            word_w = w["word_w"][first:end]
-            change, more = _softmax(state @ word_w.T, w["word_b"][first:end], np.arange(len(own)), place, gradient)
-            logp[own] += more
-            if gradient:
-                grads["word_w"][first:end] = change.T @ state
-                grads["word_b"][first:end] = change.sum(axis=0)
-                back[own] += change @ word_w
-        return logp.reshape(target.shape), grads, None if back is None else back.reshape(states.shape)
-
-    def gradients(self, inputs: np.ndarray, target: np.ndarray, keep: np.ndarray, state: np.ndarray):
-        """Of a window's log likelihood, by weight; and the state after the window."""
+        order = order[np.searchsorted(number[order], 0) :]
+        number = number[order]
+        place = goal[order] - self.bounds[number]
+        own = np.ones((len(order), HIDDEN + 1), dtype=flat.dtype)
+        own[:, :HIDDEN] = flat[order]
+        ends = np.searchsorted(number, np.arange(len(self.bounds)))
+        parts = []
+        with np.errstate(all="ignore"):
+            picked, totals, backs, grads = _softmax(own, self.joint["class"], number, self.room, scale, top)
+            if grads:
+                parts.append(("class", ..., sum(grads)))
+            class_backs, backs = backs, []
+            for c in np.flatnonzero(np.diff(ends)).tolist():
+                rows, units = slice(ends[c], ends[c + 1]), slice(self.bounds[c], self.bounds[c + 1])
+                found = _softmax(own[rows], self.joint["word"][:, units], place[rows], self.room, scale, top)
+                picked += found[0]
+                totals += found[1]
+                backs += found[2]
+                if found[3]:
+                    parts.append(("word", (slice(None), units), sum(found[3]) if len(found[3]) > 1 else found[3][0]))
+            picked, totals = (np.concatenate([x.ravel() for x in xs] or [np.zeros(0)]) for xs in (picked, totals))
+            fits = len(order) == 0 or (picked.min() > -60 and totals.min() > 1e-25 and totals.max() < 1e25)
+        if not fits and not top:
+            # A float holds no exponentials of such logits.
+            return self.outputs(states, target, scale, True)
+        logp, back = np.zeros(len(goal)), np.zeros_like(flat) if scale else None
+        logp[order] = (picked - np.log(totals)).reshape(2, -1).sum(axis=0)
+        if scale:
+            if len(order):
+                back[order] = np.concatenate(class_backs) + np.concatenate(backs)
+            back = back.reshape(states.shape)
+        return logp.reshape(target.shape), parts, back
+
+    def parts(self, inputs: np.ndarray, target: np.ndarray, keep: np.ndarray, state: np.ndarray, scale: float):
+        """Gradients of `scale` times a window's log likelihood, and the state after the window.
+
+        They are (joint array, place in it, gradient). Places that are not listed have none: those
+        of words that are no input, and of classes without a target.
+        """
         w = self.w
         states, steps = self.run(inputs, keep, state)
-        _, grads, back = self.outputs(states, target, True)
-        into = np.empty((*inputs.shape, 3 * HIDDEN), np.float32)
-        later = np.zeros_like(state)
+        _, parts, back = self.outputs(states, target, scale)
+        into, own = (np.empty((*inputs.shape, 3 * HIDDEN), np.float32) for _ in range(2))
+        befores = np.empty(states.shape, np.float32)
+        later, again_w = np.zeros_like(state), w["again"].T
         for t in range(len(inputs) - 1, -1, -1):
             before, again, update, reset, new = steps[t]
             d = back[t] + later
             d_new = d * (1 - update) * (1 - new * new)
-            d_update = d * (before - new) * update * (1 - update)
-            d_reset = d_new * again[:, 2 * HIDDEN :] * reset * (1 - reset)
-            own = np.concatenate((d_update, d_reset, d_new * reset), axis=1)
-            into[t] = np.concatenate((d_update, d_reset, d_new), axis=1)
-            grads["again"] += before.T @ own
-            later = (d * update + own @ w["again"].T) * keep[t]
+            into[t, :, :HIDDEN] = d * (before - new) * update * (1 - update)
+            into[t, :, HIDDEN : 2 * HIDDEN] = d_new * again[:, 2 * HIDDEN :] * reset * (1 - reset)
+            into[t, :, 2 * HIDDEN :] = d_new
+            own[t] = into[t]
+            own[t, :, 2 * HIDDEN :] *= reset
+            befores[t] = before
+            later = (d * update + own[t] @ again_w) * keep[t]
         flat = into.reshape(-1, 3 * HIDDEN)
+        again = befores.reshape(-1, HIDDEN).T @ own.reshape(-1, 3 * HIDDEN)
         seen = inputs.ravel()
-        grads["into"] = w["embed"][seen].T @ flat
-        grads["gate"] = flat.sum(axis=0)
-        np.add.at(grads["embed"], seen, flat @ w["into"].T)
-        return grads, states[-1]
+        order = np.argsort(seen, kind="stable")
+        starts = np.flatnonzero(np.diff(seen[order], prepend=-1))
+        rows = seen[order[starts]]
+        embed = np.add.reduceat((flat @ w["into"].T)[order], starts, axis=0)
+        parts += [("again", ..., again), ("into", ..., w["embed"][seen].T @ flat), ("gate", ..., flat.sum(axis=0))]
+        return [*parts, ("embed", rows, embed)], states[-1]
+
+    def gradients(self, inputs: np.ndarray, target: np.ndarray, keep: np.ndarray, state: np.ndarray):
+        """Of a window's log likelihood, by weight; and the state after the window."""
+        parts, state = self.parts(inputs, target, keep, state, 1.0)
+        grads = {name: np.zeros_like(w) for name, w in self.joint.items()}
+        for name, place, part in parts:
+            grads[name][place] = part
+        return self.named(grads), state
 
     def learn(self, inputs: np.ndarray, target: np.ndarray, keep: np.ndarray, state: np.ndarray) -> np.ndarray:
-        """One Adagrad step up the likelihood of a window; the state after it."""
-        grads, state = self.gradients(inputs, target, keep, state)
-        count = max(int((target >= 0).sum()), 1)
-        for name in NAMES:
-            # Words that are no input of the window have no gradient.
-            rows = np.unique(inputs) if name == "embed" else slice(None)
-            step = grads[name][rows]
-            step *= np.float32(1 / count)
-            np.clip(step, -1, 1, out=step)
-            square = self.squares[name][rows]
+        """One Adagrad step up the mean log likelihood of a window; the state after it."""
+        parts, state = self.parts(inputs, target, keep, state, 1 / max(int((target >= 0).sum()), 1))
+        for name, place, step in parts:
+            # Of outputs no mean gradient is beyond 1, for no state or error of a probability is.
+            if name in NAMES:
+                np.clip(step, -1, 1, out=step)
+            square = self.squares[name][place]
             square += step * step
-            self.squares[name][rows] = square
-            step *= np.float32(RATE)
+            if name == "embed":
+                self.squares[name][place] = square
             step /= np.sqrt(square)
-            self.w[name][rows] += step
+            step *= RATE
+            self.joint[name][place] += step
         return state
 
     def train(self, documents: list[np.ndarray]) -> None:
@@ -295,15 +353,28 @@ class Model:
             state = self.learn(inputs, target, keep, state)
 
     def score(self, documents: list[np.ndarray]) -> np.ndarray:
-        """log10 probability of each document's units."""
+        """log10 probability of each document's units; outputs are taken for some windows together."""
         total = np.zeros(len(documents))
-        state = np.zeros((0, HIDDEN), np.float32)
+        state, waiting, rows = np.zeros((0, HIDDEN), np.float32), [], 0
+
+        def add() -> None:
+            states, target, document = map(np.concatenate, zip(*waiting))
+            logp, _, _ = self.outputs(states, target, 0)
+            total[:] += np.bincount(document, logp, minlength=len(documents))
+            waiting.clear()
+
         for k, (inputs, target, document, keep) in enumerate(Streams(documents).windows()):
             state = np.zeros((inputs.shape[1], HIDDEN), np.float32) if k == 0 else state[: inputs.shape[1]]
             states, _ = self.run(inputs, keep, state)
             state = states[-1]
-            logp, _, _ = self.outputs(states, target, False)
-            total += np.bincount(document[target >= 0], logp[target >= 0], minlength=len(documents))
+            met = target >= 0
+            waiting.append((states[met], target[met], document[met]))
+            rows += len(waiting[-1][1])
+            if rows >= TOGETHER:
+                add()
+                rows = 0
+        if waiting:
+            add()
         return total / np.log(10)
 
 

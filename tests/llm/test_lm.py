@@ -67,6 +67,39 @@ def test_streams_hold_each_document_once_and_state_crosses_windows():
     assert np.allclose(together, alone, rtol=1e-4)
 
 
+def test_step_touches_only_what_a_window_has():
+    model, dense = small_model(), small_model()
+    rng = np.random.default_rng(6)
+    inputs, target = rng.integers(0, 9, (6, 4)), rng.integers(0, lm.CLASS_WORDS, (6, 4))
+    target[5, 3] = -1
+    keep, state = np.ones((6, 4, 1)), np.zeros((4, lm.HIDDEN))
+    parts, _ = model.parts(inputs, target, keep, state, 1.0)
+    places = {(name, str(place)) for name, place, _ in parts if name == "word"}
+    assert len(places) == 1 and sum(part.size for _, _, part in parts) < model.joint["word"].size / 10
+    grads, _ = dense.gradients(inputs, target, keep, state)
+    model.learn(inputs, target, keep, state)
+    for name in lm.NAMES:
+        step = np.clip(grads[name] / 23, -1, 1)
+        want = dense.w[name] + lm.RATE * step / np.sqrt(1e-6 + step * step)
+        assert np.allclose(model.w[name], want, rtol=1e-4, atol=1e-6), name
+    assert np.array_equal(model.w["word_w"][:, lm.CLASS_WORDS :], dense.w["word_w"][:, lm.CLASS_WORDS :])
+
+
+def test_probabilities_of_logits_whose_exponentials_overflow():
+    model = lm.Model({k: w.astype(np.float32) for k, w in small_model().w.items()})
+    target = np.array([[1, 70, lm.COMMON + 3]])
+    states = np.random.default_rng(8).normal(size=(1, 3, lm.HIDDEN)).astype(np.float32)
+    want, _, _ = model.outputs(states, target, 0)
+    for shift in (300, -300):
+        model.w["word_b"][:] += shift
+        model.w["class_b"][:] -= shift
+        got, parts, back = model.outputs(states, target, 1.0)
+        assert np.allclose(got, want, atol=1e-3)
+        assert np.isfinite(back).all() and all(np.isfinite(part).all() for _, _, part in parts)
+        model.w["word_b"][:] -= shift
+        model.w["class_b"][:] += shift
+
+
 @pytest.fixture(scope="module")
 def scored(spark):
     documents = table(spark, "/root/testdata/sf0.1", "documents").select("doc_id", "text")
