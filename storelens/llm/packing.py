@@ -11,6 +11,8 @@ of another mixture move these cuts and what a source is owed alike, see due_line
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections import deque
 from collections.abc import Iterator
@@ -18,6 +20,7 @@ from fractions import Fraction
 from functools import lru_cache
 from itertools import chain
 from math import ceil, floor, inf
+from struct import pack as pack_ids
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +39,26 @@ BLOCK_TOKENS = 1 << 21
 LEAST_PIECE = 64
 # Words that a worker knows: those of the last texts, up to so many, and as many before them.
 CACHE = 350_000
+# A tokenizer that normalizes and parts texts like this gives a word the ids of its pieces.
+# Of PLAIN words, which have no digits, normalizing only lowers the case; PIECE finds the pieces then.
+FORM = {
+    "normalizer": [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ],
+    "pre_tokenizer": [
+        {
+            "type": "Split",
+            "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+            "behavior": "Removed",
+            "invert": True,
+        },
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+PLAIN = re.compile(rb"[!-/:-~]+")
+PIECE = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[^a-z]+")
 # Stands between words that are encoded together, and how many are.
 MARK, TOGETHER = "\x01", 256
 PIECES = T.StructType(
@@ -64,6 +87,9 @@ class WordCodec:
         self.known: dict[bytes, bytes] = {}
         self.earlier: dict[bytes, bytes] = {}
         self.mark = self._ids(MARK)
+        form = json.loads(self.tokenizer.to_str())
+        steps = {name: next((x for x in (form[name] or {}).values() if isinstance(x, list)), None) for name in FORM}
+        self.parted = steps == FORM and form["post_processor"] is None
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -78,6 +104,24 @@ class WordCodec:
         return np.array(self._ids(text), dtype="<u2").tobytes()
 
     def _learn(self, words: list[bytes]) -> None:
+        """Encodes plain words by their pieces, which many of them share, and others together."""
+        if not self.parted:
+            return self._encode(words)
+        special = re.compile(b"|".join(re.escape(s.encode()) for s in self.special) or rb"(?!)")
+        pieces = {w: PIECE.findall(w.lower()) for w in words if PLAIN.fullmatch(w) and not special.search(w)}
+        self._encode([w for w in words if w not in pieces])
+        known, earlier, model = self.known, self.earlier, self.tokenizer.model
+        for piece in set(chain.from_iterable(pieces.values())):
+            if piece not in known:
+                # The bytes of plain words stand for themselves in the vocabulary.
+                ids = earlier.get(piece)
+                if ids is None:
+                    found = [t.id for t in model.tokenize(piece.decode())]
+                    ids = pack_ids(f"<{len(found)}H", *found)
+                known[piece] = ids
+        known.update((w, b"".join([known[p] for p in own])) for w, own in pieces.items() if w not in known)
+
+    def _encode(self, words: list[bytes]) -> None:
         """Encodes words together, with a mark after each; a mark that is no single id serves no word."""
         texts = [w.decode() for w in words]
         alone = [*self.special, MARK] if len(self.mark) == 1 else [""]

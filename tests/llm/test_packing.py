@@ -148,3 +148,18 @@ def test_special_tokens_are_told_by_their_case(tokenizer):
     texts = ["<|ENDOFTEXT|>", "A <|EndOfText|> b", "<|endoftext|> <|ENDOFTEXT|>"]
     want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
     assert packing.WordCodec(PATH).encode(texts) == want
+
+
+def test_plain_words_share_pieces(tokenizer, monkeypatch):
+    """Plain words are not normalized and parted again; others, and those of another tokenizer, are."""
+    texts = ["Don't (don't) DON'T. don't'sx --'s ''ll <|ENDOFTEXT|> a<|endoftext|>b", "don't! \x01! é Don't, x1! ~'T'"]
+    want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
+    coder, seen = packing.WordCodec(PATH), []
+    encode = coder._encode
+    monkeypatch.setattr(coder, "_encode", lambda words: seen.extend(words) or encode(words))
+    assert coder.short(texts) == want
+    assert {*seen} == {b"a<|endoftext|>b", b"\x01!", "é".encode(), b"x1!"}
+    assert coder.parted
+    other = packing.WordCodec(PATH)
+    other.parted = False
+    assert other.short(texts) == want
